@@ -8,8 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType
 
-from parcella.operators import sales
+from parcella.functions.lexicon import THEMES
+from parcella.operators import (
+    indicators,
+    quality,
+    raw,
+    reviews,
+    sales,
+    scores,
+    spatial,
+    stats,
+    territories,
+)
+from parcella.plans import exports, publish
 from parcella.plans import views as v
+from parcella.plans.sales_profile import profile_sales
+from parcella.sources import layout, readers, staging, writers
+from parcella.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,3 +164,683 @@ def agg_dept_type_stats_approx(spark, d):
 @query
 def transactions(spark, d):
     return tidy(sales.transactions(_single(spark, d)))
+
+
+# --- territories and indicators ----------------------------------------------
+
+OUTSIDE = 7  # places with this number are left out of the reference
+
+
+def _box(spark: SparkSession, d: str) -> DataFrame:
+    return v.view(spark, d, "box")
+
+
+def _reference(spark: SparkSession, d: str) -> DataFrame:
+    return _box(spark, d).where(F.col("k") != OUTSIDE).select("code_commune")
+
+
+def _outlines(spark: SparkSession, d: str, *, everywhere: bool = False) -> DataFrame:
+    box = _box(spark, d)
+    kept = box if everywhere else box.where(F.col("k") != OUTSIDE)
+    raw = v.with_box(kept).select(
+        F.col("code_commune").alias("code"), F.col("nom_commune").alias("nom"), "geom"
+    )
+    return territories.commune_outlines(raw)
+
+
+def _zones(spark: SparkSession, d: str) -> DataFrame:
+    raw = v.with_box(v.view(spark, d, "zone_box")).withColumn(
+        "code_insee", F.col("code_commune").cast("int").cast("string")
+    )
+    return territories.zone_outlines(raw.drop("code_commune"))
+
+
+def _incomes(spark: SparkSession, d: str) -> DataFrame:
+    raw = v.view(spark, d, "income_raw").select(
+        F.col("code").alias("Code géographique"),
+        F.col("label").alias("Libellé géographique"),
+        F.col("median_text").alias("[DISP] Médiane (€)"),
+        F.col("q1_text").alias("[DISP] 1ᵉʳ quartile (€)"),
+    )
+    return indicators.incomes(raw, _reference(spark, d))
+
+
+def _indicator(job, name: str):
+    return lambda spark, d: job(v.view(spark, d, name), _reference(spark, d))
+
+
+_risks = _indicator(indicators.risks, "risk_raw")
+_second_homes = _indicator(indicators.second_homes, "housing_raw")
+_crime = _indicator(indicators.crime_rates, "rate_raw")
+_facilities = _indicator(indicators.facilities, "facility_raw")
+_employment = _indicator(indicators.employment, "job_raw")
+_labels = _indicator(indicators.energy_labels, "label_raw")
+
+
+def _sunshine(spark: SparkSession, d: str) -> DataFrame:
+    return indicators.sunshine(v.view(spark, d, "station_raw"), _outlines(spark, d))
+
+
+def _cities(spark: SparkSession, d: str) -> DataFrame:
+    return indicators.city_proximity(v.view(spark, d, "city_raw"), _outlines(spark, d))
+
+
+def _density(spark: SparkSession, d: str) -> DataFrame:
+    stops = indicators.transport_stops(v.view(spark, d, "stop_raw"))
+    return indicators.stop_density(stops, _outlines(spark, d))
+
+
+QUERIES |= {
+    "income_clean": lambda spark, d: tidy(_incomes(spark, d)),
+    "risk_counts": lambda spark, d: tidy(_risks(spark, d)),
+    "share_of_sums": lambda spark, d: tidy(_second_homes(spark, d)),
+    "latest_period_rates": lambda spark, d: tidy(_crime(spark, d)),
+    "facility_counts": lambda spark, d: tidy(_facilities(spark, d)),
+    "employment_rates": lambda spark, d: tidy(_employment(spark, d)),
+    "label_clean": lambda spark, d: tidy(_labels(spark, d)),
+    "nearest_station": lambda spark, d: tidy(_sunshine(spark, d), 4),
+    "nearest_metropolis": lambda spark, d: tidy(_cities(spark, d), 4),
+    "stops_per_cell": lambda spark, d: tidy(_density(spark, d)),
+}
+
+
+@query
+def polygon_area(spark, d):
+    return tidy(_outlines(spark, d, everywhere=True).drop("geom"))
+
+
+@query
+def lod_align(spark, d):
+    raw = v.with_box(_box(spark, d)).select(
+        F.col("code_commune").alias("code"), F.col("nom_commune").alias("nom"), "geom"
+    )
+    return territories.commune_variant(raw, _outlines(spark, d)).drop("geom")
+
+
+@query
+def outline_features(spark, d):
+    line = writers.feature(["code_commune", "nom_commune"], "geom", 2)
+    return _outlines(spark, d).select("code_commune", line.alias("feature"))
+
+
+@query
+def siblings_count(spark, d):
+    return _zones(spark, d).drop("geom")
+
+
+def _assigned(spark: SparkSession, d: str) -> DataFrame:
+    points = sales.vintage_points(_vintages(spark, d))
+    return territories.assign_to_zones(points, _zones(spark, d))
+
+
+@query
+def assign_points_to_zones(spark, d):
+    return tidy(_assigned(spark, d))
+
+
+def _zone_prices(spark: SparkSession, d: str) -> DataFrame:
+    return territories.zone_prices(_assigned(spark, d))
+
+
+@query
+def zone_prices(spark, d):
+    return tidy(_zone_prices(spark, d))
+
+
+# --- scores ------------------------------------------------------------------
+
+
+@query
+def dominant_label(spark, d):
+    return stats.dominant(_labels(spark, d), "code_commune", "etiquette_dpe", "dpe_dominant")
+
+
+def _score_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {
+        "transport": _density(spark, d),
+        "revenus": _incomes(spark, d),
+        "risques": _risks(spark, d),
+        "tourisme": _second_homes(spark, d),
+        "securite": _crime(spark, d),
+        "equipements": _facilities(spark, d),
+        "climat": _sunshine(spark, d),
+        "emploi": _employment(spark, d),
+        "proximite": _cities(spark, d),
+    }
+
+
+def _score_base(spark: SparkSession, d: str) -> DataFrame:
+    prices = sales.price_by_commune(_clean(spark, d))
+    return scores.score_base(prices, _labels(spark, d), _score_tables(spark, d))
+
+
+@query
+def score_base(spark, d):
+    return tidy(_score_base(spark, d), 4)
+
+
+@query
+def impute_medians(spark, d):
+    return tidy(scores.score_inputs(staged(_score_base(spark, d), "base")), 4)
+
+
+@query
+def territory_score(spark, d):
+    return tidy(scores.territory_score(staged(_score_base(spark, d), "base")), 4)
+
+
+def _commune_prices(spark: SparkSession, d: str) -> DataFrame:
+    return sales.price_by_commune(_clean(spark, d))
+
+
+@query
+def normalise_p01_p99(spark, d):
+    frame = staged(_commune_prices(spark, d).select("code_commune", "prix_m2_median"), "prices")
+    wanted = {"n_prix": ("prix_m2_median", False), "n_inverse": ("prix_m2_median", True)}
+    return tidy(stats.normalise(frame, wanted))
+
+
+@query
+def normalise_minmax(spark, d):
+    frame = staged(_commune_prices(spark, d).select("code_commune", "nb_transactions"), "prices")
+    logged = frame.withColumn("volume", F.log1p("nb_transactions"))
+    return tidy(stats.normalise(logged, min_max={"n_volume": "volume"}))
+
+
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    return v.view(spark, d, "score_view")
+
+
+def _zone_scores(spark: SparkSession, d: str) -> DataFrame:
+    prices = staged(_zone_prices(spark, d), "zone-prices")
+    return scores.zone_score(prices, _zones(spark, d), _scores(spark, d))
+
+
+@query
+def zone_score(spark, d):
+    return tidy(_zone_scores(spark, d))
+
+
+# --- time series and charts --------------------------------------------------
+
+YEARS = tuple(range(1995, 2002))
+
+
+def _yearly(spark: SparkSession, d: str) -> DataFrame:
+    return sales.vintage_prices(_vintages(spark, d))
+
+
+@query
+def price_evolution(spark, d):
+    lists = exports.price_evolution(_yearly(spark, d))
+    return tidy(
+        lists.select("code_commune", F.posexplode("evolution").alias("rang", "e")).select(
+            "code_commune", "rang", "e.*"
+        )
+    )
+
+
+@query
+def price_series(spark, d):
+    wide = exports.price_series(_yearly(spark, d), YEARS)
+    return tidy(
+        wide.select("code_commune", F.posexplode("valeurs").alias("i", "valeur")).select(
+            "code_commune", (F.col("i") + YEARS[0]).alias("annee"), "valeur"
+        )
+    )
+
+
+@query
+def national_weighted_median(spark, d):
+    return tidy(exports.national_series(_yearly(spark, d)))
+
+
+@query
+def price_histogram(spark, d):
+    return exports.price_histogram(_clean(spark, d))
+
+
+@query
+def points_sample(spark, d):
+    return tidy(exports.points_sample(_clean(spark, d), 500))
+
+
+# --- maps, documents, indexes ------------------------------------------------
+
+
+def _by_type(spark: SparkSession, d: str) -> DataFrame:
+    return sales.price_by_commune_and_type(_clean(spark, d))
+
+
+@query
+def choropleth_flat(spark, d):
+    box = _box(spark, d)
+    levels = {
+        "low": v.with_box(box.where(F.col("k") != 1)),
+        "mid": v.with_box(box.where(F.col("k") != 2)),
+        "high": v.with_box(box.where(F.col("k") != 3)),
+    }
+    merged = territories.merge_levels(levels, "code_commune", ["nom_commune", "code_departement"])
+    spread = sales.spread_by_commune(_single(spark, d), method="ranked")
+    flat = exports.choropleth_flat(merged, spread, "code_commune")
+    for level in levels:
+        flat = flat.withColumn(f"has_{level}", F.col(f"geom_{level}").isNotNull())
+    return tidy(flat.drop(*[f"geom_{level}" for level in levels]))
+
+
+def _commune_map(spark: SparkSession, d: str) -> DataFrame:
+    return exports.choropleth_communes(
+        _outlines(spark, d, everywhere=True),
+        _commune_prices(spark, d),
+        _by_type(spark, d),
+        _scores(spark, d),
+    )
+
+
+@query
+def choropleth_commune(spark, d):
+    return tidy(_commune_map(spark, d).drop("geom"))
+
+
+@query
+def choropleth_dept(spark, d):
+    outlines = v.with_box(v.view(spark, d, "dept_box"))
+    prices = sales.price_by_department(_clean(spark, d))
+    return tidy(exports.choropleth_departments(outlines, prices, _scores(spark, d)).drop("geom"))
+
+
+def _regions(spark: SparkSession, d: str) -> DataFrame:
+    return v.with_box(v.view(spark, d, "region_box"))
+
+
+@query
+def choropleth_region(spark, d):
+    frame = exports.choropleth_regions(_regions(spark, d), _clean(spark, d), _scores(spark, d))
+    return tidy(frame.drop("geom"))
+
+
+@query
+def choropleth_zone(spark, d):
+    return tidy(exports.choropleth_zones(_zones(spark, d), _zone_scores(spark, d)).drop("geom"))
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return exports.territory_documents(
+        _outlines(spark, d),
+        _commune_prices(spark, d),
+        _by_type(spark, d),
+        _scores(spark, d),
+        exports.price_evolution(_yearly(spark, d)),
+        _score_tables(spark, d),
+        _rollup(spark, d),
+    )
+
+
+@query
+def territory_document(spark, d):
+    return tidy(
+        _documents(spark, d).select(
+            "code_commune",
+            "nom_commune",
+            "code_departement",
+            F.col("prix").isNull().alias("sans_prix"),
+            F.col("prix.median").alias("prix_median"),
+            F.col("prix.maison.median").alias("maison_median"),
+            F.col("prix.appartement.nb_transactions").alias("appartement_n"),
+            F.size("evolution").alias("annees"),
+            F.col("score").isNull().alias("sans_score"),
+            F.col("score.composantes.n_emploi").alias("n_emploi"),
+            F.col("indicateurs.revenu_median").alias("revenu_median"),
+            F.col("indicateurs.nom_metropole").alias("nom_metropole"),
+            F.col("indicateurs.surface_km2").alias("surface_km2"),
+            F.col("avis").isNull().alias("sans_avis"),
+            F.col("avis.n_avis").alias("n_avis"),
+            F.col("avis.mini_cloud")[0]["word"].alias("premier_mot"),
+        ),
+        4,
+    )
+
+
+@query
+def search_index(spark, d):
+    return tidy(
+        exports.search_index(_outlines(spark, d), _commune_prices(spark, d), _scores(spark, d))
+    )
+
+
+@query
+def ranking_top_n(spark, d):
+    return tidy(exports.ranking(_scores(spark, d), 100))
+
+
+@query
+def territory_stats(spark, d):
+    return tidy(exports.territory_stats(_scores(spark, d), _score_tables(spark, d)))
+
+
+@query
+def score_flat(spark, d):
+    return tidy(exports.score_flat(_commune_map(spark, d)).drop("geom"))
+
+
+# --- reviews -----------------------------------------------------------------
+
+# The test prose is invented, so each theme also gets some of its common words.
+EXTRA_WORDS = {
+    "securite": ("für", "nicht"),
+    "calme": ("die", "und der"),
+    "transports": ("que", "los"),
+    "commerces": ("dans", "pour le"),
+    "education": ("that", "with the"),
+    "environnement": ("this", "by"),
+}
+VOCABULARY = {theme: (*words, *EXTRA_WORDS[theme]) for theme, words in THEMES.items()}
+SOURCE = "habitants"
+
+
+def length_scorer(texts):
+    """Stand-in model: a score from the length of a text, none for every fifth."""
+    return [None if len(t) % 5 == 0 else (len(t) % 21) / 10.0 - 1.0 for t in texts]
+
+
+def _reviews(spark: SparkSession, d: str) -> DataFrame:
+    return reviews.clean_reviews(v.view(spark, d, "review_raw"), "doc_id")
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    return reviews.segment_reviews(_reviews(spark, d))
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    tagged = reviews.tag_themes(_segments(spark, d), VOCABULARY)
+    return reviews.score_segments(tagged, length_scorer)
+
+
+def _tokens(spark: SparkSession, d: str) -> DataFrame:
+    return reviews.extract_tokens(_scored(spark, d))
+
+
+def _rollup(spark: SparkSession, d: str) -> DataFrame:
+    scored = staged(_scored(spark, d), "segments")
+    return reviews.review_rollup(
+        _reviews(spark, d), scored, reviews.extract_tokens(scored), SOURCE
+    )
+
+
+@query
+def reviews_clean(spark, d):
+    return tidy(_reviews(spark, d))
+
+
+@query
+def review_segments(spark, d):
+    return tidy(_segments(spark, d))
+
+
+@query
+def segment_themes(spark, d):
+    tagged = reviews.tag_themes(_segments(spark, d), VOCABULARY)
+    return tagged.select("avis_id", "segment_id", F.array_join("themes", ",").alias("themes"))
+
+
+@query
+def segment_tokens(spark, d):
+    return (
+        _tokens(spark, d)
+        .groupBy("code_commune", "kind", "token")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("avis_id").alias("n_avis"))
+    )
+
+
+@query
+def segment_sentiment(spark, d):
+    return tidy(_scored(spark, d).drop("themes", "text", "date_avis"))
+
+
+@query
+def segment_sentiment_prior(spark, d):
+    scored = reviews.score_segments(_segments(spark, d))
+    return tidy(scored.select("avis_id", "segment_id", "sentiment", "concordant"))
+
+
+@query
+def calibration(spark, d):
+    segments = _scored(spark, d)
+    return tidy(reviews.calibrate(reviews.review_sentiment(_reviews(spark, d), segments)))
+
+
+@query
+def review_sentiment(spark, d):
+    return tidy(reviews.review_sentiment(_reviews(spark, d), _scored(spark, d), "length"))
+
+
+@query
+def review_meta(spark, d):
+    return tidy(reviews.review_meta(_reviews(spark, d), _scored(spark, d)))
+
+
+@query
+def review_themes(spark, d):
+    lists = reviews.review_themes(_scored(spark, d))
+    return tidy(
+        lists.select("code_commune", F.posexplode("themes").alias("rang", "t")).select(
+            "code_commune", "rang", "t.*"
+        )
+    )
+
+
+@query
+def wordcloud(spark, d):
+    return reviews.cloud_words(_tokens(spark, d)).withColumn("themes", F.array_join("themes", ","))
+
+
+@query
+def verbatims(spark, d):
+    lists = reviews.verbatims(_scored(spark, d), SOURCE)
+    return lists.select("code_commune", F.posexplode("verbatims").alias("rang", "q")).select(
+        "code_commune", "rang", "q.*"
+    )
+
+
+def _word_list(column: str, field: str):
+    return F.array_join(F.transform(column, lambda w: w[field]), ",")
+
+
+@query
+def review_rollup(spark, d):
+    return tidy(
+        _rollup(spark, d).select(
+            "code_commune",
+            "nom_ville",
+            "n_avis",
+            "date_min",
+            "date_max",
+            "sentiment_global",
+            "low_data",
+            _word_list("themes", "theme").alias("themes"),
+            _word_list("wordcloud", "word").alias("mots"),
+            _word_list("wordcloud_preview", "word").alias("apercu"),
+            _word_list("verbatims", "label").alias("citations"),
+        )
+    )
+
+
+@query
+def review_export(spark, d):
+    export = exports.review_export(_rollup(spark, d), SOURCE)
+    return tidy(
+        export.select(
+            "code_commune",
+            "code_departement",
+            "n_avis",
+            F.col("periode.debut").alias("debut"),
+            F.col("periode.fin").alias("fin"),
+            "sentiment_global",
+            "low_data",
+            F.col("themes").isNull().alias("sans_themes"),
+            F.size("wordcloud").alias("n_mots"),
+            "source",
+        )
+    )
+
+
+@query
+def review_index(spark, d):
+    export = exports.review_export(_rollup(spark, d), SOURCE)
+    return tidy(exports.review_index(export, _outlines(spark, d)))
+
+
+# --- raw parsers -------------------------------------------------------------
+
+
+@query
+def station_sheets(spark, d):
+    return tidy(raw.parse_station_sheets(v.view(spark, d, "sheet_raw"), "num_poste", "sheet"))
+
+
+@query
+def page_blocks(spark, d):
+    pages = v.table(spark, d, "pages")
+    blocks = raw.page_blocks("html", "<p>", "</article>")
+    return pages.select(
+        "page_id",
+        raw.page_heading("html").alias("titre"),
+        F.posexplode(blocks).alias("rang", "bloc"),
+    )
+
+
+@query
+def review_pages(spark, d):
+    source = v.view(spark, d, "review_raw")
+    plain = {
+        c: F.replace(c, F.lit("<"), F.lit(" ")) for c in ("points_positifs", "points_negatifs")
+    }
+    page = F.concat(
+        F.lit('<h1>Ville (1)</h1><section><div class="comm"><p>sans note</p></div>'),
+        F.lit('<div class="comm"> <p>Avis posté le '),
+        "date",
+        F.lit(" à 10h. Par <strong>"),
+        "auteur",
+        F.lit('</strong></p><p class="moyenne">'),
+        "note_moyenne",
+        F.lit("</p><table><tr><th>Environnement</th><td>"),
+        "environnement",
+        F.lit("</td></tr><tr><th>Qualité<br />de vie</th><td>7</td></tr></table>"),
+        F.lit("<p><b>Points positifs</b> "),
+        plain["points_positifs"],
+        F.lit(" <b>Points négatifs</b> "),
+        plain["points_negatifs"],
+        F.lit("</p></div></section>"),
+    )
+    return raw.extract_review_pages(source.withColumn("html", page))
+
+
+@query
+def keyed_json_flatten(spark, d):
+    customers = v.table(spark, d, "customer")
+    slug = F.concat(F.lit("ville-"), F.col("c_custkey").cast("string"), F.lit("_"),
+                    F.lpad(F.col("c_nationkey").cast("string"), 5, "0"))
+    value = F.struct(
+        F.col("c_name").alias("name"),
+        F.col("c_custkey").cast("string").alias("postcode"),
+        F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") % 10).cast("string")).alias(
+            "overall"
+        ),
+        F.lit("5").alias("culture"),
+    )
+    return raw.flatten_keyed_ratings(
+        customers.select(F.to_json(F.create_map(slug, value)).alias("json")), "json"
+    )
+
+
+@query
+def land_new_files(spark, d):
+    listing = v.table(spark, d, "documents").select(
+        "doc_id",
+        F.lit("docs").alias("source"),
+        F.col("lang").alias("dataset"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"),
+        F.col("text").alias("content"),
+    )
+    before = listing.where(F.col("doc_id") % 3 < 2).withColumn(
+        "content",
+        F.when(F.col("doc_id") % 3 == 1, F.concat("content", F.lit("!"))).otherwise(
+            F.col("content")
+        ),
+    )
+    landed = raw.new_files(before, None, "2024-01-01")
+    fresh = raw.new_files(listing, landed, "2024-01-01")
+    return fresh.select("landing_key", "sha256", "size_bytes")
+
+
+# --- quality -----------------------------------------------------------------
+
+
+@query
+def profile_table(spark, d):
+    numeric = ["c_acctbal", "c_custkey"]
+    return tidy(quality.profile_table(v.table(spark, d, "customer"), numeric))
+
+
+@query
+def validate_rules(spark, d):
+    dirty = sales.dedup_sales(sales.clean_sale_lines(_raw(spark, d)))
+    return tidy(quality.validate_rules(dirty, quality.RULES["ventes"]))
+
+
+@query
+def coverage(spark, d):
+    sources = {
+        "risques": _risks(spark, d),
+        "avis": _reviews(spark, d),
+        "emploi": _employment(spark, d),
+        "climat": None,
+    }
+    limits = {"avis": (50.0, "corpus partiel"), "risques": (10.0, "")}
+    return tidy(quality.coverage(sources, _box(spark, d), thresholds=limits))
+
+
+@query
+def match_rate(spark, d):
+    zones = _zones(spark, d).where(~F.col("code_commune").endswith("007"))
+    return tidy(quality.match_rate(sales.clean_sale_lines(_raw(spark, d)), zones))
+
+
+@query
+def dq_report(spark, d):
+    tables = {
+        "ventes": sales.dedup_sales(sales.clean_sale_lines(_raw(spark, d))),
+        "revenus": _incomes(spark, d),
+        "risques": _risks(spark, d),
+        "dpe": _labels(spark, d),
+        "avis": _reviews(spark, d),
+    }
+    return tidy(quality.dq_report(tables))
+
+
+@query
+def gold_checks(spark, d):
+    return quality.gold_checks(_scores(spark, d))
+
+
+@query
+def zone_checks(spark, d):
+    return quality.zone_checks(_zone_scores(spark, d))
+
+
+@query
+def review_checks(spark, d):
+    return quality.review_checks(_rollup(spark, d))
+
+
+@query
+def rank_stability(spark, d):
+    frame = _scores(spark, d)
+    before = stats.top_ranked(frame, "score_valeur", ["code_commune"], 25)
+    after = stats.top_ranked(frame, "gap_pondere", ["code_commune"], 25)
+    return tidy(stats.rank_stability(before, after, "code_commune"))
+
+
+@query
+def sales_profile(spark, d):
+    return tidy(profile_sales(_raw(spark, d).drop("annee"), error=1e-6), 4)

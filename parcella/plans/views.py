@@ -185,6 +185,25 @@ VIEWS = {
                     WHEN coalesce(quality, d.doc_id % 2) = 1 THEN '' ELSE text END
                    AS points_negatifs
         FROM documents AS d LEFT JOIN labels AS l ON d.doc_id = l.doc_id""",
+    "sheet_raw": """
+        SELECT CAST(s_suppkey AS STRING) AS num_poste,
+               'FICHE CLIMATOLOGIQUE' || chr(10) || 'Statistiques' || chr(10) || s_name || chr(10)
+               || 'alt : 250m lat : ' || CAST(42 + s_suppkey % 9 AS STRING) || '°'
+               || lpad(CAST(s_suppkey % 60 AS STRING), 2, '0') || chr(39)
+               || lpad(CAST(s_suppkey * 7 % 60 AS STRING), 2, '0') || chr(34)
+               || CASE WHEN s_suppkey % 4 = 0 THEN 'S' ELSE 'N' END
+               || ' lon : ' || lpad(CAST(s_suppkey % 7 AS STRING), 2, '0') || '°'
+               || lpad(CAST(s_suppkey * 11 % 60 AS STRING), 2, '0') || chr(39)
+               || lpad(CAST(s_suppkey * 13 % 60 AS STRING), 2, '0') || chr(34)
+               || CASE WHEN s_suppkey % 2 = 0 THEN 'W' ELSE 'E' END
+               || chr(10) || chr(10) || 'Insolation totale (heures)' || chr(10)
+               || CASE WHEN s_suppkey % 5 = 0 THEN ' 100,0;101,0'
+                       ELSE repeat(' 100,0;', 12) || CAST(1500 + s_suppkey % 900 AS STRING) || ',5'
+                  END
+               || chr(10) || chr(10) || 'Température moyenne (Moyenne en °C)' || chr(10)
+               || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'janv;fevr' || chr(10) END
+               || repeat('1,0;', 12) || CAST(8 + s_suppkey % 9 AS STRING) || ',9' AS sheet
+        FROM supplier""",
     "region_map": f"""
         SELECT * FROM (VALUES {_REGION_VALUES})
             AS v(code_departement, code_region, nom_region)""",

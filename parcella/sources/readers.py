@@ -49,8 +49,11 @@ def text_csv(spark: SparkSession, path: str, *, sep: str = ",", **options: objec
 
 
 def semicolon_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Semicolon CSV; rows that do not fit the header are skipped."""
-    return text_csv(spark, path, sep=";", mode="DROPMALFORMED")
+    """Semicolon CSV; rows that do not fit the header are skipped.
+
+    Column pruning is off, or a query of few columns would not notice bad rows.
+    """
+    return text_csv(spark, path, sep=";", mode="DROPMALFORMED", columnPruning=False)
 
 
 def gzip_csv(
