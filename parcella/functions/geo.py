@@ -26,137 +26,99 @@ def box(min_x: Column, min_y: Column, max_x: Column, max_y: Column) -> Column:
     return F.array(F.array(ring))
 
 
-def _segments(ring: Column) -> Column:
-    """Consecutive point pairs of a ring as ``struct<x1,y1,x2,y2>``."""
-    count = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(ring, 1, count),
-        F.slice(ring, 2, count),
-        lambda a, b: F.struct(
-            a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")
-        ),
-    )
+# SQL lambda bodies shared by the functions below. ``r`` is a ring.
+_PAIRS = (
+    "zip_with(slice({r}, 1, greatest(size({r}) - 1, 0)), slice({r}, 2, greatest(size({r}) - 1, 0)),"
+    " (a, b) -> struct(a[0] AS x1, a[1] AS y1, b[0] AS x2, b[1] AS y2))"
+)
+_SIGN = "CASE WHEN i = 0 THEN 1D ELSE -1D END"
 
 
-def edges(geom: Column | str) -> Column:
-    """All edges of all rings; even-odd counting makes holes work unasked."""
-    return F.flatten(F.transform(F.flatten(_col(geom)), _segments))
+def edges(geom: str) -> Column:
+    """All edges of all rings as ``struct<x1,y1,x2,y2>``; even-odd counting then
+    makes holes work unasked."""
+    return F.expr(f"flatten(transform(flatten({geom}), r -> {_PAIRS.format(r='r')}))")
 
 
-def envelope(geom: Column | str) -> Column:
+def envelope(geom: str) -> Column:
     """Bounding box as ``struct<min_x,min_y,max_x,max_y>``."""
-    points = F.flatten(F.flatten(_col(geom)))
-    xs = F.transform(points, lambda p: p[0])
-    ys = F.transform(points, lambda p: p[1])
-    return F.struct(
-        F.array_min(xs).alias("min_x"),
-        F.array_min(ys).alias("min_y"),
-        F.array_max(xs).alias("max_x"),
-        F.array_max(ys).alias("max_y"),
+    xs, ys = (f"transform(flatten(flatten({geom})), p -> p[{i}])" for i in (0, 1))
+    return F.expr(
+        f"struct(array_min({xs}) AS min_x, array_min({ys}) AS min_y, "
+        f"array_max({xs}) AS max_x, array_max({ys}) AS max_y)"
     )
 
 
-def _inside(sides: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule on a ray towards +x."""
-    return (
-        F.aggregate(
-            sides,
-            F.lit(0),
-            lambda n, e: n
-            + F.when(
-                ((e.y1 > y) != (e.y2 > y))
-                & (x < e.x1 + (y - e.y1) * F.try_divide(e.x2 - e.x1, e.y2 - e.y1)),
-                1,
-            ).otherwise(0),
-        )
-        % 2
-        == 1
-    )
-
+def within_edges(sides: str, x: str, y: str, *, border: bool) -> Column:
+    """Point-in-polygon on an edge list; ``border`` says whether the outline counts.
 
-def _on_edge(sides: Column, x: Column, y: Column) -> Column:
-    return F.exists(
-        sides,
-        lambda e: ((e.x2 - e.x1) * (y - e.y1) == (e.y2 - e.y1) * (x - e.x1))
-        & x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
-        & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)),
+    Even-odd rule on a ray towards +x, plus an exact on-edge test.
+    """
+    inside = (
+        f"aggregate({sides}, 0, (n, e) -> n + CASE WHEN (e.y1 > {y}) <> (e.y2 > {y}) "
+        f"AND {x} < e.x1 + ({y} - e.y1) * try_divide(e.x2 - e.x1, e.y2 - e.y1) "
+        "THEN 1 ELSE 0 END) % 2 = 1"
     )
+    touching = (
+        f"exists({sides}, e -> (e.x2 - e.x1) * ({y} - e.y1) = (e.y2 - e.y1) * ({x} - e.x1) "
+        f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
+        f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))"
+    )
+    return F.expr(f"({touching}) OR ({inside})" if border else f"NOT ({touching}) AND ({inside})")
 
 
-def within_edges(sides: Column | str, x: Column | str, y: Column | str, *, border: bool) -> Column:
-    """Point-in-polygon on an edge list; ``border`` says whether the outline counts."""
-    s, px, py = _col(sides), _col(x), _col(y)
-    touching = _on_edge(s, px, py)
-    return (touching | _inside(s, px, py)) if border else (~touching & _inside(s, px, py))
-
-
-def contains(geom: Column | str, x: Column | str, y: Column | str) -> Column:
-    """Strict interior test."""
-    return within_edges(edges(geom), x, y, border=False)
-
-
-def intersects(geom: Column | str, x: Column | str, y: Column | str) -> Column:
-    """Interior or border test."""
-    return within_edges(edges(geom), x, y, border=True)
-
-
-def _shoelace(ring: Column) -> Column:
-    """Ring as ``struct<a,mx,my>``: twice its signed area and the two first
-    moments, taken relative to its first point to keep digits."""
-    ox, oy = ring[0][0], ring[0][1]
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def step(acc: Column, e: Column) -> Column:
-        x1, y1, x2, y2 = e.x1 - ox, e.y1 - oy, e.x2 - ox, e.y2 - oy
-        cross = x1 * y2 - x2 * y1
-        return F.struct(
-            (acc.a + cross).alias("a"),
-            (acc.mx + (x1 + x2) * cross).alias("mx"),
-            (acc.my + (y1 + y2) * cross).alias("my"),
-        )
+def contains(geom: str, x: str, y: str) -> Column:
+    """Strict interior test on a geometry column."""
+    return within_edges(_edge_sql(geom), x, y, border=False)
 
-    return F.aggregate(_segments(ring), zero, step)
 
+def intersects(geom: str, x: str, y: str) -> Column:
+    """Interior or border test on a geometry column."""
+    return within_edges(_edge_sql(geom), x, y, border=True)
 
-def centroid(geom: Column | str) -> Column:
-    """Area-weighted centroid as ``struct<lon,lat>``; holes weigh negatively."""
 
-    def ring_parts(ring: Column, index: Column) -> Column:
-        s = _shoelace(ring)
-        weight = F.abs(s.a) * F.when(index == 0, 1.0).otherwise(-1.0)
-        return F.struct(
-            weight.alias("w"),
-            (weight * (ring[0][0] + F.try_divide(s.mx, s.a * 3.0))).alias("x"),
-            (weight * (ring[0][1] + F.try_divide(s.my, s.a * 3.0))).alias("y"),
-        )
+def _edge_sql(geom: str) -> str:
+    return f"flatten(transform(flatten({geom}), r -> {_PAIRS.format(r='r')}))"
 
-    parts = F.flatten(F.transform(_col(geom), lambda polygon: F.transform(polygon, ring_parts)))
 
-    def total(name: str) -> Column:
-        return F.aggregate(
-            parts, F.lit(0.0), lambda acc, p: acc + F.coalesce(p[name], F.lit(0.0))
-        )
+def centroid(geom: str) -> Column:
+    """Area-weighted centroid as ``struct<lon,lat>``; holes weigh negatively.
 
-    return F.struct(
-        F.try_divide(total("x"), total("w")).alias("lon"),
-        F.try_divide(total("y"), total("w")).alias("lat"),
+    Each ring is reduced to its area and first moments relative to its first
+    point, which keeps digits.
+    """
+    shoelace = (
+        f"aggregate({_PAIRS.format(r='r')}, struct(0D AS a, 0D AS mx, 0D AS my), (acc, e) -> "
+        "struct(acc.a + {c} AS a, acc.mx + (e.x1 + e.x2 - 2 * r[0][0]) * {c} AS mx, "
+        "acc.my + (e.y1 + e.y2 - 2 * r[0][1]) * {c} AS my))"
+    ).replace(
+        "{c}",
+        "((e.x1 - r[0][0]) * (e.y2 - r[0][1]) - (e.x2 - r[0][0]) * (e.y1 - r[0][1]))",
     )
+    parts = (
+        f"flatten(transform({geom}, polygon -> transform(transform(polygon, (r, i) -> struct("
+        f"{shoelace} AS s, {_SIGN} AS sign, r[0][0] AS x, r[0][1] AS y)), q -> struct("
+        "abs(q.s.a) * q.sign AS w, q.x + try_divide(q.s.mx, q.s.a * 3D) AS x, "
+        "q.y + try_divide(q.s.my, q.s.a * 3D) AS y)))"
+        ")"
+    )
+    weighted = (
+        f"aggregate({parts}, struct(0D AS w, 0D AS x, 0D AS y), (acc, p) -> struct("
+        "acc.w + p.w AS w, acc.x + coalesce(p.w * p.x, 0D) AS x, "
+        "acc.y + coalesce(p.w * p.y, 0D) AS y), "
+        "t -> struct(try_divide(t.x, t.w) AS lon, try_divide(t.y, t.w) AS lat))"
+    )
+    return F.expr(weighted)
 
 
-def area_km2(geom: Column | str) -> Column:
+def area_km2(geom: str) -> Column:
     """Area on the authalic sphere (Chamberlain and Duquette, JPL 2007), holes removed."""
-
-    def ring_area(ring: Column, index: Column) -> Column:
-        spherical = F.aggregate(
-            _segments(ring),
-            F.lit(0.0),
-            lambda acc, e: acc
-            + F.radians(e.x2 - e.x1) * (2.0 + F.sin(F.radians(e.y1)) + F.sin(F.radians(e.y2))),
-        )
-        return F.abs(spherical) * F.when(index == 0, 1.0).otherwise(-1.0)
-
-    rings = F.flatten(F.transform(_col(geom), lambda polygon: F.transform(polygon, ring_area)))
-    return F.aggregate(rings, F.lit(0.0), lambda acc, a: acc + a) * (AUTHALIC_KM**2 / 2.0)
+    ring = (
+        f"abs(aggregate({_PAIRS.format(r='r')}, 0D, (acc, e) -> acc + radians(e.x2 - e.x1) "
+        f"* (2D + sin(radians(e.y1)) + sin(radians(e.y2))))) * {_SIGN}"
+    )
+    rings = f"flatten(transform({geom}, polygon -> transform(polygon, (r, i) -> {ring})))"
+    return F.expr(f"aggregate({rings}, 0D, (acc, v) -> acc + v) * {AUTHALIC_KM**2 / 2.0!r}D")
 
 
 def arc_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -101,16 +101,25 @@ def count_points_in_polygons(
 
 
 def _sphere_cells(df: DataFrame, lat: str, lon: str, max_km: float, levels: int) -> DataFrame:
-    """Add ``_c``: for each level, the cubic cell of the point on the sphere in 3-D."""
-    phi, lam = F.radians(lat), F.radians(lon)
-    xyz = (F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi))
+    """One row per level with the cubic cell (l, x, y, z) of the point on the sphere in 3-D."""
+    side = f"({max_km * (1 + 1e-9)!r}D / pow(4, l))"
+    phi, lam = f"radians({lat})", f"radians({lon})"
+    return (
+        df.selectExpr("*", f"explode(sequence(0, {levels - 1})) AS l")
+        .selectExpr(
+            "*",
+            f"floor({geo.EARTH_KM}D * cos({phi}) * cos({lam}) / {side}) AS x",
+            f"floor({geo.EARTH_KM}D * cos({phi}) * sin({lam}) / {side}) AS y",
+            f"floor({geo.EARTH_KM}D * sin({phi}) / {side}) AS z",
+        )
+    )
 
-    def at(level: int) -> Column:
-        side = max_km / 4.0**level * (1 + 1e-9)
-        x, y, z = (F.floor(v * geo.EARTH_KM / side) for v in xyz)
-        return F.struct(F.lit(level).alias("l"), x.alias("x"), y.alias("y"), z.alias("z"))
 
-    return df.withColumn("_c", F.explode(F.array(*[at(level) for level in range(levels)])))
+def _with_neighbours(df: DataFrame) -> DataFrame:
+    """Each row once in its own cell and once in each of the 26 around it."""
+    for axis in ("x", "y", "z"):
+        df = df.withColumn(axis, F.expr(f"explode(sequence({axis} - 1, {axis} + 1))"))
+    return df
 
 
 def nearest_join(
@@ -142,39 +151,24 @@ def nearest_join(
         F.col(r_lon).alias("_rlon"),
         F.struct(*keep).alias("_kept"),
     )
-    steps = [-1, 0, 1]
-    around = F.array(
-        *[
-            F.struct(
-                F.col("_c.l").alias("l"),
-                (F.col("_c.x") + dx).alias("x"),
-                (F.col("_c.y") + dy).alias("y"),
-                (F.col("_c.z") + dz).alias("z"),
-            )
-            for dx in steps
-            for dy in steps
-            for dz in steps
-        ]
-    )
-    spread = _sphere_cells(targets, "_rlat", "_rlon", max_km, levels).withColumn(
-        "_c", F.explode(around)
-    )
-    occupied = spread.select("_c").distinct()
+    cube = ["l", "x", "y", "z"]
+    spread = _with_neighbours(_sphere_cells(targets, "_rlat", "_rlon", max_km, levels))
+    occupied = spread.select(*cube).distinct()
 
     lat, lon = left_at
     origin = left.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
         key, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")
     )
     located = _sphere_cells(origin, "_lat", "_lon", max_km, levels)
-    finest = located.join(occupied, "_c").groupBy(key, "_lat", "_lon").agg(
-        F.max("_c.l").alias("_finest")
+    finest = located.join(occupied, cube).groupBy(key, "_lat", "_lon").agg(
+        F.max("l").alias("_finest")
     )
     search = _sphere_cells(finest, "_lat", "_lon", max_km, levels).where(
-        F.col("_c.l") == F.greatest(F.col("_finest") - 1, F.lit(0))
+        "l = greatest(_finest - 1, 0)"
     )
     reach = geo.arc_km(F.col("_lat"), F.col("_lon"), F.col("_rlat"), F.col("_rlon"))
     best = (
-        search.join(spread, "_c")
+        search.join(spread, cube)
         .groupBy(key)
         .agg(F.min(F.struct(reach.alias("_km"), "_rid", "_kept")).alias("_best"))
     )

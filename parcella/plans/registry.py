@@ -540,7 +540,7 @@ SOURCE = "habitants"
 
 def length_scorer(texts):
     """Stand-in model: a score from the length of a text, none for every fifth."""
-    return [None if len(t) % 5 == 0 else (len(t) % 21) / 10.0 - 1.0 for t in texts]
+    return [None if len(t) % 5 == 0 else (len(t) % 23) / 11.5 - 1.0 for t in texts]
 
 
 def _reviews(spark: SparkSession, d: str) -> DataFrame:

@@ -246,17 +246,20 @@ VIEWS = {
 }
 
 
+def mentioned(sql: str) -> list[str]:
+    """Names a statement reads from."""
+    return re.findall(r"(?:FROM|JOIN)\s+([a-z_0-9]+)", sql)
+
+
 def with_clause(sql: str, texts: dict[str, str]) -> str:
     """Prefix ``sql`` with the views it mentions, dependencies first."""
     needed: list[str] = []
 
     def visit(text: str) -> None:
-        words = set(re.findall(r"[a-z_0-9]+", text))
-        for name in texts:
-            if name in words and name not in needed:
+        for name in mentioned(text):
+            if name in texts and name not in needed:
                 visit(texts[name])
-                if name not in needed:
-                    needed.append(name)
+                needed.append(name)
 
     visit(sql)
     if not needed:
@@ -279,10 +282,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of ``VIEWS`` over the tables in ``sf_dir``."""
     sql = with_clause(f"SELECT * FROM {name}", VIEWS)
-    words = set(re.findall(r"[a-z_0-9]+", sql))
-    for t in TABLES:
-        if t in words:
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
+    for t in set(mentioned(sql)) & set(TABLES):
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
     return spark.sql(sql.replace('"', "`"))
 
 
