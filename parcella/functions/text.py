@@ -67,37 +67,34 @@ def themes(c: Column | str, vocabulary: Mapping[str, Sequence[str]] | None = Non
     return F.array_compact(F.array(*found))
 
 
-def tokens(
+def flagged_words(
     c: Column | str,
     stop_words: Sequence[str] = lexicon.STOP_WORDS,
     generic: Sequence[str] = lexicon.GENERIC_WORDS,
 ) -> Column:
-    """Word-cloud tokens of a text: content words, then adjacent pairs of them.
-
-    Each comes once per text as ``struct<token,kind>``.
-    """
+    """Words of a text in order as ``struct<w,ok>``; ``ok`` marks content words."""
     words = F.regexp_extract_all(F.lower(_col(c)), F.lit(WORD), F.lit(0))
-    ignored = F.array(*[F.lit(w) for w in (*stop_words, *generic)])
-
-    def content(w: Column) -> Column:
-        return (F.length(w) >= MIN_WORD) & ~F.array_contains(ignored, w)
-
-    singles = F.transform(
-        F.filter(words, content), lambda w: F.struct(w.alias("token"), F.lit("nom").alias("kind"))
-    )
-    span = F.greatest(F.size(words) - 1, F.lit(0))
-    pairs = F.filter(
-        F.zip_with(
-            F.slice(words, 1, span),
-            F.slice(words, 2, span),
-            lambda a, b: F.when(content(a) & content(b), F.concat(a, F.lit(" "), b)),
+    ignored = list(dict.fromkeys((*stop_words, *generic)))
+    return F.transform(
+        words,
+        lambda w: F.struct(
+            w.alias("w"), ((F.length(w) >= MIN_WORD) & ~w.isin(ignored)).alias("ok")
         ),
-        lambda p: p.isNotNull(),
     )
-    doubles = F.transform(
-        pairs, lambda p: F.struct(p.alias("token"), F.lit("bigramme").alias("kind"))
+
+
+def tokens(flagged: str) -> Column:
+    """Word-cloud tokens from a ``flagged_words`` column, each once per text:
+    content words, then adjacent pairs of them, as ``struct<token,kind>``."""
+    tail = f"greatest(size({flagged}) - 1, 0)"
+    return F.expr(
+        "array_distinct(concat("
+        f"transform(filter({flagged}, x -> x.ok), "
+        "x -> named_struct('token', x.w, 'kind', 'nom')), "
+        f"transform(filter(zip_with(slice({flagged}, 1, {tail}), slice({flagged}, 2, {tail}), "
+        "(a, b) -> CASE WHEN a.ok AND b.ok THEN concat(a.w, ' ', b.w) END), "
+        "p -> p IS NOT NULL), p -> named_struct('token', p, 'kind', 'bigramme'))))"
     )
-    return F.array_distinct(F.concat(singles, doubles))
 
 
 def stars_to_score(probabilities: Column | str) -> Column:

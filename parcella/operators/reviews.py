@@ -99,15 +99,16 @@ def score_segments(segments: DataFrame, scorer: Scorer | None = None) -> DataFra
 
 
 def extract_tokens(segments: DataFrame) -> DataFrame:
-    """One row per word-cloud token of a segment, with its themes and sentiment."""
-    return segments.select(
-        CODE,
-        "avis_id",
-        "segment_id",
-        F.explode(text.tokens("text")).alias("_token"),
-        "themes",
-        "sentiment",
-    ).select(CODE, "avis_id", "segment_id", "_token.token", "_token.kind", "themes", "sentiment")
+    """One row per word-cloud token of a segment, with its themes and sentiment.
+
+    Words are flagged in a projection of their own, so that they are looked up
+    once although tokens read them three times.
+    """
+    kept = [CODE, "avis_id", "segment_id", "themes", "sentiment"]
+    flagged = segments.select(*kept, text.flagged_words("text").alias("_words"))
+    return flagged.select(*kept, F.explode(text.tokens("_words")).alias("_token")).select(
+        CODE, "avis_id", "segment_id", "_token.token", "_token.kind", "themes", "sentiment"
+    )
 
 
 def review_sentiment(

@@ -1201,6 +1201,52 @@ ORACLE |= {
 }
 
 
+# --- sources and sinks -------------------------------------------------------
+
+_CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
+_CUSTOMER_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _CUSTOMER.split(", "))
+
+ORACLE |= {
+    "csv_round_trip": f"SELECT {_CUSTOMER_TEXT} FROM customer",
+    "csv_gzip_scan": f"SELECT {_CUSTOMER_TEXT} FROM customer",
+    "csv_semicolon_scan": """
+        SELECT c_name AS nom, CAST(c_custkey AS VARCHAR) AS cle FROM customer
+        WHERE c_custkey % 7 <> 0""",
+    "csv_typed_scan": f"SELECT {_RAW.replace('annee, ', '')} FROM sale_raw",
+    "json_lines_scan": f"SELECT {_CUSTOMER} FROM customer",
+    "geojson_scan": f"""
+        SELECT code_commune, nom_commune, {half_up(_AREA, 2)} AS surface_km2 FROM ref""",
+    "feature_split_sink": "SELECT code_commune, nom_commune FROM ref",
+    "parquet_partitioned_sink": f"SELECT {_CUSTOMER} FROM customer",
+    "json_sink": """
+        SELECT '{"c_custkey":' || c_custkey || ',"detail":{"nom":'
+               || CASE WHEN c_custkey % 2 = 0 THEN '"' || c_name || '"' ELSE 'null' END
+               || ',"c_nationkey":' || c_nationkey || '}}' AS ligne
+        FROM customer""",
+    "optional_table": "SELECT c_custkey, CAST(NULL AS DOUBLE) AS bonus FROM customer",
+    "region_lookup": """
+        SELECT d.code_departement, code_region, nom_region
+        FROM dept_box AS d LEFT JOIN region_map AS r ON r.code_departement = d.code_departement""",
+    "spatial_join_pairs": """
+        SELECT code_commune, lon, lat FROM box JOIN stop
+          ON lon BETWEEN min_x AND max_x AND lat BETWEEN min_y AND max_y""",
+    "polygon_centroid": f"""
+        SELECT code_commune, {half_up("(min_x + max_x) / 2")} AS lon,
+               {half_up("(min_y + max_y) / 2")} AS lat FROM box""",
+    "publish_latest": f"""
+        SELECT {_IDS}, {rounded("prix_m2_median", *DIMENSIONS, "score_valeur", "gap",
+                                "gap_pondere")} FROM score_view""",
+    "publish_web": """
+        SELECT CAST(1 AS INTEGER) AS schema_version, '2024-01-01' AS run_date,
+               CAST(2024 AS INTEGER) AS year, 'runs/2024-01-01' AS base,
+               (SELECT count(*) FROM base_commune) AS nb_communes,
+               (SELECT count(*) FROM base_commune
+                WHERE code_commune IN (SELECT code_commune FROM score_view))
+                   AS nb_communes_scorees,
+               CAST(0 AS BIGINT) AS nb_communes_avis""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     """Complete statements, shared steps included."""
     return {name: with_clause(sql, STEPS) for name, sql in ORACLE.items()}

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType
 
+from parcella.functions import geo
 from parcella.functions.lexicon import THEMES
+from parcella.functions.regions import region_mapping
 from parcella.operators import (
     indicators,
     quality,
@@ -24,7 +26,7 @@ from parcella.plans import exports, publish
 from parcella.plans import views as v
 from parcella.plans.sales_profile import profile_sales
 from parcella.sources import layout, readers, staging, writers
-from parcella.sources.staging import staged
+from parcella.sources.staging import spread, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -544,7 +546,7 @@ def length_scorer(texts):
 
 
 def _reviews(spark: SparkSession, d: str) -> DataFrame:
-    return reviews.clean_reviews(v.view(spark, d, "review_raw"), "doc_id")
+    return reviews.clean_reviews(spread(v.view(spark, d, "review_raw")), "doc_id")
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
@@ -844,3 +846,201 @@ def rank_stability(spark, d):
 @query
 def sales_profile(spark, d):
     return tidy(profile_sales(_raw(spark, d).drop("annee"), error=1e-6), 4)
+
+
+# --- sources and sinks: written to the shared folder and read back -----------
+
+
+def _customers(spark: SparkSession, d: str) -> DataFrame:
+    return v.table(spark, d, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
+    )
+
+
+@query
+def csv_round_trip(spark, d):
+    path = staging.scratch_path(spark, "csv")
+    writers.csv(_customers(spark, d), path)
+    return readers.text_csv(spark, path)
+
+
+@query
+def csv_gzip_scan(spark, d):
+    path = staging.scratch_path(spark, "csv-gz")
+    _customers(spark, d).write.option("header", True).option("compression", "gzip").csv(path)
+    return readers.gzip_csv(spark, path, 8)
+
+
+@query
+def csv_semicolon_scan(spark, d):
+    """Every seventh row carries a stray separator and must be skipped."""
+    path = staging.scratch_path(spark, "csv-semicolon")
+    line = F.concat_ws(
+        ";",
+        "c_name",
+        F.col("c_custkey").cast("string"),
+        F.when(F.col("c_custkey") % 7 == 0, F.lit("trop;long")).otherwise(F.lit("ok")),
+    )
+    # The text writer's header line becomes the header of each part file.
+    _customers(spark, d).select(line.alias("nom;cle;etat")).write.options(
+        header=True, quote="", sep="\u0001"
+    ).csv(path)
+    return readers.semicolon_csv(spark, path).select("nom", "cle")
+
+
+@query
+def csv_typed_scan(spark, d):
+    """Sale lines through the 40-column file layout."""
+    path = staging.scratch_path(spark, "csv-sales")
+    schema = readers.sale_schema()
+    lines = _raw(spark, d).drop("annee")
+    full = lines.select(
+        *[
+            F.col(f.name) if f.name in lines.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+    writers.csv(full, path)
+    return tidy(readers.typed_csv(spark, path, schema).select(*lines.columns))
+
+
+@query
+def json_lines_scan(spark, d):
+    """JSON Lines with a broken line next to each row of one segment."""
+    path = staging.scratch_path(spark, "jsonl")
+    rows = _customers(spark, d)
+    good = rows.select(writers.as_json(rows.columns).alias("value"))
+    broken = rows.where("c_mktsegment = 'MACHINERY'").select(
+        F.concat(F.lit('{"c_custkey": '), "c_name").alias("value")
+    )
+    good.unionByName(broken).write.text(path)
+    return readers.json_lines(spark, path, rows.schema)
+
+
+@query
+def geojson_scan(spark, d):
+    """A FeatureCollection per department, read back into one row per feature."""
+    path = staging.scratch_path(spark, "geojson")
+    line = writers.feature(["code_commune", "nom_commune"], "geom", 6)
+    shapes = _outlines(spark, d).withColumn("dept", F.substring("code_commune", 1, 2))
+    body = F.concat_ws(",", F.collect_list(line))
+    collection = F.concat(
+        F.lit('{"type":"FeatureCollection",\n"features":['), body, F.lit("]}")
+    )
+    # One file per department: outlines of a department are few by nature.
+    shapes.groupBy("dept").agg(collection.alias("value")).write.partitionBy("dept").text(path)
+    back = readers.feature_collection(spark, path, "code_commune string, nom_commune string")
+    return tidy(back.withColumn("surface_km2", geo.area_km2("geom")).drop("geom", "dept"), 2)
+
+
+@query
+def feature_split_sink(spark, d):
+    """Features in one folder per department, by one partitioned write."""
+    path = staging.scratch_path(spark, "features")
+    shapes = _outlines(spark, d).withColumn(
+        "code_departement", F.substring("code_commune", 1, 2)
+    )
+    writers.features(shapes, path, digits=4, split_by="code_departement")
+    back = readers.feature_lines(spark, path, "code_commune string, nom_commune string")
+    return back.drop("geom")
+
+
+@query
+def parquet_partitioned_sink(spark, d):
+    path = staging.scratch_path(spark, "partitioned")
+    writers.parquet(_customers(spark, d), path, ["c_mktsegment"])
+    return readers.parquet(spark, path).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
+    )
+
+
+@query
+def json_sink(spark, d):
+    """Nested rows as JSON with their NULL fields, read back as text."""
+    path = staging.scratch_path(spark, "json")
+    nested = _customers(spark, d).select(
+        "c_custkey",
+        F.struct(
+            F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("nom"), "c_nationkey"
+        ).alias("detail"),
+    )
+    writers.json(nested, path)
+    return spark.read.text(path).select(F.col("value").alias("ligne"))
+
+
+@query
+def optional_table(spark, d):
+    """A table that was never produced becomes a typed empty side."""
+    missing = readers.optional_parquet(
+        spark, f"{staging.shared_folder(spark)}/never-written", "c_nationkey int, bonus double"
+    )
+    return _customers(spark, d).join(missing, "c_nationkey", "left").select("c_custkey", "bonus")
+
+
+@query
+def region_lookup(spark, d):
+    """Embedded department-to-region table joined to the departments at hand."""
+    return v.view(spark, d, "dept_box").select("code_departement").join(
+        F.broadcast(region_mapping(spark)), "code_departement", "left"
+    )
+
+
+@query
+def spatial_join_pairs(spark, d):
+    """Every stop with the outlines that hold it, border included."""
+    stops = indicators.transport_stops(v.view(spark, d, "stop_raw"))
+    return tidy(
+        spatial.points_in_polygons(
+            stops,
+            _outlines(spark, d, everywhere=True),
+            x="lon",
+            y="lat",
+            keep=["code_commune"],
+            border=True,
+        )
+    )
+
+
+@query
+def polygon_centroid(spark, d):
+    centre = geo.centroid("geom")
+    return tidy(
+        _outlines(spark, d, everywhere=True).select(
+            "code_commune", centre["lon"].alias("lon"), centre["lat"].alias("lat")
+        )
+    )
+
+
+@query
+def publish_latest(spark, d):
+    """A run's score table copied over the stable path."""
+    paths = layout.Layout(staging.scratch_path(spark, "publish"))
+    writers.parquet(_scores(spark, d), paths.gold("score_territoire", "2024-01-01"))
+    publish.publish_latest(paths, "score_territoire", "2024-01-01", spark)
+    return tidy(readers.parquet(spark, paths.latest("score_territoire")))
+
+
+@query
+def publish_web(spark, d):
+    """All artefacts of a run; the result is its manifest."""
+    clean = staged(_clean(spark, d), "sales")
+    tables = {
+        "communes": staged(_outlines(spark, d), "communes"),
+        "departments": v.with_box(v.view(spark, d, "dept_box")),
+        "regions": _regions(spark, d),
+        "sales": clean,
+        "prices": staged(sales.price_by_commune(clean), "prices"),
+        "prices_by_type": staged(sales.price_by_commune_and_type(clean), "types"),
+        "prices_by_department": staged(sales.price_by_department(clean), "depts"),
+        "scores": staged(_scores(spark, d), "scores"),
+        **{name: staged(frame, name) for name, frame in _score_tables(spark, d).items()},
+    }
+    paths = layout.Layout(staging.scratch_path(spark, "web"))
+    vintages = staged(_yearly(spark, d), "vintages")
+    by_year = {
+        year: vintages.where(F.col("annee") == year).drop("annee") for year in YEARS[:3]
+    }
+    manifest = publish.publish_web(
+        tables, paths, year=2024, run_date="2024-01-01", vintages=by_year, sample=500
+    )
+    return manifest.drop("generated_at")

@@ -41,3 +41,13 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a source that arrives in fewer pieces than there are cores.
+
+    For small or unsplittable files ahead of heavy per-row work; a large table
+    already has more splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
