@@ -260,7 +260,7 @@ def profile_table(
             "_v",
             {"mediane": 0.5},
             facts={"min": (F.min("_v"), F.min), "max": (F.max("_v"), F.max)},
-            method="ranked" if exact else "approx",
+            method="auto" if exact else "approx",
         )
         report = report.join(spread, F.col("colonne") == F.col("_column"), "left")
         return report.select(

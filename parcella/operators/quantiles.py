@@ -21,6 +21,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Input size up to which any group fits one aggregation state.
+STATE_BYTES = 64 * 1024 * 1024
+
 # A group-level aggregate carried along: first-stage aggregate, aggregate that
 # merges the partial column, and optionally a function of the merged column.
 Fact = tuple
@@ -36,6 +39,19 @@ def monotone_bucket(value: Column) -> Column:
     return F.when(value < 0, -step).otherwise(step)
 
 
+def choose_method(df: DataFrame) -> str:
+    """``state`` when Spark's own size estimate proves the input small, else ``ranked``.
+
+    The estimate is exact for stored tables and errs upwards for joins, so an
+    unknown size always takes the way that scales.
+    """
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:  # no local plan to ask
+        return "ranked"
+    return "state" if size <= STATE_BYTES else "ranked"
+
+
 def _merged(name: str, fact: Fact, group) -> Column:
     whole = fact[1](name).over(group)
     return fact[2](whole) if len(fact) > 2 else whole
@@ -105,19 +121,22 @@ def group_quantiles(
     probabilities: Mapping[str, float],
     *,
     facts: Mapping[str, Fact] | None = None,
-    method: str = "ranked",
+    method: str = "auto",
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per probability.
 
     ``method``:
 
-    * ``ranked`` - exact, splits hot groups (default, for row-grain data);
+    * ``auto`` - ``state`` for inputs proven small, else ``ranked``;
+    * ``ranked`` - exact, splits hot groups, for row-grain data of any size;
     * ``state`` - exact, Spark's ``percentile``; for frames whose groups are
       bounded, such as one row per administrative code;
     * ``approx`` - ``percentile_approx``, bounded state, not interpolated.
     """
     facts = facts or {}
     keys = list(keys)
+    if method == "auto":
+        method = choose_method(df)
     if method in ("state", "approx"):
         pick = F.percentile if method == "state" else F.percentile_approx
         quantiles = [pick(value, float(p)).alias(name) for name, p in probabilities.items()]

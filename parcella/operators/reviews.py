@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcella.functions import text
 from parcella.functions.codes import zero_filled
+from parcella.functions.lexicon import THEMES
 from parcella.functions.numbers import real_comma
 from parcella.operators.stats import correlations
 
@@ -198,23 +199,48 @@ def review_themes(segments: DataFrame) -> DataFrame:
     )
 
 
-def cloud_words(tokens: DataFrame, size: int = CLOUD_SIZE) -> DataFrame:
+def cloud_words(
+    tokens: DataFrame, size: int = CLOUD_SIZE, theme_names: Sequence[str] = tuple(THEMES)
+) -> DataFrame:
     """The first ``size`` words per commune by number of distinct reviews.
 
-    Theme lists are merged as a set of lists, which a fixed vocabulary bounds,
-    and the rank filter lets Spark drop words before they meet in one task.
+    Tokens are first reduced to one row per (commune, word, review). Themes
+    travel as bits over ``theme_names``, so every state is a few numbers and the
+    hash aggregation never falls back to sorting. The rank filter lets Spark
+    drop words before they meet in one task.
     """
-    per_word = tokens.groupBy(CODE, F.lower("token").alias("_key")).agg(
-        F.min("token").alias("word"),
-        F.count_distinct("avis_id").alias("weight"),
-        F.avg("sentiment").alias("_sentiment"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("themes")))).alias("themes"),
+    bits = F.lit(0).cast("long")
+    for i, theme in enumerate(theme_names):
+        bits = bits + F.when(F.array_contains("themes", theme), 1 << i).otherwise(0)
+    per_review = tokens.groupBy(CODE, F.lower("token").alias("_key"), "avis_id").agg(
+        F.sum("sentiment").alias("_sum"), F.count("sentiment").alias("_n"),
+        F.bit_or(bits).alias("_bits"),
+    )
+    per_word = per_review.groupBy(CODE, "_key").agg(
+        F.count("avis_id").alias("weight"),
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("_sentiment"),
+        F.bit_or("_bits").alias("_bits"),
+    )
+    # Words are shown in their own case where one has capitals, else as they are.
+    cased = (
+        tokens.where(F.col("token") != F.lower("token"))
+        .groupBy(CODE, F.lower("token").alias("_key"))
+        .agg(F.min("token").alias("_shown"))
+    )
+    shown = per_word.join(cased, [CODE, "_key"], "left").withColumn(
+        "word", F.coalesce("_shown", "_key")
     )
     rank = F.row_number().over(
         Window.partitionBy(CODE).orderBy(F.col("weight").desc(), F.col("word"))
     )
+    names = F.array(
+        *[
+            F.when(F.col("_bits").bitwiseAND(1 << i) > 0, F.lit(theme))
+            for i, theme in enumerate(theme_names)
+        ]
+    )
     return (
-        per_word.withColumn("rang", rank)
+        shown.withColumn("rang", rank)
         .where(F.col("rang") <= size)
         .select(
             CODE,
@@ -222,7 +248,7 @@ def cloud_words(tokens: DataFrame, size: int = CLOUD_SIZE) -> DataFrame:
             "word",
             "weight",
             text.sentiment_class("_sentiment").alias("sentiment"),
-            "themes",
+            F.array_sort(F.array_compact(names)).alias("themes"),
         )
     )
 

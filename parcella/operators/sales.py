@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,9 @@ RELIABLE_FROM = 5
 
 PRICE = "prix_m2"
 
+# Turns a frame into a stored table with the same rows.
+Store = Callable[[DataFrame], DataFrame]
+
 
 def clean_sale_lines(raw: DataFrame) -> DataFrame:
     """Dwelling sale lines with typed numbers and padded codes.
@@ -108,7 +111,7 @@ def clip_by_group(
     low: float = 0.01,
     high: float = 0.99,
     *,
-    method: str = "ranked",
+    method: str = "auto",
 ) -> DataFrame:
     """Keep rows whose value lies between two quantiles of their group, inclusive."""
     bounds = group_quantiles(df, keys, value, {"_low": low, "_high": high}, method=method)
@@ -119,10 +122,18 @@ def clip_by_group(
     )
 
 
-def clean_sales(raw: DataFrame, *, method: str = "ranked") -> DataFrame:
-    """Raw lines to clean sales: filter, de-duplicate, bound, clip p1-p99."""
-    bounded = bound_sales(dedup_sales(clean_sale_lines(raw)))
-    return clip_by_group(bounded, ["code_departement", "type_local"], PRICE, method=method)
+def clean_sales(
+    raw: DataFrame, *, method: str = "auto", store: Store | None = None
+) -> DataFrame:
+    """Raw lines to clean sales: filter, de-duplicate, bound, clip p1-p99.
+
+    ``store`` (such as ``sources.staging.staged``) keeps the bounded sales and
+    the result as tables. Several passes read them, and a stored table is read
+    narrow and has a known size; without it one lazy plan does everything.
+    """
+    keep = store or (lambda df: df)
+    bounded = keep(bound_sales(dedup_sales(clean_sale_lines(raw))))
+    return keep(clip_by_group(bounded, ["code_departement", "type_local"], PRICE, method=method))
 
 
 def _price_facts(*attributes: str, mean: bool = False) -> dict:
@@ -140,7 +151,7 @@ def _reliable(threshold: int) -> Column:
 
 
 def price_by_commune(
-    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "ranked"
+    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "auto"
 ) -> DataFrame:
     """Count, median, quartiles and mean per commune; small samples are only flagged."""
     stats = group_quantiles(
@@ -165,7 +176,7 @@ def price_by_commune(
 
 
 def price_by_commune_and_type(
-    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "ranked"
+    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "auto"
 ) -> DataFrame:
     """Count and median per commune and dwelling type."""
     stats = group_quantiles(
@@ -192,7 +203,7 @@ def price_with_all_types(
     key: str,
     *,
     threshold: int = RELIABLE_FROM,
-    method: str = "ranked",
+    method: str = "auto",
 ) -> DataFrame:
     """Grouping sets (key) and (key, type): ``type_local`` is NULL on the all-types rows.
 
@@ -219,12 +230,15 @@ def price_by_department(sales: DataFrame, **options) -> DataFrame:
     return price_with_all_types(sales, "code_departement", **options)
 
 
-def vintage_sales(raw: DataFrame, *, method: str = "ranked") -> DataFrame:
+def vintage_sales(
+    raw: DataFrame, *, method: str = "auto", store: Store | None = None
+) -> DataFrame:
     """Clean sales of every vintage in ``raw`` (column ``annee``) in a single job."""
+    keep = store or (lambda df: df)
     keys = ("id_mutation", "annee")
-    bounded = bound_sales(dedup_sales(clean_sale_lines(raw), keys))
-    return clip_by_group(
-        bounded, ["annee", "code_departement", "type_local"], PRICE, method=method
+    bounded = keep(bound_sales(dedup_sales(clean_sale_lines(raw), keys)))
+    return keep(
+        clip_by_group(bounded, ["annee", "code_departement", "type_local"], PRICE, method=method)
     )
 
 
@@ -235,7 +249,7 @@ def vintage_points(sales: DataFrame) -> DataFrame:
     )
 
 
-def vintage_prices(sales: DataFrame, *, method: str = "ranked") -> DataFrame:
+def vintage_prices(sales: DataFrame, *, method: str = "auto") -> DataFrame:
     """Count and median per vintage and commune."""
     stats = group_quantiles(
         sales,

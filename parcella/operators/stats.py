@@ -113,7 +113,7 @@ def histogram(
     series: Mapping[str, Column],
     bins: int = 60,
     *,
-    method: str = "ranked",
+    method: str = "auto",
 ) -> DataFrame:
     """Counts per uniform bin from 0 to the p99 rounded to hundreds, one column per series.
 

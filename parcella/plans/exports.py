@@ -135,7 +135,7 @@ def choropleth_departments(
 
 
 def choropleth_regions(
-    outlines: DataFrame, sales: DataFrame, scores: DataFrame, *, method: str = "ranked"
+    outlines: DataFrame, sales: DataFrame, scores: DataFrame, *, method: str = "auto"
 ) -> DataFrame:
     """Region map; medians come from the sales themselves, never from other medians."""
     mapping = region_mapping(outlines.sparkSession).select(DEPT, "code_region")
@@ -235,7 +235,7 @@ def national_series(years: DataFrame, *, key: str = "annee") -> DataFrame:
     return found.select(key, F.round("weighted_median").alias("national"))
 
 
-def price_histogram(sales: DataFrame, bins: int = 60, *, method: str = "ranked") -> DataFrame:
+def price_histogram(sales: DataFrame, bins: int = 60, *, method: str = "auto") -> DataFrame:
     """Price distribution: all sales, houses, flats."""
     kind = F.col("type_local")
     series = {

@@ -1247,6 +1247,10 @@ ORACLE |= {
 }
 
 
+for _name in ("clip_sales", "commune_agg", "dept_agg", "zone_prices", "price_histogram"):
+    ORACLE[f"{_name}_ranked"] = ORACLE[_name]
+
+
 def oracle_sql() -> dict[str, str]:
     """Complete statements, shared steps included."""
     return {name: with_clause(sql, STEPS) for name, sql in ORACLE.items()}

@@ -26,7 +26,7 @@ from parcella.plans import exports, publish
 from parcella.plans import views as v
 from parcella.plans.sales_profile import profile_sales
 from parcella.sources import layout, readers, staging, writers
-from parcella.sources.staging import spread, staged
+from parcella.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,11 +63,11 @@ def _bounded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _clean(spark: SparkSession, d: str) -> DataFrame:
-    return sales.clean_sales(_raw(spark, d).drop("annee"))
+    return sales.clean_sales(_raw(spark, d).drop("annee"), store=staged)
 
 
 def _vintages(spark: SparkSession, d: str) -> DataFrame:
-    return sales.vintage_sales(_raw(spark, d))
+    return sales.vintage_sales(_raw(spark, d), store=staged)
 
 
 @query
@@ -105,6 +105,22 @@ def dept_agg(spark, d):
     return tidy(sales.price_by_department(_clean(spark, d)))
 
 
+@query
+def clip_sales_ranked(spark, d):
+    """The way large inputs go: one lazy plan, ranks selected per bucket."""
+    return tidy(sales.clean_sales(_raw(spark, d).drop("annee"), method="ranked"))
+
+
+@query
+def commune_agg_ranked(spark, d):
+    return tidy(sales.price_by_commune(_clean(spark, d), method="ranked"))
+
+
+@query
+def dept_agg_ranked(spark, d):
+    return tidy(sales.price_by_department(_clean(spark, d), method="ranked"))
+
+
 @query
 def vintage_prices(spark, d):
     return tidy(sales.vintage_prices(_vintages(spark, d)))
@@ -275,13 +291,17 @@ def _assigned(spark: SparkSession, d: str) -> DataFrame:
     return territories.assign_to_zones(points, _zones(spark, d))
 
 
+def _assigned_table(spark: SparkSession, d: str) -> DataFrame:
+    return staged(_assigned(spark, d), "assigned")
+
+
 @query
 def assign_points_to_zones(spark, d):
     return tidy(_assigned(spark, d))
 
 
 def _zone_prices(spark: SparkSession, d: str) -> DataFrame:
-    return territories.zone_prices(_assigned(spark, d))
+    return territories.zone_prices(_assigned_table(spark, d))
 
 
 @query
@@ -289,6 +309,11 @@ def zone_prices(spark, d):
     return tidy(_zone_prices(spark, d))
 
 
+@query
+def zone_prices_ranked(spark, d):
+    return tidy(territories.zone_prices(_assigned(spark, d), method="ranked"))
+
+
 # --- scores ------------------------------------------------------------------
 
 
@@ -402,6 +427,11 @@ def price_histogram(spark, d):
     return exports.price_histogram(_clean(spark, d))
 
 
+@query
+def price_histogram_ranked(spark, d):
+    return exports.price_histogram(_clean(spark, d), method="ranked")
+
+
 @query
 def points_sample(spark, d):
     return tidy(exports.points_sample(_clean(spark, d), 500))
@@ -546,7 +576,7 @@ def length_scorer(texts):
 
 
 def _reviews(spark: SparkSession, d: str) -> DataFrame:
-    return reviews.clean_reviews(spread(v.view(spark, d, "review_raw")), "doc_id")
+    return reviews.clean_reviews(v.view(spark, d, "review_raw"), "doc_id")
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
@@ -564,9 +594,8 @@ def _tokens(spark: SparkSession, d: str) -> DataFrame:
 
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
     scored = staged(_scored(spark, d), "segments")
-    return reviews.review_rollup(
-        _reviews(spark, d), scored, reviews.extract_tokens(scored), SOURCE
-    )
+    tokens = staged(reviews.extract_tokens(scored), "tokens")
+    return reviews.review_rollup(_reviews(spark, d), scored, tokens, SOURCE)
 
 
 @query
@@ -633,7 +662,8 @@ def review_themes(spark, d):
 
 @query
 def wordcloud(spark, d):
-    return reviews.cloud_words(_tokens(spark, d)).withColumn("themes", F.array_join("themes", ","))
+    tokens = staged(_tokens(spark, d), "tokens")
+    return reviews.cloud_words(tokens).withColumn("themes", F.array_join("themes", ","))
 
 
 @query

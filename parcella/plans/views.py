@@ -22,6 +22,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+FACTS = ("lineitem", "documents")
+
 _COMMUNE = "lpad(CAST({n} AS STRING), 2, '0') || lpad(CAST({k} AS STRING), 3, '0')"
 _X = "(-5e0 + ({n} % 5) * 2.8e0 + ({k}) * 0.35e0)"
 _Y = "(42e0 + (({n} - {n} % 5) / 5e0) * 1.8e0 + ({v}) * 1.8e0)"
@@ -268,15 +270,24 @@ def with_clause(sql: str, texts: dict[str, str]) -> str:
     return f"WITH {body}\n{sql}"
 
 
-_SCHEMAS: dict[str, StructType] = {}
+# Schema and number of scan tasks per path, looked up once.
+_SOURCES: dict[str, tuple[StructType, int]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; its schema is looked up once per path."""
+    """One of the given tables.
+
+    A fact table that arrives in fewer pieces than there are cores (here each
+    file is one row group) is spread out; a large one is read as it is.
+    """
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    if path not in _SOURCES:
+        found = spark.read.parquet(path)
+        _SOURCES[path] = (found.schema, found.rdd.getNumPartitions())
+    schema, tasks = _SOURCES[path]
+    frame = spark.read.schema(schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return frame.repartition(cores) if name in FACTS and tasks < cores else frame
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
