@@ -46,7 +46,7 @@ def choose_method(df: DataFrame) -> str:
     unknown size always takes the way that scales.
     """
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:  # no local plan to ask
         return "ranked"
     return "state" if size <= STATE_BYTES else "ranked"

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcella.operators import quantiles, sales, stats
+from parcella.sources import staging
 
 
 @pytest.fixture(scope="module")
@@ -149,3 +150,10 @@ def test_plans_have_no_cartesian_product_and_no_row_level_single_partition(spark
         assert banned not in plan
     clipped = sales.clip_by_group(df, ["g"], "x")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in clipped
+
+
+def test_method_follows_the_proven_size(spark, monkeypatch):
+    stored = staging.staged(spark.range(100).withColumn("x", F.col("id") * 1.5))
+    assert quantiles.choose_method(stored) == "state"
+    monkeypatch.setattr(quantiles, "STATE_BYTES", 10)
+    assert quantiles.choose_method(stored) == "ranked"
