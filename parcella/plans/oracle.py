@@ -326,7 +326,7 @@ ORACLE |= {
         SELECT code_commune, {rounded("nb_logements", "part_residences_secondaires")} FROM housing""",
     "latest_period_rates": f"""
         SELECT code_commune, nb_indicateurs_diffuses, insee_pop,
-               {rounded("taux_delinquance_global")} FROM rate""",
+               {rounded("taux_delinquance_global", digits=9)} FROM rate""",
     "facility_counts": "SELECT * FROM facility",
     "employment_rates": "SELECT * FROM job",
     "label_clean": "SELECT * FROM label",

@@ -252,7 +252,8 @@ QUERIES |= {
     "income_clean": lambda spark, d: tidy(_incomes(spark, d)),
     "risk_counts": lambda spark, d: tidy(_risks(spark, d)),
     "share_of_sums": lambda spark, d: tidy(_second_homes(spark, d)),
-    "latest_period_rates": lambda spark, d: tidy(_crime(spark, d)),
+    # Rates carry seven decimals, so nine digits leave no rounding ties.
+    "latest_period_rates": lambda spark, d: tidy(_crime(spark, d), 9),
     "facility_counts": lambda spark, d: tidy(_facilities(spark, d)),
     "employment_rates": lambda spark, d: tidy(_employment(spark, d)),
     "label_clean": lambda spark, d: tidy(_labels(spark, d)),
