@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcella.functions import geo
@@ -56,21 +56,21 @@ def zone_outlines(raw: DataFrame) -> DataFrame:
     Never filtered on commune outlines: zones of city districts carry district
     codes those do not know.
     """
-    return (
-        raw.where(F.col("geom").isNotNull() & F.col("code_iris").isNotNull())
-        .withColumn("code_commune", territory_code("code_insee"))
-        .withColumn(
-            "nb_iris_commune", F.count(F.lit(1)).over(Window.partitionBy("code_commune"))
-        )
-        .select(
-            "code_iris",
-            "code_commune",
-            "nom_commune",
-            "nom_iris",
-            "type_iris",
-            "nb_iris_commune",
-            "geom",
-        )
+    shaped = raw.where(F.col("geom").isNotNull() & F.col("code_iris").isNotNull()).withColumn(
+        "code_commune", territory_code("code_insee")
+    )
+    # Counted apart and joined back: outlines need not meet in one task per commune.
+    siblings = shaped.groupBy(F.col("code_commune").alias("_commune")).agg(
+        F.count(F.lit(1)).alias("nb_iris_commune")
+    )
+    return shaped.join(siblings, F.expr("code_commune <=> _commune")).select(
+        "code_iris",
+        "code_commune",
+        "nom_commune",
+        "nom_iris",
+        "type_iris",
+        "nb_iris_commune",
+        "geom",
     )
 
 
