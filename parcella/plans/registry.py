@@ -637,8 +637,8 @@ def segment_sentiment_prior(spark, d):
 
 @query
 def calibration(spark, d):
-    segments = _scored(spark, d)
-    return tidy(reviews.calibrate(reviews.review_sentiment(_reviews(spark, d), segments)))
+    rated = staged(reviews.review_sentiment(_reviews(spark, d), _scored(spark, d)), "rated")
+    return tidy(reviews.calibrate(rated))
 
 
 @query
