@@ -35,14 +35,21 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
 
     This runs a job. The stored table survives lost executors, gives later
     passes column pruning and pushed filters, and its real size lets Spark
-    decide what to broadcast.
+    decide what to broadcast. It is deleted when the application ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop ``path`` when the driver's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Repartition a source that arrives in fewer pieces than there are cores.
 
