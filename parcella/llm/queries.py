@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcella.llm import licenses, mixing, quality, sharding, url_rules
+from parcella.llm import (
+    language,
+    licenses,
+    mixing,
+    near_dups,
+    pieces,
+    quality,
+    sharding,
+    url_rules,
+    vectors,
+    wrappers,
+)
 from parcella.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +57,30 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("v"))
+    queries = rows.where("vec_id % 20 = 0").select(
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q")
+    )
+    return vectors.search(vectors.Index(rows), queries, 20)
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, held against the round trip and against SentencePiece."""
+    return pieces.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_tokens", "ids_crc32", "round_trip", "parity", "ids"
+    )
+
+
 @query
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL under the nested allow and block rules."""
@@ -62,12 +97,30 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
+    return language.predict(docs, model, keep=("doc_id",)).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every entire text and of its single lines."""

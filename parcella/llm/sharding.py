@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from parcella.sources.staging import staged
 
 N_SLOTS = 4096
+#: Gap between the fullest and the emptiest shard, as a share of the mean, that needs no edit.
+TOLERANCE = 1e-4
 MAP_SCHEMA = "version int, virtual_slot int, shard int, n_rows long, n_bytes long"
 
 
@@ -59,6 +61,8 @@ def rebalance(shard_of: dict[int, int], loads, n_shards: int) -> dict[int, int]:
         full = max(range(n_shards), key=lambda s: (weight[s], -s))
         empty = min(range(n_shards), key=lambda s: (weight[s], s))
         gap = weight[full] - weight[empty]
+        if gap * n_shards <= TOLERANCE * sum(weight):
+            break
         best, give, take = gap, None, None
         back = sorted([(size[s], s) for s in members[empty]] + [(0, None)], key=lambda x: x[0])
         j = 0
