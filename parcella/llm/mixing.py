@@ -150,7 +150,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     )
     copy = free_name(docs, "copy")
     return (
-        docs.join(taken, docs[id_col].eqNullSafe(F.col("_id")))
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        docs.join(taken, docs[id_col].eqNullSafe(taken["_id"]))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), taken["_times"])))
         .select(*(docs[f"`{c}`"] for c in docs.columns))
     )

@@ -391,4 +391,4 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     keep = near_duplicates(docs, id_col, text).where("kept and doc_id is not null")
     keep = keep.select(F.col("doc_id").alias("_id")).distinct()
     null = docs.where(F.col(f"`{id_col}`").isNull())
-    return docs.join(keep, docs[id_col] == F.col("_id"), "left_semi").unionByName(null)
+    return docs.join(keep, docs[id_col] == keep["_id"], "left_semi").unionByName(null)

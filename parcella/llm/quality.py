@@ -14,6 +14,8 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,40 +35,53 @@ BASE_RULES = ("few_words", "repeats")
 HOST_LIMIT = 0.8
 
 
-def repeat_words(windows: Column) -> Column:
-    """Words inside three-word windows that occur more than once; ``windows``: their hashes.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
 
-    The windows are sorted with their places, so equal ones stand side by side; the
-    places found are then merged where windows overlap.
+    A plain column of an inner select would be copied into every place of a filter that
+    the optimiser pushes below it.
     """
-    ranked = F.sort_array(
-        F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"({WORD})"), 1)
+
+
+def repeat_words(words: Column) -> Column:
+    """Words inside three-word windows that occur more than once.
+
+    The windows' hashes are sorted with their places, so equal ones stand side by side;
+    the places found are then merged where windows overlap.
+    """
+    windows = F.transform(
+        F.sequence(F.lit(1), F.size(words) - 2),
+        lambda i: F.xxhash64(
+            F.element_at(words, i), F.element_at(words, i + 1), F.element_at(words, i + 2)
+        ),
     )
-    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(
-        _covered(ranked)
+    found = let(
+        windows,
+        lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(
+            let(F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), _covered)
+        ),
     )
+    return F.when(F.size(words) > 3, found).otherwise(F.lit(0)).cast("long")
 
 
 def _covered(ranked: Column) -> Column:
-    """Sum over the repeated places of the words each adds to those before it."""
-    twice = F.filter(
+    """Words covered by the windows that have an equal neighbour in hash order."""
+    repeated = F.filter(
         F.transform(
-            F.arrays_zip(
-                ranked.alias("a"),
-                F.slice(ranked, F.lit(2), F.size(ranked)).alias("b"),
-                F.concat(
-                    F.array(F.lit(None).cast("struct<h:bigint,i:int>")), ranked
-                ).alias("c"),
-            ),
-            lambda z: F.when(
-                (z["a"]["h"] == z["b"]["h"]) | (z["a"]["h"] == z["c"]["h"]), z["a"]["i"]
+            ranked,
+            lambda x, k: F.when(
+                (F.get(ranked, k - 1)["h"] == x["h"]) | (F.get(ranked, k + 1)["h"] == x["h"]), x["i"]
             ),
         ),
         lambda i: i.isNotNull(),
     )
-    places = F.sort_array(twice)
     return F.aggregate(
-        places,
+        F.sort_array(repeated),
         F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda s, i: F.struct(
             (s["n"] + F.least(F.lit(3), i - s["last"])).alias("n"), i.alias("last")
@@ -79,31 +94,24 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     """The ``keep`` columns and the counts of every document."""
     ids = [F.col(f"`{c}`") for c in keep]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    words = docs.select(*ids, body.alias("_t")).withColumn(
-        "_w", F.regexp_extract_all("_t", F.lit(f"({WORD})"), 1)
-    )
-    hashed = words.withColumn(
-        "_g",
-        F.when(
-            F.size("_w") > 3,
-            F.transform(
-                F.sequence(F.lit(1), F.size("_w") - 2),
-                lambda i: F.xxhash64(
-                    F.element_at("_w", i), F.element_at("_w", i + 1), F.element_at("_w", i + 2)
-                ),
-            ),
-        ).otherwise(F.array().cast("array<bigint>")),
-    ).withColumn(
-        "_l", F.filter(F.split("_t", "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
-    )
-    return hashed.select(
+    words = docs.select(*ids, body.alias("_t")).select("*", words_of(F.col("_t")).alias("_w"))
+    lines = F.filter(F.split("_t", "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
+    return words.select("*", lines.alias("_l")).select(
         *ids,
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.translate("_t", BLANKS, "")).cast("long").alias("word_chars"),
         (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("_g")).cast("long").alias("n_repeat_words"),
+        repeat_words(F.col("_w")).alias("n_repeat_words"),
+    )
+
+
+def passes_base(text: Column) -> Column:
+    """Whether a text passes the base rules: one expression, fit for a filter."""
+    return let(
+        words_of(F.coalesce(text, F.lit(""))),
+        lambda w: (F.size(w) >= FEWEST_WORDS) & (100 * repeat_words(w) <= 50 * F.size(w)),
     )
 
 
@@ -170,16 +178,10 @@ def apply_rules(
 def kept_documents(docs: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
     """Documents that pass, with the columns of ``docs``, ids unique or not.
 
-    The measures are made in place, next to the text; only the verdicts of hosts are joined.
+    The base rules are judged in place, next to the text; only hosts' verdicts are joined.
     """
-    columns = docs.columns
-    packed = docs.select(F.struct("*").alias("_row"), F.col("text"), F.col("source"))
-    measured = measure(packed, "text", ("_row", "source"))
-    narrow = staged(measured.drop("_row"), "measured")
-    hosts = host_verdicts(narrow, "source", host_limit)
-    base = F.expr(" or ".join(f"({RULES[r]})" for r in BASE_RULES))
-    return (
-        measured.where(~base)
-        .join(hosts.where("not host_failed"), F.col("source").eqNullSafe(F.col("host")), "left_semi")
-        .select(*(F.col("_row")[c].alias(c) for c in columns))
+    measured = staged(measure(docs, "text", ("source",)), "measured")
+    hosts = host_verdicts(measured, "source", host_limit).where("not host_failed").select("host")
+    return docs.where(passes_base(docs["text"])).join(
+        hosts, docs["source"].eqNullSafe(hosts["host"]), "left_semi"
     )
