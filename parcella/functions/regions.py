@@ -5,36 +5,115 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # The French administrative division in force since 2016,
-# (region code, region name, department codes).
+# (department code, region code, region name).
 REGIONS = (
-    ("84", "Auvergne-Rhône-Alpes", "01 03 07 15 26 38 42 43 63 69 73 74"),
-    ("27", "Bourgogne-Franche-Comté", "21 25 39 58 70 71 89 90"),
-    ("53", "Bretagne", "22 29 35 56"),
-    ("24", "Centre-Val de Loire", "18 28 36 37 41 45"),
-    ("94", "Corse", "2A 2B"),
-    ("44", "Grand Est", "08 10 51 52 54 55 57 67 68 88"),
-    ("32", "Hauts-de-France", "02 59 60 62 80"),
-    ("11", "Île-de-France", "75 77 78 91 92 93 94 95"),
-    ("28", "Normandie", "14 27 50 61 76"),
-    ("75", "Nouvelle-Aquitaine", "16 17 19 23 24 33 40 47 64 79 86 87"),
-    ("76", "Occitanie", "09 11 12 30 31 32 34 46 48 65 66 81 82"),
-    ("52", "Pays de la Loire", "44 49 53 72 85"),
-    ("93", "Provence-Alpes-Côte d'Azur", "04 05 06 13 83 84"),
-    ("01", "Guadeloupe", "971"),
-    ("02", "Martinique", "972"),
-    ("03", "Guyane", "973"),
-    ("04", "La Réunion", "974"),
-    ("06", "Mayotte", "976"),
+    ("01", "84", "Auvergne-Rhône-Alpes"),
+    ("02", "32", "Hauts-de-France"),
+    ("03", "84", "Auvergne-Rhône-Alpes"),
+    ("04", "93", "Provence-Alpes-Côte d'Azur"),
+    ("05", "93", "Provence-Alpes-Côte d'Azur"),
+    ("06", "93", "Provence-Alpes-Côte d'Azur"),
+    ("07", "84", "Auvergne-Rhône-Alpes"),
+    ("08", "44", "Grand Est"),
+    ("09", "76", "Occitanie"),
+    ("10", "44", "Grand Est"),
+    ("11", "76", "Occitanie"),
+    ("12", "76", "Occitanie"),
+    ("13", "93", "Provence-Alpes-Côte d'Azur"),
+    ("14", "28", "Normandie"),
+    ("15", "84", "Auvergne-Rhône-Alpes"),
+    ("16", "75", "Nouvelle-Aquitaine"),
+    ("17", "75", "Nouvelle-Aquitaine"),
+    ("18", "24", "Centre-Val de Loire"),
+    ("19", "75", "Nouvelle-Aquitaine"),
+    ("21", "27", "Bourgogne-Franche-Comté"),
+    ("22", "53", "Bretagne"),
+    ("23", "75", "Nouvelle-Aquitaine"),
+    ("24", "75", "Nouvelle-Aquitaine"),
+    ("25", "27", "Bourgogne-Franche-Comté"),
+    ("26", "84", "Auvergne-Rhône-Alpes"),
+    ("27", "28", "Normandie"),
+    ("28", "24", "Centre-Val de Loire"),
+    ("29", "53", "Bretagne"),
+    ("2A", "94", "Corse"),
+    ("2B", "94", "Corse"),
+    ("30", "76", "Occitanie"),
+    ("31", "76", "Occitanie"),
+    ("32", "76", "Occitanie"),
+    ("33", "75", "Nouvelle-Aquitaine"),
+    ("34", "76", "Occitanie"),
+    ("35", "53", "Bretagne"),
+    ("36", "24", "Centre-Val de Loire"),
+    ("37", "24", "Centre-Val de Loire"),
+    ("38", "84", "Auvergne-Rhône-Alpes"),
+    ("39", "27", "Bourgogne-Franche-Comté"),
+    ("40", "75", "Nouvelle-Aquitaine"),
+    ("41", "24", "Centre-Val de Loire"),
+    ("42", "84", "Auvergne-Rhône-Alpes"),
+    ("43", "84", "Auvergne-Rhône-Alpes"),
+    ("44", "52", "Pays de la Loire"),
+    ("45", "24", "Centre-Val de Loire"),
+    ("46", "76", "Occitanie"),
+    ("47", "75", "Nouvelle-Aquitaine"),
+    ("48", "76", "Occitanie"),
+    ("49", "52", "Pays de la Loire"),
+    ("50", "28", "Normandie"),
+    ("51", "44", "Grand Est"),
+    ("52", "44", "Grand Est"),
+    ("53", "52", "Pays de la Loire"),
+    ("54", "44", "Grand Est"),
+    ("55", "44", "Grand Est"),
+    ("56", "53", "Bretagne"),
+    ("57", "44", "Grand Est"),
+    ("58", "27", "Bourgogne-Franche-Comté"),
+    ("59", "32", "Hauts-de-France"),
+    ("60", "32", "Hauts-de-France"),
+    ("61", "28", "Normandie"),
+    ("62", "32", "Hauts-de-France"),
+    ("63", "84", "Auvergne-Rhône-Alpes"),
+    ("64", "75", "Nouvelle-Aquitaine"),
+    ("65", "76", "Occitanie"),
+    ("66", "76", "Occitanie"),
+    ("67", "44", "Grand Est"),
+    ("68", "44", "Grand Est"),
+    ("69", "84", "Auvergne-Rhône-Alpes"),
+    ("70", "27", "Bourgogne-Franche-Comté"),
+    ("71", "27", "Bourgogne-Franche-Comté"),
+    ("72", "52", "Pays de la Loire"),
+    ("73", "84", "Auvergne-Rhône-Alpes"),
+    ("74", "84", "Auvergne-Rhône-Alpes"),
+    ("75", "11", "Île-de-France"),
+    ("76", "28", "Normandie"),
+    ("77", "11", "Île-de-France"),
+    ("78", "11", "Île-de-France"),
+    ("79", "75", "Nouvelle-Aquitaine"),
+    ("80", "32", "Hauts-de-France"),
+    ("81", "76", "Occitanie"),
+    ("82", "76", "Occitanie"),
+    ("83", "93", "Provence-Alpes-Côte d'Azur"),
+    ("84", "93", "Provence-Alpes-Côte d'Azur"),
+    ("85", "52", "Pays de la Loire"),
+    ("86", "75", "Nouvelle-Aquitaine"),
+    ("87", "75", "Nouvelle-Aquitaine"),
+    ("88", "44", "Grand Est"),
+    ("89", "27", "Bourgogne-Franche-Comté"),
+    ("90", "27", "Bourgogne-Franche-Comté"),
+    ("91", "11", "Île-de-France"),
+    ("92", "11", "Île-de-France"),
+    ("93", "11", "Île-de-France"),
+    ("94", "11", "Île-de-France"),
+    ("95", "11", "Île-de-France"),
+    ("971", "01", "Guadeloupe"),
+    ("972", "02", "Martinique"),
+    ("973", "03", "Guyane"),
+    ("974", "04", "La Réunion"),
+    ("976", "06", "Mayotte"),
 )
 
 
 def region_rows() -> list[tuple[str, str, str]]:
     """(department, region code, region name), 101 rows."""
-    return [
-        (department, code, name)
-        for code, name, departments in REGIONS
-        for department in departments.split()
-    ]
+    return list(REGIONS)
 
 
 def region_mapping(spark: SparkSession) -> DataFrame:

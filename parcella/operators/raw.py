@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,13 @@ CATEGORIES = {
     "Qualité de vie": "qualite_de_vie",
 }
 
+# What the markup of a review page dictates.
+REVIEW_OPENS = '<div class="comm"[^>]*>'
+REVIEW_ENDS = ('<div id="pagination"', "</section>", "</main>")
+RATING_CLASS = 'class="moyenne"'
+DATE_AFTER, DATE_BEFORE = "Avis posté le ", " à"
+AUTHOR_AFTER, AUTHOR_BEFORE = "Par <strong>", "</strong>"
+
 _DMS = "{name}\\s*:\\s*(\\d+)°(\\d+)'(\\d+)\"([{plus}{minus}])"
 
 
@@ -93,12 +102,21 @@ def parse_station_sheets(sheets: DataFrame, station: str, text: str) -> DataFram
     )
 
 
+def between(c: Column, opening: str, closing: str) -> Column:
+    """What stands after the first ``opening``, up to the next ``closing``; empty if neither."""
+    after = F.get(F.split(c, f"\\Q{opening}\\E", 2), 1)
+    return F.coalesce(F.substring_index(after, closing, 1), F.lit(""))
+
+
+def without_tags(c: Column) -> Column:
+    """Text of a fragment, a space for each tag, trimmed of all white space."""
+    return F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), "^\\s+|\\s+$", "")
+
+
 def page_heading(html: Column | str) -> Column:
     """Text of the first heading, a trailing number in brackets left out."""
     page = F.col(html) if isinstance(html, str) else html
-    return F.trim(
-        F.regexp_extract(page, "<h1>\\s*(.+?)\\s*(?:\\(\\d+\\))?\\s*</h1>", 1)
-    )
+    return F.trim(F.regexp_replace(between(page, "<h1>", "</h1>"), "\\(\\d+\\)\\s*$", ""))
 
 
 def page_title(html: Column | str) -> Column:
@@ -106,71 +124,80 @@ def page_title(html: Column | str) -> Column:
     return title_case(page_heading(html))
 
 
-def page_blocks(html: Column | str, opening: str, ends: str) -> Column:
-    """Contents of every block from an opening tag to the next one or to ``ends``.
-
-    The last block of a page counts even when nothing follows it.
+def page_blocks(html: Column | str, opening: str, ends: Sequence[str]) -> Column:
+    """Contents of every block from an opening tag (a pattern) to the next one or to the
+    first of ``ends``. The last block of a page counts even when nothing follows it.
     """
     page = F.col(html) if isinstance(html, str) else html
-    pattern = f"(?s)(?:{opening})(.*?)(?=(?:{opening})|{ends}|\\z)"
-    return F.regexp_extract_all(page, F.lit(pattern), F.lit(1))
+    parts = F.split(page, opening)
+
+    def cut(part: Column) -> Column:
+        for end in ends:
+            part = F.substring_index(part, end, 1)
+        return part
+
+    return F.transform(F.slice(parts, F.lit(2), F.size(parts)), cut)
 
 
 def extract_review_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Review pages to one row per rated review; blocks without a rating are skipped.
 
-    ``pages`` needs ``slug``, ``code_commune``, ``nom_ville`` and the page text.
+    ``pages`` needs ``slug``, ``code_commune``, ``nom_ville`` and the page text. Rows of
+    the note table and labelled texts are cut at their tags; of two with the same name
+    the last counts.
     """
-    blocks = page_blocks(
-        html, '<div class="comm"[^>]*>', '<div id="pagination"|</section>|</main>'
-    )
-    opened = pages.select("slug", "code_commune", "nom_ville", F.explode(blocks).alias("_b"))
-    block = F.col("_b")
-    table = F.regexp_extract(block, "(?s)<table>(.*?)</table>", 1)
-    row = "<th>(.*?)</th>\\s*<td[^>]*>(\\d+)</td>"
-    names = F.transform(
-        F.regexp_extract_all(table, F.lit(row), F.lit(1)),
-        lambda n: F.trim(F.replace(F.replace(n, F.lit("<br />"), F.lit(" ")), F.lit("\n"), F.lit(" "))),
+    place = ["slug", "code_commune", "nom_ville"]
+    blocks = page_blocks(html, REVIEW_OPENS, REVIEW_ENDS)
+    block = F.col("_block")
+    lines = F.split(between(block, "<table>", "</table>"), "</tr>")
+    notes = F.transform(
+        lines,
+        lambda line: F.struct(
+            F.trim(F.regexp_replace(between(line, "<th>", "</th>"), "<br />|\n", " ")).alias("name"),
+            F.regexp_extract(between(line, "<td", "</td>"), ">(\\d+)$", 1).alias("note"),
+        ),
     )
-    notes = F.arrays_zip(
-        names.alias("name"), F.regexp_extract_all(table, F.lit(row), F.lit(2)).alias("note")
+    bold = F.split(block, "<b>")
+    texts = F.transform(
+        F.slice(bold, F.lit(2), F.size(bold)),
+        lambda part: F.struct(
+            F.lower(F.substring_index(part, "</b>", 1)).alias("label"),
+            without_tags(between(F.substring_index(part, "</p>", 1), "</b>", "<b>")).alias("body"),
+        ),
     )
-    labelled = "(?s)<b>([^<]+)</b>(.*?)(?=<b>|</p>)"
-    texts = F.arrays_zip(
-        F.regexp_extract_all(block, F.lit(labelled), F.lit(1)).alias("label"),
-        F.regexp_extract_all(block, F.lit(labelled), F.lit(2)).alias("body"),
+    mean = F.regexp_extract(
+        F.substring_index(between(block, RATING_CLASS, "<"), ">", -1), "^[0-9.,]+", 0
     )
-    staged = opened.withColumns({"_notes": notes, "_texts": texts})
-
-    def rating(category: str) -> Column:
-        hits = F.filter("_notes", lambda n: n["name"] == category)
-        return F.coalesce(F.try_element_at(hits, F.lit(-1))["note"], F.lit(""))
-
-    def body(*words: str) -> Column:
-        def matches(t: Column) -> Column:
-            label = F.lower(t["label"])
-            found = F.lit(False)
-            for word in words:
-                found = found | label.contains(word)
-            return found
-
-        last = F.try_element_at(F.filter("_texts", matches), F.lit(-1))["body"]
-        return F.coalesce(
-            F.regexp_replace(F.regexp_replace(last, "<[^>]+>", " "), "^\\s+|\\s+$", ""), F.lit("")
+    read = (
+        pages.select(*place, F.explode(blocks).alias("_block"))
+        .select(
+            *place,
+            F.trim(between(block, DATE_AFTER, DATE_BEFORE)).alias("date"),
+            F.trim(between(block, AUTHOR_AFTER, AUTHOR_BEFORE)).alias("auteur"),
+            F.replace(mean, F.lit(","), F.lit(".")).alias("note_moyenne"),
+            notes.alias("_notes"),
+            texts.alias("_texts"),
         )
+        .where("note_moyenne <> ''")
+    )
 
-    return staged.where(block.rlike('class="moyenne"[^>]*>[\\d,.]+')).select(
-        "slug",
-        "code_commune",
-        "nom_ville",
-        F.trim(F.regexp_extract(block, "Avis posté le (.+?) à", 1)).alias("date"),
-        F.trim(F.regexp_extract(block, "Par <strong>(.+?)</strong>", 1)).alias("auteur"),
-        F.replace(
-            F.regexp_extract(block, 'class="moyenne"[^>]*>([\\d,.]+)', 1), F.lit(","), F.lit(".")
-        ).alias("note_moyenne"),
-        *[rating(category).alias(name) for category, name in CATEGORIES.items()],
+    def last(found: Column, field: str) -> Column:
+        return F.coalesce(F.try_element_at(found, F.lit(-1))[field], F.lit(""))
+
+    def note(category: str) -> Column:
+        return last(F.filter("_notes", lambda n: (n["name"] == category) & (n["note"] != "")), "note")
+
+    def body(pattern: str) -> Column:
+        return last(F.filter("_texts", lambda t: t["label"].rlike(pattern)), "body")
+
+    return read.select(
+        *place,
+        "date",
+        "auteur",
+        "note_moyenne",
+        *[note(category).alias(name) for category, name in CATEGORIES.items()],
         body("positif").alias("points_positifs"),
-        body("négatif", "negatif").alias("points_negatifs"),
+        body("n[ée]gatif").alias("points_negatifs"),
     )
 
 

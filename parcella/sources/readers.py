@@ -2,42 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DoubleType,
-    StringType,
-    StructField,
-    StructType,
-)
+from pyspark.sql.types import StructType
 
 from parcella.functions import geo
 
-# The published sale-record layout, in file order.
-SALE_TEXT, SALE_NUMBER = "s", "d"
-SALE_LAYOUT = (
-    "id_mutation:s date_mutation:s numero_disposition:s nature_mutation:s valeur_fonciere:d "
-    "adresse_numero:s adresse_suffixe:s adresse_nom_voie:s adresse_code_voie:s code_postal:s "
-    "code_commune:s nom_commune:s code_departement:s ancien_code_commune:s "
-    "ancien_nom_commune:s id_parcelle:s ancien_id_parcelle:s numero_volume:s "
-    "lot1_numero:s lot1_surface_carrez:d lot2_numero:s lot2_surface_carrez:d "
-    "lot3_numero:s lot3_surface_carrez:d lot4_numero:s lot4_surface_carrez:d "
-    "lot5_numero:s lot5_surface_carrez:d nombre_lots:s code_type_local:s type_local:s "
-    "surface_reelle_bati:d nombre_pieces_principales:d code_nature_culture:s "
-    "nature_culture:s code_nature_culture_speciale:s nature_culture_speciale:s "
-    "surface_terrain:d longitude:d latitude:d"
+# Columns and types of the published sale records, in file order.
+SALE_COLUMNS = (
+    ("id_mutation", "string"),
+    ("date_mutation", "string"),
+    ("numero_disposition", "string"),
+    ("nature_mutation", "string"),
+    ("valeur_fonciere", "double"),
+    ("adresse_numero", "string"),
+    ("adresse_suffixe", "string"),
+    ("adresse_nom_voie", "string"),
+    ("adresse_code_voie", "string"),
+    ("code_postal", "string"),
+    ("code_commune", "string"),
+    ("nom_commune", "string"),
+    ("code_departement", "string"),
+    ("ancien_code_commune", "string"),
+    ("ancien_nom_commune", "string"),
+    ("id_parcelle", "string"),
+    ("ancien_id_parcelle", "string"),
+    ("numero_volume", "string"),
+    ("lot1_numero", "string"),
+    ("lot1_surface_carrez", "double"),
+    ("lot2_numero", "string"),
+    ("lot2_surface_carrez", "double"),
+    ("lot3_numero", "string"),
+    ("lot3_surface_carrez", "double"),
+    ("lot4_numero", "string"),
+    ("lot4_surface_carrez", "double"),
+    ("lot5_numero", "string"),
+    ("lot5_surface_carrez", "double"),
+    ("nombre_lots", "string"),
+    ("code_type_local", "string"),
+    ("type_local", "string"),
+    ("surface_reelle_bati", "double"),
+    ("nombre_pieces_principales", "double"),
+    ("code_nature_culture", "string"),
+    ("nature_culture", "string"),
+    ("code_nature_culture_speciale", "string"),
+    ("nature_culture_speciale", "string"),
+    ("surface_terrain", "double"),
+    ("longitude", "double"),
+    ("latitude", "double"),
 )
 
 
 def sale_schema() -> StructType:
     """The 40-column sale schema; codes stay text to keep their zeros."""
-    fields = (item.split(":") for item in SALE_LAYOUT.split())
-    return StructType(
-        [
-            StructField(name, DoubleType() if kind == SALE_NUMBER else StringType())
-            for name, kind in fields
-        ]
-    )
+    schema = StructType()
+    for name, kind in SALE_COLUMNS:
+        schema.add(name, kind)
+    return schema
 
 
 def text_csv(spark: SparkSession, path: str, *, sep: str = ",", **options: object) -> DataFrame:
@@ -59,9 +80,9 @@ def semicolon_csv(spark: SparkSession, path: str) -> DataFrame:
 def gzip_csv(
     spark: SparkSession, path: str, partitions: int, schema: StructType | None = None
 ) -> DataFrame:
-    """Gzip CSV spread over ``partitions`` right after the unsplittable read."""
+    """Gzip CSV, spread over ``partitions`` if the unsplittable files give fewer."""
     frame = typed_csv(spark, path, schema) if schema else text_csv(spark, path)
-    return frame.repartition(partitions)
+    return frame.repartition(partitions) if frame.rdd.getNumPartitions() < partitions else frame
 
 
 def typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -137,19 +158,3 @@ def optional_parquet(
     if exists(spark, path):
         return spark.read.parquet(path)
     return spark.createDataFrame([], schema) if schema is not None else None
-
-
-def columns_of(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names and types, in order."""
-    return list(df.dtypes)
-
-
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small embedded reference table."""
-    return spark.createDataFrame(rows, schema)
-
-
-def present(c: Column | str) -> Column:
-    """Neither NULL nor NaN."""
-    value = F.col(c) if isinstance(c, str) else c
-    return value.isNotNull() & ~F.isnan(value)
