@@ -12,6 +12,9 @@ select ranks instead:
    (group, bucket) rather than per group.
 
 The result is exact: the bucket only narrows the search.
+
+One rule for every method: facts are taken over all rows of a group, NULL and NaN
+values never enter a quantile, and a group without any other value has NULL quantiles.
 """
 
 from __future__ import annotations
@@ -21,9 +24,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Input size up to which any group fits one aggregation state.
-STATE_BYTES = 64 * 1024 * 1024
-
 # A group-level aggregate carried along: first-stage aggregate, aggregate that
 # merges the partial column, and optionally a function of the merged column.
 Fact = tuple
@@ -39,17 +39,9 @@ def monotone_bucket(value: Column) -> Column:
     return F.when(value < 0, -step).otherwise(step)
 
 
-def choose_method(df: DataFrame) -> str:
-    """``state`` when Spark's own size estimate proves the input small, else ``ranked``.
-
-    The estimate is exact for stored tables and errs upwards for joins, so an
-    unknown size always takes the way that scales.
-    """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:  # no local plan to ask
-        return "ranked"
-    return "state" if size <= STATE_BYTES else "ranked"
+def usable(value: Column) -> Column:
+    """The value, NULL in place of NaN."""
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
 def _merged(name: str, fact: Fact, group) -> Column:
@@ -69,20 +61,21 @@ def select_ranks(
     """Per group, the smallest value whose cumulative weight reaches each target.
 
     ``targets`` maps an output name to a SQL expression of ``_total``, the
-    group's total weight. ``facts`` adds group-level aggregates (see ``Fact``).
-    The output has ``keys``, one column per fact, ``_total`` and one column per
-    target.
+    group's total weight over rows with a value. ``facts`` adds group-level
+    aggregates over all rows (see ``Fact``). The output has ``keys``, one column
+    per fact, ``_total`` and one column per target; a group without a value has
+    NULL targets.
     """
     facts = facts or {}
     keys = list(keys)
     w = F.col(weight) if weight else F.lit(1)
-    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn(
-        "_bucket", monotone_bucket(F.col(value))
-    )
+    rows = df.withColumn("_bucket", monotone_bucket(usable(F.col(value))))
     reached = {n: f"({t}) > _before AND ({t}) <= _before + _w" for n, t in targets.items()}
 
+    # rows without a value share the NULL bucket, which has facts but no weight
     histogram = rows.groupBy(*keys, "_bucket").agg(
-        F.sum(w).alias("_w"), *[fact[0].alias(name) for name, fact in facts.items()]
+        F.sum(F.when(F.col("_bucket").isNotNull(), w).otherwise(F.lit(0))).alias("_w"),
+        *[fact[0].alias(name) for name, fact in facts.items()],
     )
     group = Window.partitionBy(*keys)
     placed = histogram.select(
@@ -94,6 +87,9 @@ def select_ranks(
         *[_merged(name, fact, group).alias(name) for name, fact in facts.items()],
     )
     constant = ["_before", "_total", *facts]
+    empty = placed.where("_total = 0").groupBy(*keys, "_total", *facts).agg(
+        *[F.lit(None).cast("double").alias(n) for n in targets]
+    )
     located = placed.where(" OR ".join(reached.values())).selectExpr(
         *[f"{k} AS _key{i}" for i, k in enumerate(keys)], "_bucket AS _at", *constant
     )
@@ -109,9 +105,10 @@ def select_ranks(
     ordered = counted.withColumn(
         "_before", F.col("_before") + F.sum("_w").over(inside) - F.col("_w")
     )
-    return ordered.groupBy(*keys, "_total", *facts).agg(
+    found = ordered.groupBy(*keys, "_total", *facts).agg(
         *[F.expr(f"max(CASE WHEN {test} THEN _value END)").alias(n) for n, test in reached.items()]
     )
+    return found.unionByName(empty)
 
 
 def group_quantiles(
@@ -121,25 +118,24 @@ def group_quantiles(
     probabilities: Mapping[str, float],
     *,
     facts: Mapping[str, Fact] | None = None,
-    method: str = "auto",
+    method: str = "ranked",
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per probability.
 
     ``method``:
 
-    * ``auto`` - ``state`` for inputs proven small, else ``ranked``;
     * ``ranked`` - exact, splits hot groups, for row-grain data of any size;
-    * ``state`` - exact, Spark's ``percentile``; for frames whose groups are
-      bounded, such as one row per administrative code;
+    * ``state`` - exact, Spark's ``percentile``; the caller chooses it for frames
+      whose groups are bounded, such as one row per administrative code;
     * ``approx`` - ``percentile_approx``, bounded state, not interpolated.
     """
     facts = facts or {}
     keys = list(keys)
-    if method == "auto":
-        method = choose_method(df)
     if method in ("state", "approx"):
         pick = F.percentile if method == "state" else F.percentile_approx
-        quantiles = [pick(value, float(p)).alias(name) for name, p in probabilities.items()]
+        quantiles = [
+            pick(usable(F.col(value)), float(p)).alias(name) for name, p in probabilities.items()
+        ]
         return df.groupBy(*keys).agg(
             *[fact[0].alias(name) for name, fact in facts.items()], *quantiles
         )

@@ -75,14 +75,18 @@ def tag_themes(
     return segments.withColumn("themes", text.themes("text", vocabulary))
 
 
-def score_segments(segments: DataFrame, scorer: Scorer | None = None) -> DataFrame:
+def score_segments(segments: DataFrame, scorer: Scorer | Column | None = None) -> DataFrame:
     """Add ``model_score``, ``sentiment`` and ``concordant``.
 
-    ``scorer`` maps a batch of texts to scores in [-1, 1] (None when it cannot
-    tell) and runs on Arrow batches; without one the declared polarity decides.
+    ``scorer`` is an expression of ``text``, or a function that maps a batch of texts
+    to scores in [-1, 1] (None when it cannot tell) and runs on Arrow batches; its
+    module must be installed on the executors, or shipped with ``addPyFile``. Without
+    a scorer the declared polarity decides.
     """
     if scorer is None:
         model = F.lit(None).cast("double")
+    elif isinstance(scorer, Column):
+        model = scorer
     else:
 
         @F.pandas_udf("double")
@@ -212,7 +216,7 @@ def cloud_words(
     bits = F.lit(0).cast("long")
     for i, theme in enumerate(theme_names):
         bits = bits + F.when(F.array_contains("themes", theme), 1 << i).otherwise(0)
-    per_review = tokens.groupBy(CODE, F.lower("token").alias("_key"), "avis_id").agg(
+    per_review = tokens.groupBy(CODE, F.col("token").alias("_key"), "avis_id").agg(
         F.sum("sentiment").alias("_sum"), F.count("sentiment").alias("_n"),
         F.bit_or(bits).alias("_bits"),
     )
@@ -221,15 +225,6 @@ def cloud_words(
         F.try_divide(F.sum("_sum"), F.sum("_n")).alias("_sentiment"),
         F.bit_or("_bits").alias("_bits"),
     )
-    # Words are shown in their own case where one has capitals, else as they are.
-    cased = (
-        tokens.where(F.col("token") != F.lower("token"))
-        .groupBy(CODE, F.lower("token").alias("_key"))
-        .agg(F.min("token").alias("_shown"))
-    )
-    shown = per_word.join(cased, [CODE, "_key"], "left").withColumn(
-        "word", F.coalesce("_shown", "_key")
-    )
     rank = F.row_number().over(
         Window.partitionBy(CODE).orderBy(F.col("weight").desc(), F.col("word"))
     )
@@ -240,7 +235,8 @@ def cloud_words(
         ]
     )
     return (
-        shown.withColumn("rang", rank)
+        per_word.withColumnRenamed("_key", "word")
+        .withColumn("rang", rank)
         .where(F.col("rang") <= size)
         .select(
             CODE,

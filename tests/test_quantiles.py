@@ -152,8 +152,10 @@ def test_plans_have_no_cartesian_product_and_no_row_level_single_partition(spark
     assert "CartesianProduct" not in clipped
 
 
-def test_method_follows_the_proven_size(spark, monkeypatch):
-    stored = staging.staged(spark.range(100).withColumn("x", F.col("id") * 1.5))
-    assert quantiles.choose_method(stored) == "state"
-    monkeypatch.setattr(quantiles, "STATE_BYTES", 10)
-    assert quantiles.choose_method(stored) == "ranked"
+@pytest.mark.parametrize("method", ["ranked", "state"])
+def test_null_and_nan_by_one_rule(spark, method):
+    rows = [("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), ("b", None), ("c", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    facts = {"n": (F.count(F.lit(1)), F.sum)}
+    got = quantiles.group_quantiles(df, ["g"], "x", {"m": 0.5}, facts=facts, method=method)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 4, 2.0), ("b", 1, None), ("c", 1, None)]
