@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType
 
@@ -133,16 +133,16 @@ def vintage_points(spark, d):
 
 @query
 def bronze_typed(spark, d):
-    return tidy(sales.to_bronze(_raw(spark, d), 8))
+    return tidy(sales.to_bronze(_raw(spark, d)))
 
 
 @query
 def quality_filter(spark, d):
-    return tidy(sales.filter_quality(sales.to_bronze(_raw(spark, d), 8)))
+    return tidy(sales.filter_quality(sales.to_bronze(_raw(spark, d))))
 
 
 def _mutations(spark: SparkSession, d: str) -> DataFrame:
-    return sales.mutations(sales.filter_quality(sales.to_bronze(_raw(spark, d), 8)))
+    return sales.mutations(sales.filter_quality(sales.to_bronze(_raw(spark, d))))
 
 
 @query
@@ -571,9 +571,10 @@ VOCABULARY = {theme: (*words, *EXTRA_WORDS[theme]) for theme, words in THEMES.it
 SOURCE = "habitants"
 
 
-def length_scorer(texts):
+def length_score() -> Column:
     """Stand-in model: a score from the length of a text, none for every fifth."""
-    return [None if len(t) % 5 == 0 else (len(t) % 23) / 11.5 - 1.0 for t in texts]
+    n = F.length("text")
+    return F.when(n % 5 != 0, (n % 23) / F.lit(11.5) - 1.0)
 
 
 def _reviews(spark: SparkSession, d: str) -> DataFrame:
@@ -586,7 +587,7 @@ def _segments(spark: SparkSession, d: str) -> DataFrame:
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     tagged = reviews.tag_themes(_segments(spark, d), VOCABULARY)
-    return reviews.score_segments(tagged, length_scorer)
+    return reviews.score_segments(tagged, length_score())
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -734,7 +735,7 @@ def station_sheets(spark, d):
 @query
 def page_blocks(spark, d):
     pages = v.table(spark, d, "pages")
-    blocks = raw.page_blocks("html", "<p>", "</article>")
+    blocks = raw.page_blocks("html", "<p>", ("</article>",))
     return pages.select(
         "page_id",
         raw.page_heading("html").alias("titre"),

@@ -8,7 +8,6 @@ side from the box columns.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -304,13 +303,3 @@ def with_box(df: DataFrame, *, drop: bool = True) -> DataFrame:
     shaped = df.withColumn("geom", geo.box(*[F.col(c) for c in corners]))
     extra = [c for c in (*corners, "mid_x", "n", "k") if c in df.columns]
     return shaped.drop(*extra) if drop else shaped
-
-
-def communes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Commune outlines: code, name, department, geometry, area."""
-    return with_box(view(spark, sf_dir, "box")).withColumn("surface_km2", geo.area_km2("geom"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """UNION ALL by column name."""
-    return reduce(DataFrame.unionByName, frames)

@@ -8,14 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Settings an S3-compatible store needs; values come from the deployment.
-S3A_SETTINGS = (
-    "spark.hadoop.fs.s3a.endpoint",
-    "spark.hadoop.fs.s3a.access.key",
-    "spark.hadoop.fs.s3a.secret.key",
-    "spark.hadoop.fs.s3a.path.style.access",
-)
-
 
 @dataclass(frozen=True)
 class Layout:

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from parcella.functions import geo
 
-# Rows per output file of a keyed split: keeps a hot key from landing in one task.
-SPLIT_ROWS = 5_000_000
-
-
 def parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Parquet, overwritten; partitioned by columns when given."""
     writer = df.write.mode("overwrite")
@@ -52,8 +48,7 @@ def features(
 ) -> None:
     """GeoJSON text sequence; ``split_by`` gives one folder per key value.
 
-    A split is one write. Rows are spread by key and a salt derived from the
-    row, so a key with many rows is written by several tasks.
+    A split is one write, see ``keyed_split``.
     """
     properties = [c for c in df.columns if c != geom]
     lines = df.withColumn("_line", feature(properties, geom, digits))
@@ -65,10 +60,13 @@ def features(
     ).partitionBy(split_by).text(path)
 
 
-def keyed_split(df: DataFrame, key: str, salts: int = 8) -> DataFrame:
-    """Partitioning for a ``partitionBy(key)`` write: few files, no hot task."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != key]), F.lit(salts))
-    return df.repartition(F.col(key), salt).sortWithinPartitions(key)
+def keyed_split(df: DataFrame, key: str) -> DataFrame:
+    """Partitioning for a ``partitionBy(key)`` write: few files, no hot task.
+
+    Spark rebalances by measured size: small keys share a task, a key of any size is
+    split over as many as it needs.
+    """
+    return df.hint("rebalance", F.col(key)).sortWithinPartitions(key)
 
 
 def jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
