@@ -211,7 +211,8 @@ def cloud_words(
     Tokens are first reduced to one row per (commune, word, review). Themes
     travel as bits over ``theme_names``, so every state is a few numbers and the
     hash aggregation never falls back to sorting. The rank filter lets Spark
-    drop words before they meet in one task.
+    drop words before they meet in one task. The mean is rounded before it is
+    classed, so the order of summation cannot tip a word over a threshold.
     """
     bits = F.lit(0).cast("long")
     for i, theme in enumerate(theme_names):
@@ -243,7 +244,7 @@ def cloud_words(
             "rang",
             "word",
             "weight",
-            text.sentiment_class("_sentiment").alias("sentiment"),
+            text.sentiment_class(F.round("_sentiment", 9)).alias("sentiment"),
             F.array_sort(F.array_compact(names)).alias("themes"),
         )
     )

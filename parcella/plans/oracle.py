@@ -209,7 +209,7 @@ def _arc(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 
 STEPS |= {
-    "ref": "SELECT code_commune, nom_commune, min_x, max_x, min_y, max_y FROM box WHERE k <> 7",
+    "ref": "SELECT code_commune, nom_commune, min_x, max_x, min_y, max_y FROM box",
     "income": """
         SELECT code AS code_commune, label AS nom_commune,
                TRY_CAST(median_text AS DOUBLE) AS revenu_median,
@@ -335,7 +335,7 @@ ORACLE |= {
                {rounded("ensoleillement_h_an", "temperature_moy_annuelle", "dist_station_km", digits=4)}
         FROM climate""",
     "nearest_metropolis": f"""
-        SELECT code_commune, nom_metropole, {rounded("dist_metropole_km", digits=4)} FROM city""",
+        SELECT code_commune, nom_metropole, {rounded("dist_metropole_km", digits=3)} FROM city""",
     "stops_per_cell": f"""
         SELECT code_commune, nb_arrets, {rounded("surface_km2", "densite_arrets_km2")} FROM density""",
     "polygon_area": f"""
@@ -543,7 +543,7 @@ ORACLE |= {
     "price_series": f"""
         SELECT c.code_commune, y.annee, {half_up("prix_m2_median", 0)} AS valeur
         FROM (SELECT DISTINCT code_commune FROM vintage_price WHERE nb_transactions >= 5) AS c
-        CROSS JOIN (SELECT CAST(unnest(range(1995, 2002)) AS INTEGER) AS annee) AS y
+        CROSS JOIN (SELECT DISTINCT annee FROM vintage_price) AS y
         LEFT JOIN (SELECT * FROM vintage_price WHERE nb_transactions >= 5) AS v
           ON v.code_commune = c.code_commune AND v.annee = y.annee""",
     "national_weighted_median": f"""
@@ -835,7 +835,7 @@ STEPS |= {
         GROUP BY code_commune, theme HAVING count(*) >= 3""",
     "cloud": f"""
         SELECT code_commune, CAST(rang AS INTEGER) AS rang, token AS word, weight,
-               {_CLASS.format("tone_mean")} AS sentiment, themes
+               {_CLASS.format("round(tone_mean, 9)")} AS sentiment, themes
         FROM (SELECT *, row_number() OVER (PARTITION BY code_commune
                                            ORDER BY weight DESC, token) AS rang
               FROM (SELECT code_commune, token, count(DISTINCT avis_id) AS weight,
@@ -1086,11 +1086,11 @@ ORACLE |= {
     "match_rate": f"""
         SELECT l AS cles_left, m AS appariees, l - m AS orphelines,
                {half_up("100e0 * m / l", 2)} AS taux
-        FROM (SELECT count(DISTINCT code_commune) AS l,
-                     count(DISTINCT code_commune) FILTER (code_commune IN (
-                         SELECT code_commune FROM zone WHERE code_commune NOT LIKE '%007'))
-                         AS m
-              FROM line) AS keys""",
+        FROM (SELECT count(DISTINCT code) AS l,
+                     count(DISTINCT code) FILTER (code IN (SELECT code_commune FROM zone)) AS m
+              FROM (SELECT CASE WHEN code_commune LIKE '%007' THEN 'X' || code_commune
+                                ELSE code_commune END AS code
+                    FROM line) AS recoded) AS keys""",
     "dq_report": " UNION ALL ".join(
         [
             _violations("sale", RULES["ventes"], "ventes"),

@@ -186,21 +186,16 @@ def transactions(spark, d):
 
 # --- territories and indicators ----------------------------------------------
 
-OUTSIDE = 7  # places with this number are left out of the reference
-
-
 def _box(spark: SparkSession, d: str) -> DataFrame:
     return v.view(spark, d, "box")
 
 
 def _reference(spark: SparkSession, d: str) -> DataFrame:
-    return _box(spark, d).where(F.col("k") != OUTSIDE).select("code_commune")
+    return _box(spark, d).select("code_commune")
 
 
-def _outlines(spark: SparkSession, d: str, *, everywhere: bool = False) -> DataFrame:
-    box = _box(spark, d)
-    kept = box if everywhere else box.where(F.col("k") != OUTSIDE)
-    raw = v.with_box(kept).select(
+def _outlines(spark: SparkSession, d: str) -> DataFrame:
+    raw = v.with_box(_box(spark, d)).select(
         F.col("code_commune").alias("code"), F.col("nom_commune").alias("nom"), "geom"
     )
     return territories.commune_outlines(raw)
@@ -258,14 +253,15 @@ QUERIES |= {
     "employment_rates": lambda spark, d: tidy(_employment(spark, d)),
     "label_clean": lambda spark, d: tidy(_labels(spark, d)),
     "nearest_station": lambda spark, d: tidy(_sunshine(spark, d), 4),
-    "nearest_metropolis": lambda spark, d: tidy(_cities(spark, d), 4),
+    # acos near 1 is good to a tenth of a metre only.
+    "nearest_metropolis": lambda spark, d: tidy(_cities(spark, d), 3),
     "stops_per_cell": lambda spark, d: tidy(_density(spark, d)),
 }
 
 
 @query
 def polygon_area(spark, d):
-    return tidy(_outlines(spark, d, everywhere=True).drop("geom"))
+    return tidy(_outlines(spark, d).drop("geom"))
 
 
 @query
@@ -391,7 +387,9 @@ def zone_score(spark, d):
 
 # --- time series and charts --------------------------------------------------
 
-YEARS = tuple(range(1995, 2002))
+def _years(vintages: DataFrame) -> list[int]:
+    """Years of the sales, in order: one row each."""
+    return [r[0] for r in vintages.select("annee").distinct().orderBy("annee").collect()]
 
 
 def _yearly(spark: SparkSession, d: str) -> DataFrame:
@@ -410,10 +408,13 @@ def price_evolution(spark, d):
 
 @query
 def price_series(spark, d):
-    wide = exports.price_series(_yearly(spark, d), YEARS)
+    vintages = staged(_yearly(spark, d), "vintages")
+    years = _years(vintages)
+    wide = exports.price_series(vintages, years)
+    named = F.array(*[F.lit(y) for y in years])
     return tidy(
         wide.select("code_commune", F.posexplode("valeurs").alias("i", "valeur")).select(
-            "code_commune", (F.col("i") + YEARS[0]).alias("annee"), "valeur"
+            "code_commune", named[F.col("i")].alias("annee"), "valeur"
         )
     )
 
@@ -463,7 +464,7 @@ def choropleth_flat(spark, d):
 
 def _commune_map(spark: SparkSession, d: str) -> DataFrame:
     return exports.choropleth_communes(
-        _outlines(spark, d, everywhere=True),
+        _outlines(spark, d),
         _commune_prices(spark, d),
         _by_type(spark, d),
         _scores(spark, d),
@@ -836,8 +837,10 @@ def coverage(spark, d):
 
 @query
 def match_rate(spark, d):
-    zones = _zones(spark, d).where(~F.col("code_commune").endswith("007"))
-    return tidy(quality.match_rate(sales.clean_sale_lines(_raw(spark, d)), zones))
+    code = F.col("code_commune")
+    recoded = F.when(code.endswith("007"), F.concat(F.lit("X"), code)).otherwise(code)
+    lines = sales.clean_sale_lines(_raw(spark, d)).withColumn("code_commune", recoded)
+    return tidy(quality.match_rate(lines, _zones(spark, d)))
 
 
 @query
@@ -1024,7 +1027,7 @@ def spatial_join_pairs(spark, d):
     return tidy(
         spatial.points_in_polygons(
             stops,
-            _outlines(spark, d, everywhere=True),
+            _outlines(spark, d),
             x="lon",
             y="lat",
             keep=["code_commune"],
@@ -1037,7 +1040,7 @@ def spatial_join_pairs(spark, d):
 def polygon_centroid(spark, d):
     centre = geo.centroid("geom")
     return tidy(
-        _outlines(spark, d, everywhere=True).select(
+        _outlines(spark, d).select(
             "code_commune", centre["lon"].alias("lon"), centre["lat"].alias("lat")
         )
     )
@@ -1070,7 +1073,7 @@ def publish_web(spark, d):
     paths = layout.Layout(staging.scratch_path(spark, "web"))
     vintages = staged(_yearly(spark, d), "vintages")
     by_year = {
-        year: vintages.where(F.col("annee") == year).drop("annee") for year in YEARS[:3]
+        year: vintages.where(F.col("annee") == year).drop("annee") for year in _years(vintages)
     }
     manifest = publish.publish_web(
         tables, paths, year=2024, run_date="2024-01-01", vintages=by_year, sample=500

@@ -101,21 +101,22 @@ VIEWS = {
                {_x("c_nationkey", "(c_custkey % 8) + " + _U.format(id="c_custkey"))}
                    AS longitude_centre,
                {_y("c_nationkey", _V.format(id="c_custkey"))} AS latitude_centre
-        FROM customer WHERE c_acctbal >= 9000""",
+        FROM customer""",
     "stop_raw": f"""
         SELECT -5e0 + 14e0 * ({_U.format(id="event_id")}) AS stop_lon,
                42e0 + 9e0 * ({_V.format(id="event_id")}) AS stop_lat
         FROM events""",
-    "latest_customer": f"""
-        SELECT {_commune()} AS code, max(c_custkey) AS top_key
+    "household": f"""
+        SELECT {_commune()} AS code, count(*) AS households,
+               CAST(sum(c_custkey % 997) AS BIGINT) AS s
         FROM customer GROUP BY {_commune()}""",
     "income_raw": """
         SELECT code, 'Commune ' || code AS label,
-               CASE WHEN top_key % 10 = 0 THEN 's' ELSE
-                   CAST(CAST(5000 + (c_acctbal + 1000) * 6 AS DECIMAL(18, 2)) AS STRING) END
+               CASE WHEN s % 10 = 0 THEN 's' ELSE
+                   CAST(CAST(4000 + (s % 80000) * 1.01e0 AS DECIMAL(18, 2)) AS STRING) END
                    AS median_text,
-               CAST(CAST(4000 + (c_acctbal + 1000) * 5 AS DECIMAL(18, 2)) AS STRING) AS q1_text
-        FROM latest_customer JOIN customer ON top_key = c_custkey""",
+               CAST(CAST(3000 + s % 60000 AS DECIMAL(18, 2)) AS STRING) AS q1_text
+        FROM household""",
     "rate_raw": f"""
         SELECT {_commune()} AS "CODGEO_2025",
                CAST(year(o_orderdate) AS STRING) AS annee,
@@ -134,7 +135,7 @@ VIEWS = {
         JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey""",
     "risk_raw": f"""
-        SELECT {_commune("user_id % 25", "user_id % 8")} AS code_commune,
+        SELECT {_commune("user_id % 26", "user_id % 8")} AS code_commune,
                CASE event_type WHEN 'error' THEN 'Inondations et coulées de boue'
                                WHEN 'view' THEN 'Coulée de boue'
                                ELSE event_type END AS lib_risque_jo
@@ -156,12 +157,10 @@ VIEWS = {
         JOIN customer ON o_custkey = c_custkey""",
     "job_raw": """
         SELECT code AS "CODGEO",
-               CAST(1 + c_custkey % 900 + 0.5e0 AS STRING) AS "P21_ACT1564",
-               CAST((1 + c_custkey % 900 + 0.5e0) * (c_custkey % 30) / 100e0 AS STRING)
-                   AS "P21_CHOM1564",
-               CAST((1 + c_custkey % 900 + 0.5e0) * (c_custkey % 200) / 100e0 AS STRING)
-                   AS "P21_EMPLT"
-        FROM latest_customer JOIN customer ON top_key = c_custkey""",
+               CAST(1 + s % 900 + 0.5e0 AS STRING) AS "P21_ACT1564",
+               CAST((1 + s % 900 + 0.5e0) * (s % 30) / 100e0 AS STRING) AS "P21_CHOM1564",
+               CAST((1 + s % 900 + 0.5e0) * (s % 200) / 100e0 AS STRING) AS "P21_EMPLT"
+        FROM household""",
     "review_raw": """
         SELECT d.doc_id, source AS slug,
                CAST(CAST(substr(source, 4) AS INT) AS STRING)
@@ -242,7 +241,7 @@ VIEWS = {
                      count(*) AS nb_transactions,
                      CAST(1000 + sum(c_custkey) % 4000 AS DOUBLE) AS prix_m2_median,
                      CAST(sum(c_custkey) AS BIGINT) AS s
-              FROM customer WHERE c_custkey % 8 <> 3
+              FROM customer
               GROUP BY c_nationkey, c_custkey % 8) AS sums""",
 }
 
