@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcella.functions import geo
+from parcella.sources.staging import staged
 
 DEFAULT_CELL = 0.25
 
@@ -19,33 +20,53 @@ def _cell(c: Column, size: float) -> Column:
 def polygon_cells(
     polygons: DataFrame, geom: str, cell: float, keep: Sequence[str]
 ) -> DataFrame:
-    """One row per (polygon, covered grid cell) with the edges a test in that cell needs.
+    """One row per (polygon, grid cell that it covers) with the edges a test there needs.
 
-    The even-odd ray runs along x, so only edges whose y-range meets the cell's
-    row can matter; large outlines are thus cut into short lists.
+    Cells come from the boxes of the single parts, so the sea between islands gives none.
+    The even-odd ray runs along +x: only edges that meet the cell's row, at the cell or
+    right of it, can matter. A cell that no edge touches is all inside or all outside, as
+    its centre is: outside ones go, inside ones need no test (``_edges`` is NULL).
     """
-    bounded = polygons.select(
-        *keep, geo.edges(geom).alias("_edges"), geo.envelope(geom).alias("_env")
-    ).where(F.col("_env.min_x").isNotNull())
-    rows = bounded.withColumn(
-        "_cy",
-        F.explode(
-            F.sequence(_cell(F.col("_env.min_y"), cell), _cell(F.col("_env.max_y"), cell))
-        ),
-    ).withColumn(
-        "_edges",
-        F.filter(
+    size, slack = repr(float(cell)), repr(float(cell) * 1e-9)
+    span = {
+        axis: f"sequence(floor(b.{axis}0 / {size}D), floor(b.{axis}1 / {size}D))" for axis in "xy"
+    }
+    ends = ", ".join(
+        f"array_{f}(transform(g[0], p -> p[{i}])) AS {axis}{n}"
+        for i, axis in enumerate("xy")
+        for n, f in enumerate(("min", "max"))
+    )
+    parts = f"transform(filter({geom}, g -> size(g) > 0 AND size(g[0]) > 0), g -> struct({ends}))"
+    rows = (
+        polygons.select(*keep, geo.edges(geom).alias("_edges"), F.expr(parts).alias("_parts"))
+        .withColumn(
+            "_cy", F.expr(f"explode(array_distinct(flatten(transform(_parts, b -> {span['y']}))))")
+        )
+        .withColumn(
             "_edges",
-            lambda e: (F.least(e.y1, e.y2) <= (F.col("_cy") + 1) * F.lit(float(cell)))
-            & (F.greatest(e.y1, e.y2) >= F.col("_cy") * F.lit(float(cell))),
-        ),
+            F.expr(
+                f"filter(_edges, e -> least(e.y1, e.y2) <= (_cy + 1) * {size}D + {slack}D "
+                f"AND greatest(e.y1, e.y2) >= _cy * {size}D - {slack}D)"
+            ),
+        )
     )
-    return rows.withColumn(
+    in_row = f"filter(_parts, b -> floor(b.y0 / {size}D) <= _cy AND floor(b.y1 / {size}D) >= _cy)"
+    cells = rows.withColumn(
         "_cx",
-        F.explode(
-            F.sequence(_cell(F.col("_env.min_x"), cell), _cell(F.col("_env.max_x"), cell))
-        ),
-    ).drop("_env")
+        F.expr(f"explode(array_distinct(flatten(transform({in_row}, b -> {span['x']}))))"),
+    ).withColumn(
+        "_edges", F.expr(f"filter(_edges, e -> greatest(e.x1, e.x2) >= _cx * {size}D - {slack}D)")
+    )
+    touched = F.expr(f"exists(_edges, e -> least(e.x1, e.x2) <= (_cx + 1) * {size}D + {slack}D)")
+    centre = geo.within_edges(
+        "_edges", f"((_cx + 0.5D) * {size}D)", f"((_cy + 0.5D) * {size}D)", border=True
+    )
+    return (
+        cells.withColumn("_touched", touched)
+        .where(F.col("_touched") | centre)
+        .withColumn("_edges", F.when(F.col("_touched"), F.col("_edges")))
+        .drop("_touched", "_parts")
+    )
 
 
 def points_in_polygons(
@@ -75,7 +96,7 @@ def points_in_polygons(
     )
     return (
         located.join(cells, [*shared, "_cx", "_cy"])
-        .where(geo.within_edges("_edges", x, y, border=border))
+        .where(F.col("_edges").isNull() | geo.within_edges("_edges", x, y, border=border))
         .drop("_cx", "_cy", "_edges")
     )
 
@@ -122,6 +143,21 @@ def _with_neighbours(df: DataFrame) -> DataFrame:
     return df
 
 
+#: Most places in one cube of the finest level, and the level at which cubes are a
+#: millimetre wide and places in them as good as equal.
+CROWD, FINEST = 16, 14
+
+
+def _levels(targets: DataFrame, max_km: float) -> int:
+    """Number of levels after which no cube holds more than ``CROWD`` places."""
+    cells = _sphere_cells(targets.select("_rlat", "_rlon"), "_rlat", "_rlon", max_km, FINEST + 1)
+    fullest = (
+        cells.groupBy("l", "x", "y", "z").count().groupBy("l").agg(F.max("count").alias("n"))
+    )
+    found = {r["l"]: r["n"] for r in fullest.collect()}  # one row per level
+    return next((l + 1 for l in range(FINEST) if found.get(l, 0) <= CROWD), FINEST + 1)
+
+
 def nearest_join(
     left: DataFrame,
     right: DataFrame,
@@ -133,7 +169,6 @@ def nearest_join(
     keep: Sequence[str],
     distance: str,
     max_km: float,
-    levels: int = 6,
 ) -> DataFrame:
     """Nearest right row within ``max_km`` of each left row; ties by ``right_id``.
 
@@ -142,15 +177,19 @@ def nearest_join(
     For each left row the finest level with any right row next door is looked up
     first; such a row is at most 2 * sqrt(3) sides away, less than one side of
     the level above, so the neighbourhood one level up must hold the nearest.
+    Right rows at one place count as one, and levels go on until no cube is crowded,
+    so a dense spot that holds both sides gives pairs in proportion to its rows.
     ``*_at`` are (lat, lon) column names.
     """
     r_lat, r_lon = right_at
-    targets = right.where(F.col(r_lat).isNotNull() & F.col(r_lon).isNotNull()).select(
-        F.col(right_id).alias("_rid"),
-        F.col(r_lat).alias("_rlat"),
-        F.col(r_lon).alias("_rlon"),
-        F.struct(*keep).alias("_kept"),
+    targets = staged(
+        right.where(F.col(r_lat).isNotNull() & F.col(r_lon).isNotNull())
+        .groupBy(F.col(r_lat).alias("_rlat"), F.col(r_lon).alias("_rlon"))
+        .agg(F.min(F.struct(F.col(right_id).alias("_rid"), F.struct(*keep).alias("_kept"))).alias("_r"))
+        .select("_rlat", "_rlon", "_r.*"),
+        "places",
     )
+    levels = _levels(targets, max_km)
     cube = ["l", "x", "y", "z"]
     spread = _with_neighbours(_sphere_cells(targets, "_rlat", "_rlon", max_km, levels))
     occupied = spread.select(*cube).distinct()

@@ -10,6 +10,7 @@ import pytest
 from conftest import square
 from pyspark.sql import functions as F
 
+from parcella.functions import geo
 from parcella.operators import indicators, sales, scores, spatial, territories
 from parcella.operators.scores import DIMENSIONS
 from parcella.plans import exports
@@ -165,6 +166,46 @@ def test_spatial_counts_against_brute_force(spark, outlines):
     assert {r.code_commune: r.n for r in got.collect()} == expected
 
 
+def even_odd(shape, x, y):
+    odd = False
+    for ring in (r for part in shape for r in part):
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                odd = not odd
+    return odd
+
+
+def star(cx, cy, size, seed, points=17):
+    """A concave ring around a centre."""
+    r = np.random.default_rng(seed)
+    reach = size * r.uniform(0.3, 1.0, points)
+    turn = np.sort(r.uniform(0, 2 * np.pi, points))
+    ring = [[float(cx + d * np.cos(t)), float(cy + d * np.sin(t))] for d, t in zip(reach, turn)]
+    return [*ring, ring[0]]
+
+
+@pytest.mark.parametrize("cell", [0.07, 0.5, 9.0])
+def test_concave_holed_and_scattered_outlines(spark, cell):
+    shapes = {
+        "concave": [[star(0, 0, 2, 1)]],
+        "holed": [[star(3, 3, 2, 2, 60), star(3, 3, 0.4, 3)]],
+        "islands": [[star(-5, 2, 1, 4)], [star(40, -30, 0.5, 5)], [star(-5, 4.5, 1, 6), star(-5, 4.5, 0.2, 7)]],
+        "none": [],
+    }
+    r = np.random.default_rng(8)
+    points = [(float(x), float(y)) for x, y in r.uniform(-7, 6, (1500, 2))]
+    points += [(float(x), float(y)) for x, y in r.normal([40, -30], 0.4, (200, 2))]
+    frame = spark.createDataFrame(list(shapes.items()), f"code string, geom {geo.GEOMETRY}")
+    got = spatial.points_in_polygons(
+        spark.createDataFrame(points, "lon double, lat double"), frame, x="lon", y="lat", keep=["code"], cell=cell
+    )
+    want = {(c, x, y) for c, shape in shapes.items() for x, y in points if even_odd(shape, x, y)}
+    assert {(g.code, g.lon, g.lat) for g in got.collect()} == want
+    cells = spatial.polygon_cells(frame, "geom", cell, ["code"])
+    assert cells.count() == cells.select("code", "_cx", "_cy").distinct().count()
+    assert cells.where("code = 'islands'").count() <= 12 / cell**2 + 60
+
+
 def haversine(lat1, lon1, lat2, lon2):
     p1, p2 = math.radians(lat1), math.radians(lat2)
     h = (
@@ -207,6 +248,29 @@ def test_nearest_against_brute_force(spark):
     assert "lost" not in mine
 
 
+def test_nearest_in_a_dense_spot(spark):
+    """Levels go on below a crowded cube, and the result stays exact."""
+    seen = []
+    for n in (400, 800):
+        r = np.random.default_rng(n)
+        left, right = (r.normal([45, 5], 1e-6, (n, 2)) for _ in range(2))
+        frames = [
+            spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], f"{k} long, {k}la double, {k}lo double")
+            for k, x in (("a", left), ("b", right))
+        ]
+        levels = spatial._levels(
+            frames[1].selectExpr("bla as _rlat", "blo as _rlon"), 500.0
+        )
+        seen.append(levels)
+        got = spatial.nearest_join(
+            *frames, key="a", left_at=("ala", "alo"), right_at=("bla", "blo"), right_id="b", keep=["b"], distance="km", max_km=500
+        )
+        best = {g.a: g.km for g in got.collect()}
+        for i in range(0, n, 97):
+            assert best[i] == pytest.approx(min(haversine(*left[i], *p) for p in right), rel=1e-3, abs=1e-9)
+    assert min(seen) > 6
+
+
 def test_spatial_plans_use_no_cross_join(spark, outlines):
     df = spark.createDataFrame([(0.5, 0.5)], "lon double, lat double")
     joined = spatial.points_in_polygons(
