@@ -8,10 +8,14 @@ shares no table with probability 0.001, at 0.9 with 0.00006.
 
 Texts with equal sets are one class, found by a 128-bit digest of the set. Classes that
 share a table are candidates, confirmed on their full sets. Not all pairs of a table are
-tried: in a few rounds each class is held against one drawn leader of each of its tables,
-links are closed to components, and only pairs of different components go on. The last
-step tries all pairs that are still apart, so no link between tables' members is lost.
-Four bits of each minhash, and the set sizes, rule out hopeless pairs inside the join.
+tried. Each class is first held against the leader of each of its tables: the class that
+shares most places in tables (in a group of edited copies, the least edited one). Links
+are closed to components. Pairs of a table that are still apart fall into two kinds. If
+both share enough shingles with the leader to be linked by these alone, they are tried.
+All others, however many, must share shingles that the leader has not: they meet on the
+smallest of these, as many as the prefix principle asks for. Both ways lose no pair.
+A filter of 192 cheap four-bit minhashes, and the set sizes, rule out hopeless pairs
+inside the join, before they are written anywhere.
 
 Defined cases: null or wordless text has an empty set and links with nothing; fewer than
 five words are one shingle; a null id is linked with nothing (its component is null);
@@ -29,18 +33,19 @@ from parcella.sources.staging import staged
 
 WORDS = 5
 SIDES, PART = 8, 3
-#: Most of the 48 four-bit minhashes that may differ; 6.8 are expected at similarity 0.85
-#: and more than 24 come with a chance of 1e-9.
-MOST_DIFFERENT = 24
+#: Four-bit minhashes of the filter, and how many of them may differ: 27 are expected at
+#: similarity 0.85, and more than 48 come with a chance of 0.00002.
+FILTER, MOST_DIFFERENT = 192, 48
+#: The same for the first 48 of them, which are looked at first.
+QUICK, MOST_QUICK = 48, 18
 SIMILAR = (85, 100)
-LEADER_ROUNDS = 4
 
 SIGNATURE = (
     "n_shingles long, d1 long, d2 long, a array<long>, b array<long>, bits array<long>"
 )
 
 # Seeds of the hash families.
-SEED_BYTES, SEED_HASHES = 11, 12
+SEED_BYTES, SEED_HASHES, SEED_FILTER = 11, 12, 13
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -126,6 +131,9 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
         n_hashes = 2 * SIDES * PART
         xors = rng.integers(0, 1 << 64, n_hashes, dtype=np.uint64)
         odds = rng.integers(0, 1 << 64, n_hashes, dtype=np.uint64) | np.uint64(1)
+        rng = np.random.default_rng(SEED_FILTER)
+        short_xors = rng.integers(0, 1 << 32, FILTER, dtype=np.uint32)
+        short_odds = rng.integers(0, 1 << 32, FILTER, dtype=np.uint32) | np.uint32(1)
         for batch in batches:
             for part in sliced(batch):
                 hashes, bounds = shingle_sets(part.column(1).to_pylist())
@@ -134,7 +142,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
                 at = bounds[:-1][full]
                 n = part.num_rows
                 sketches = np.zeros((n, 2 * SIDES), np.uint64)
-                digests, bits = np.zeros((n, 2), np.uint64), np.zeros((n, n_hashes // 16), np.uint64)
+                digests, bits = np.zeros((n, 2), np.uint64), np.zeros((n, FILTER // 16), np.uint64)
                 if len(full):
                     with np.errstate(over="ignore"):
                         digests[full, 0] = mixed(np.add.reduceat(mixed(hashes), at))
@@ -143,10 +151,13 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
                             key = np.full(len(full), np.uint64(s))
                             for k in range(s * PART, (s + 1) * PART):
                                 low = np.minimum.reduceat(mixed_quick(hashes, xors[k], odds[k]), at)
-                                low = mixed(low)
                                 key = mixed(key * np.uint64(31) + low)
-                                bits[full, k // 16] |= (low & np.uint64(15)) << np.uint64(4 * (k % 16))
                             sketches[full, s] = key
+                        short = (hashes >> np.uint64(32)).astype(np.uint32)
+                        for k in range(FILTER):
+                            low = np.minimum.reduceat((short ^ short_xors[k]) * short_odds[k], at)
+                            low = (low * np.uint32(0x9E3779B1)) >> np.uint32(28)
+                            bits[full, k // 16] |= low.astype(np.uint64) << np.uint64(4 * (k % 16))
 
                 def lists(x):
                     return pa.FixedSizeListArray.from_arrays(
@@ -178,8 +189,11 @@ def mixed_quick(h: np.ndarray, x: np.uint64, odd: np.uint64) -> np.ndarray:
     return y ^ (y >> np.uint64(32))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Of the pairs ``a, b`` those whose full sets are similar enough, as ``a, b``.
+def compared(pairs: DataFrame, docs: DataFrame, id_col: str, text: str, owns: bool = False) -> DataFrame:
+    """The pairs ``a, b``, whether their full sets ``links`` them, how many shingles they
+    have in ``common`` (null if an id stands for two texts), and, if asked for, the
+    shingles that ``a`` alone ``owns``: the smallest ones, as many as a class that is
+    linked with ``a``, but not through shingles of ``b``, must have one of.
 
     Only texts that occur in a pair are read on; both meet at the pair and are compared
     in the Arrow batch.
@@ -191,7 +205,9 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataF
 
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            keep = np.zeros(batch.num_rows, bool)
+            links = np.zeros(batch.num_rows, bool)
+            common = np.zeros(batch.num_rows, np.int64)
+            alone: list = [None] * batch.num_rows
             known: dict = {}
             size = 0
             for i in range(batch.num_rows):
@@ -210,8 +226,20 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataF
                     sets.append(own)
                 both = len(np.intersect1d(*sets, assume_unique=True))
                 union = len(sets[0]) + len(sets[1]) - both
-                keep[i] = union > 0 and bottom * both >= top * union
-            yield batch.select([0, 1]).filter(pa.array(keep))
+                links[i] = union > 0 and bottom * both >= top * union
+                common[i] = both
+                if owns:
+                    n = len(sets[0])
+                    needed = max(1, -(-top * n // bottom) - both)
+                    rest = np.setdiff1d(sets[0], sets[1], assume_unique=True)  # in order
+                    alone[i] = rest[: max(0, len(rest) - needed + 1)].view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), pa.array(links), pa.array(common),
+                    pa.array(alone, pa.list_(pa.int64())),
+                ],
+                names=["a", "b", "links", "common", "owns"],
+            )
 
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"))
     named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -222,7 +250,12 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataF
         .join(texts.withColumnRenamed("t", "tb"), F.col("b") == F.col("id"))
         .select("a", "b", "ta", "tb")
     )
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    tested = joined.mapInArrow(run, "a long, b long, links boolean, common long, owns array<long>")
+    return tested.groupBy("a", "b").agg(
+        F.max("links").alias("links"),
+        F.when(F.count(F.lit(1)) == 1, F.min("common")).alias("common"),
+        F.min("owns").alias("owns"),
+    )
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -299,48 +332,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     shared = tables.groupBy("key").agg(
         F.min("node").alias("low"), F.max("node").alias("high")
     ).where("low < high")
-    members = staged(tables.join(shared.select("key"), "key", "left_semi"), "members")
+    members = tables.join(shared.select("key"), "key", "left_semi")
     sketch = classes.select("node", F.struct("n_shingles", "bits").alias("sketch"))
-    links: DataFrame | None = None
-    found: DataFrame | None = None
-    for turn in range(LEADER_ROUNDS + 1):
-        now = labelled(members, found)
-        if found is not None:  # tables that hold one component only are done with
-            open_keys = (
-                now.groupBy("key")
-                .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                .where("low < high")
-            )
-            now = now.join(open_keys.select("key"), "key", "left_semi")
-        now = staged(now.join(sketch, "node"), "open")
-        ties = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        work = (
-            ties.groupBy("key")
-            .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-            .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2), F.lit(0)))
-            .first()
-        )
-        if not work[0]:
-            break
-        # all pairs are left to the last step, unless they are no more than the rows
-        last = turn == LEADER_ROUNDS or work[1] <= 2 * work[0]
-        if last:
-            other = now
-        else:
-            other = now.groupBy("key").agg(
-                F.min_by(
-                    F.struct("node", "component", "sketch"), F.xxhash64(F.lit(turn), "node")
-                ).alias("lead")
-            ).select("key", "lead.*")
-        pairs = tried(now, other, ordered=last)
-        if links is not None:
-            pairs = pairs.unionByName(links.select("a", "b", F.lit(True).alias("old")), allowMissingColumns=True)
-            pairs = pairs.groupBy("a", "b").agg(F.max("old").alias("old")).where("old is null").select("a", "b")
-        fresh = staged(verified(staged(pairs, "pairs"), docs, id_col, text), "fresh")
-        links = fresh if links is None else staged(links.unionByName(fresh), "links")
-        found = staged(components(links), "components")
-        if last:
-            break
+    members = staged(members.join(sketch, "node"), "members")
+    lead = staged(leaders(members), "leaders")
+    held = members.join(lead, "key")
+    first = held.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    tested = staged(compared(staged(first.distinct(), "pairs"), docs, id_col, text, owns=True), "tested")
+    links = tested.where("links").select("a", "b")
+    found = staged(components(links), "components")
+    # tables that hold one component only are done with
+    now = labelled(held, found)
+    apart = (
+        now.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+    )
+    shares = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "common")
+    now = staged(
+        now.join(apart.select("key"), "key", "left_semi")
+        .join(shares, (F.col("node") == F.col("_a")) & (F.col("lead") == F.col("_b")), "left")
+        .drop("_a", "_b"),
+        "open",
+    )
+    pairs = staged(alike(now.where("node <> lead"), by_leader=True), "pairs")
+    short = F.struct("sketch.n_shingles", F.slice("sketch.bits", 1, QUICK // 16).alias("bits"))
+    owned = now.select("lead", "node", "component", short.alias("sketch")).distinct().join(
+        tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "owns"),
+        (F.col("node") == F.col("_a")) & (F.col("lead") == F.col("_b")),
+    )
+    met = alike(
+        owned.select(
+            "lead", "node", "component", "sketch", F.explode("owns").alias("own")
+        ).withColumn("key", F.xxhash64("lead", "own")).withColumn("common", F.lit(None).cast("long")),
+        by_leader=False,
+    )
+    more = compared(
+        staged(pairs.unionByName(met).distinct(), "pairs"), docs, id_col, text
+    ).where("links")
+    found = staged(components(staged(links.unionByName(more.select("a", "b")), "links")), "components")
     ids = labelled(classes.select("d1", "d2", "n_shingles", "node"), found).drop("node")
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(
         ids.withColumnRenamed("n_shingles", "_n"),
@@ -361,27 +391,50 @@ def different(x: Column, y: Column) -> Column:
     return F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def tried(now: DataFrame, other: DataFrame, ordered: bool) -> DataFrame:
-    """Distinct pairs ``a < b`` that share a table, lie apart and may be similar."""
+def leaders(members: DataFrame) -> DataFrame:
+    """``key, lead``: of each table the node that shares most places in all its tables."""
+    loads = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    weights = members.join(loads, "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    return (
+        members.select("key", "node")
+        .join(weights, "node")
+        .groupBy("key")
+        .agg(F.max(F.struct("weight", -F.col("node"))).alias("best"))
+        .select("key", (-F.col("best.col2")).alias("lead"))
+    )
+
+
+def alike(rows: DataFrame, by_leader: bool) -> DataFrame:
+    """Distinct pairs ``a < b`` of rows with one ``key`` that lie apart and pass the filter.
+
+    ``by_leader``: without those that shingles of their leader cannot link.
+    """
     top, bottom = SIMILAR
-    a = now.select("key", F.col("node").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
-    b = other.select("key", F.col("node").alias("nb"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
-    differ = sum(
-        (different(F.col("sa.bits")[k], F.col("sb.bits")[k]) for k in range(2 * SIDES * PART // 16)),
-        F.lit(0),
+    a, b = (
+        rows.select(
+            "key",
+            *(F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "sketch", "common")),
+        )
+        for n in "ab"
     )
-    sizes = F.col("sa.n_shingles"), F.col("sb.n_shingles")
+    bits = F.col("sketch_a.bits"), F.col("sketch_b.bits")
+    sizes = F.col("sketch_a.n_shingles"), F.col("sketch_b.n_shingles")
+    quick = sum((different(bits[0][k], bits[1][k]) for k in range(QUICK // 16)), F.lit(0))
+    # one small interpreted loop: as one expression it is too long for the JVM to compile
+    differ = F.aggregate(F.zip_with(*bits, different), F.lit(0), lambda s, n: s + n)
     may = (
-        (F.col("ca") != F.col("cb"))
+        (F.col("node_a") < F.col("node_b"))
+        & (F.col("component_a") != F.col("component_b"))
         & (bottom * F.least(*sizes) >= top * F.greatest(*sizes))
-        & (differ <= MOST_DIFFERENT)
     )
-    if ordered:
-        may = may & (F.col("na") < F.col("nb"))
+    if by_leader:  # in common >= top / (top + bottom) * (sum of sizes) is what a link needs
+        most = F.least("common_a", "common_b")  # of the known ones
+        known = F.col("common_a").isNotNull() & F.col("common_b").isNotNull()
+        may = may & (~known | ((top + bottom) * most >= top * (sizes[0] + sizes[1])))
     return (
         a.join(b, "key")
-        .where(may)
-        .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+        .where(may & (quick <= MOST_QUICK) & (differ <= MOST_DIFFERENT))
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
 
