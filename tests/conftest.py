@@ -7,6 +7,9 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from shapes import square  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -26,11 +29,6 @@ def spark():
     session.stop()
 
 
-def square(x0, y0, x1, y1):
-    """One-ring polygon as nested lists."""
-    return [[[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]]]
-
-
 @pytest.fixture(scope="session")
 def outlines(spark):
     """Two adjacent squares and a commune of two islands."""

@@ -4,8 +4,8 @@ import datetime
 import json
 
 import pytest
-from conftest import square
 from pyspark.sql import functions as F
+from shapes import square
 
 from parcella.functions import codes, geo, numbers, text
 from parcella.functions.regions import region_rows

@@ -7,8 +7,8 @@ import math
 
 import numpy as np
 import pytest
-from conftest import square
 from pyspark.sql import functions as F
+from shapes import square
 
 from parcella.functions import geo
 from parcella.operators import indicators, sales, scores, spatial, territories

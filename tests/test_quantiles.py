@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcella.operators import quantiles, sales, stats
-from parcella.sources import staging
 
 
 @pytest.fixture(scope="module")
