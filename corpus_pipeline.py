@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document of the mix."""
-    return pieces.encode(docs, keep=("doc_id", "source"), verify=False).select(
+    return pieces.encode(docs, keep=("doc_id", "source"), verify=False, with_decoded=False).select(
         "doc_id", "source", "n_tokens", "ids_crc32", "round_trip", "ids"
     )
 

@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding on the tokenizers library.
 
-The driver parses the model's protobuf wire format, rebuilds normaliser, metaspace
-marker, scores (a unigram model, or the merges that a BPE model's scores stand for) and
-byte fallback as a tokenizers pipeline, and broadcasts it as JSON. Tasks encode and
-decode Arrow batches in slices of bounded size, with the library's own threads, and hold
-every text against its round trip and, unless switched off, against SentencePiece itself.
+The model file is broadcast. Each task parses its protobuf wire format and rebuilds
+normaliser, metaspace marker, scores (a unigram model, or the merges that a BPE model's
+scores stand for) and byte fallback as a tokenizers pipeline. Tasks encode and decode
+Arrow batches in slices of bounded size, with the library's own threads, and hold every
+text against its round trip and, unless switched off, against SentencePiece itself.
 
 Long texts are cut where a run of spaces begins. No piece reaches across such a place
 (checked when the model is read), so the parts' ids joined are the ids of the whole.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes of text that are encoded in one call, and the length at which a text is cut.
-SLICE_BYTES, PART_CHARS = 1 << 20, 1 << 18
+SLICE_BYTES, PART_CHARS = 1 << 18, 1 << 18
 
 # Piece types and model types of the protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -100,7 +100,10 @@ def merges_of(pieces) -> list[tuple[str, str]]:
 def build(data: bytes):
     """(tokenizers.Tokenizer, settings) equivalent to the model file.
 
-    The dummy prefix is put on by ``prepared``, once for each text and not for each part.
+    A model whose normaliser only marks spaces is ``plain``: ``prepared`` puts on marker
+    and dummy prefix, once for each text and not for each part, and the library gets no
+    normaliser. Words are not split first: merging a line at once costs the library less
+    than carrying its words through the pre-tokenizer.
     """
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
@@ -117,36 +120,33 @@ def build(data: bytes):
             unk_token=pieces[unk][0],
             fuse_unk=True,
             byte_fallback=fallback,
+            cache_capacity=0,  # whole lines hardly come twice
         )
     else:
         raise ValueError(f"model type {model['model_type']} is neither unigram nor BPE")
     out = Tokenizer(core)
+    plain = not model["charsmap"] and not model["squeeze"]
     steps = []
     if model["charsmap"]:
         steps.append(normalizers.Precompiled(model["charsmap"]))
     if model["squeeze"]:
         steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
-    if model["dummy_prefix"] and (model["charsmap"] or model["squeeze"]):
+    if model["dummy_prefix"] and not plain:
         steps.append(normalizers.Prepend(" "))
-    if model["escape"]:
+    if model["escape"] and not plain:
         steps.append(normalizers.Replace(" ", MARK))
     if steps:
         out.normalizer = normalizers.Sequence(steps)
     words = [t for t, _, kind in pieces if kind in (NORMAL, USER_DEFINED, UNUSED)]
     apart = not any(a != MARK and b == MARK for t in words for a, b in zip(t, t[1:]))
-    if apart:  # no piece goes on from a word into the spaces after it
-        breaks = "" if any("\n" in t for t in words) else "\\n"
-        out.pre_tokenizer = pre_tokenizers.Split(
-            Regex(f"{MARK}+[^{MARK}{breaks}]*|[^{MARK}{breaks}]+|{breaks or '$'}"), "isolated"
-        )
-    out.decoder = decoders.Sequence(
-        [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    )
-    plain = not model["charsmap"] and not model["squeeze"]
+    if fallback and not any("\n" in t for t in words):  # a line break is a byte piece of its own
+        out.pre_tokenizer = pre_tokenizers.Split("\n", "isolated")
+    out.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
     return out, {
         "plain": plain,
-        "cut": plain and apart,
+        "cut": plain and apart and model["escape"],  # no piece goes on from a word into the spaces after it
         "prefix": model["dummy_prefix"] and plain,
+        "mark": model["escape"] and plain,
         "strip": model["dummy_prefix"],
     }
 
@@ -157,13 +157,15 @@ def prepared(text: str, settings: dict) -> list[str]:
         return []
     if settings["prefix"]:
         text = " " + text
+    if settings["mark"]:
+        text = text.replace(" ", MARK)
     if not settings["cut"] or len(text) <= PART_CHARS:
         return [text]
     parts, start = [], 0
     while len(text) - start > PART_CHARS:
-        cut = text.find(" ", start + PART_CHARS)
-        while cut > 0 and text[cut - 1] in (" ", MARK):  # only where a run of spaces begins
-            cut = text.find(" ", cut + 1)
+        cut = text.find(MARK, start + PART_CHARS)
+        while cut > 0 and text[cut - 1] == MARK:  # only where a run of spaces begins
+            cut = text.find(MARK, cut + 1)
         if cut < 0:
             break
         parts.append(text[start:cut])
@@ -194,7 +196,7 @@ def encode_texts(tokenizer, settings: dict, texts: list[str]) -> list[list[int]]
 
 
 def decode_ids(tokenizer, settings: dict, ids: list[list[int]]) -> list[str]:
-    texts = tokenizer.decode_batch(ids, skip_special_tokens=False)
+    texts = [t.replace(MARK, " ") for t in tokenizer.decode_batch(ids, skip_special_tokens=False)]
     return [t[1:] if settings["strip"] and t.startswith(" ") else t for t in texts]
 
 
@@ -213,16 +215,16 @@ def encode(
     text: str = "text",
     threads: int = 2,
     verify: bool = True,
+    with_decoded: bool = True,
 ) -> DataFrame:
-    """One row per document: ``keep`` columns, ``ids``, ``decoded``, ``n_tokens``,
-    ``ids_crc32`` (of the ids as 32-bit little-endian), ``round_trip`` (decoding gives the
-    normalised text back) and ``parity`` (SentencePiece gives the same ids; null if not
-    verified).
+    """One row per document: ``keep`` columns, ``ids``, ``n_tokens``, ``ids_crc32`` (of the
+    ids as 32-bit little-endian), ``round_trip`` (decoding gives the normalised text back),
+    ``parity`` (SentencePiece gives the same ids; null if not verified) and, unless left
+    out, ``decoded``.
     """
     spark = docs.sparkSession
     data = read_model(spark, model)
-    tokenizer, settings = build(data)
-    shared = spark.sparkContext.broadcast((tokenizer.to_str(), data if verify else None))
+    shared = spark.sparkContext.broadcast(data)
 
     def run(batches):
         import numpy as np
@@ -230,15 +232,12 @@ def encode(
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        from tokenizers import Tokenizer
-
-        form, raw = shared.value
-        tok = Tokenizer.from_str(form)
+        tok, settings = build(shared.value)
         judge = None
-        if raw is not None:
+        if verify:
             import sentencepiece
 
-            judge = sentencepiece.SentencePieceProcessor(model_proto=raw)
+            judge = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256)
@@ -256,39 +255,29 @@ def encode(
                     for d, t in zip(back, texts)
                 ]
                 lengths = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
+                flat = np.concatenate([np.zeros(0, np.int32), *(np.array(x, np.int32) for x in ids)])
                 ends = np.concatenate([[0], np.cumsum(lengths)])
                 listed = pa.ListArray.from_arrays(
                     pa.array(ends.astype(np.int32)), pa.array(flat), mask=pa.array(null)
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *rows.columns[:-1],
-                        listed,
-                        pa.array([None if n else d for n, d in zip(null, back)], pa.string()),
-                        pa.array(lengths),
-                        pa.array(
-                            [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])],
-                            pa.int64(),
-                        ),
-                        pa.array(right, pa.bool_()),
-                        pa.array(same, pa.bool_()),
-                    ],
-                    names=[
-                        *kept, "ids", "decoded", "n_tokens", "ids_crc32", "round_trip", "parity",
-                    ],
-                )
+                columns = [
+                    listed,
+                    pa.array(lengths),
+                    pa.array(
+                        [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends, ends[1:])], pa.int64()
+                    ),
+                    pa.array(right, pa.bool_()),
+                    pa.array(same, pa.bool_()),
+                ]
+                if with_decoded:
+                    columns.append(
+                        pa.array([None if n else d for n, d in zip(null, back)], pa.string())
+                    )
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], *columns], names=names)
 
     chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("_text"))
-    kept = list(keep)
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]]
-    return chosen.mapInArrow(
-        run,
-        ", ".join(
-            [
-                *types,
-                "ids array<int>", "decoded string", "n_tokens long", "ids_crc32 long",
-                "round_trip boolean", "parity boolean",
-            ]
-        ),
-    )
+    made = ["ids array<int>", "n_tokens long", "ids_crc32 long", "round_trip boolean", "parity boolean"]
+    made += ["decoded string"] if with_decoded else []
+    names = [*keep, *(m.split()[0] for m in made)]
+    return chosen.mapInArrow(run, ", ".join([*types, *made]))

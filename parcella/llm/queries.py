@@ -76,7 +76,7 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, held against the round trip and against SentencePiece."""
-    return pieces.encode(table(spark, sf_dir, "documents")).select(
+    return pieces.encode(table(spark, sf_dir, "documents"), with_decoded=False).select(
         "doc_id", "n_tokens", "ids_crc32", "round_trip", "parity", "ids"
     )
 
