@@ -24,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules, from hosts that pass."""
+    """Documents that pass every rule, from hosts that pass."""
     return quality.kept_documents(docs)
 
 

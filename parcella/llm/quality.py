@@ -3,8 +3,13 @@
 Each document is measured in one scan of its whole text. Failures are counted for each
 rule and host (here: the source); a host's failure rate is shrunk towards all hosts by a
 beta prior fitted to the hosts' rates by moments, so a host with few documents is judged
-mostly by the rest. A host fails if the shrunk rate of any rule passes ``host_limit``,
-and its verdict goes back to its documents.
+mostly by the rest. Its verdict goes back to its documents.
+
+There are two verdicts. ``kept`` is that of the SQL twin: the base rules, and no host with
+a shrunk rate of any rule over ``host_limit``. ``passed`` is the whole method, by which the
+pipeline filters: a document that fails any rule goes, and so does a host that is over
+``host_limit`` or an outlier, whose rate of a rule lies with posterior certainty above the
+middle between the mean of all other hosts and 1.
 
 Only built-in functions; one map-side combined aggregation by host. Defined cases: null
 text counts as empty (and fails, having no words); null hosts are one host; repeated
@@ -15,6 +20,8 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +40,8 @@ RULES = {
 }
 BASE_RULES = ("few_words", "repeats")
 HOST_LIMIT = 0.8
+#: Standard deviations of the posterior that an outlier's rate stays above its limit (99 %).
+CERTAIN = 2.33
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -107,11 +116,18 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     )
 
 
-def passes_base(text: Column) -> Column:
-    """Whether a text passes the base rules: one expression, fit for a filter."""
-    return let(
-        words_of(F.coalesce(text, F.lit(""))),
-        lambda w: (F.size(w) >= FEWEST_WORDS) & (100 * repeat_words(w) <= 50 * F.size(w)),
+def passes_rules(text: Column) -> Column:
+    """Whether a text passes every rule: one expression, fit for a filter."""
+    body = F.coalesce(text, F.lit(""))
+    symbols = F.length(body) - F.length(F.translate(body, SYMBOLS, ""))
+    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
+    return (
+        (10 * symbols <= 3 * F.length(F.translate(body, BLANKS, "")))
+        & let(lines, lambda x: 100 * (F.size(x) - F.size(F.array_distinct(x))) <= 60 * F.size(x))
+        & let(
+            words_of(body),
+            lambda w: (F.size(w) >= FEWEST_WORDS) & (100 * repeat_words(w) <= 50 * F.size(w)),
+        )
     )
 
 
@@ -120,11 +136,13 @@ def failures() -> dict[str, Column]:
 
 
 def host_verdicts(measured: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
-    """``host, n_docs, worst_rate, host_failed``: shrunk failure rates of every host.
+    """``host, n_docs, worst_rate, host_failed, outlying``: shrunk failure rates of every host.
 
     For each rule the hosts' rates have mean m and variance v; the beta prior with these
     moments has strength m (1 - m) / v - 1. With equal rates (v = 0) the prior holds all
-    the weight; with a strength below 0 it holds none.
+    the weight; with a strength below 0 it holds none. ``outlying`` hosts have a rule whose
+    posterior rate, less ``CERTAIN`` standard deviations, is above (1 + mean of the other
+    hosts) / 2; a single host has no others and equal rates no outlier.
     """
     names = list(RULES)
     counts = measured.groupBy(F.col(host).alias("host")).agg(
@@ -133,10 +151,12 @@ def host_verdicts(measured: DataFrame, host: str = "source", host_limit: float =
     )
     rate = {r: F.col(f"f_{r}") / F.col("n_docs") for r in RULES}
     moments = counts.agg(
+        F.count(F.lit(1)).alias("hosts"),
         *(F.avg(x).alias(f"m_{r}") for r, x in rate.items()),
         *(F.var_pop(x).alias(f"v_{r}") for r, x in rate.items()),
     ).first()  # one row
-    shrunk = []
+    shrunk, outlying = [], []
+    others = moments["hosts"] - 1
     for r in RULES:
         m, v = moments[f"m_{r}"] or 0.0, moments[f"v_{r}"] or 0.0
         strength = max(0.0, m * (1 - m) / v - 1) if v > 0 else None
@@ -145,16 +165,21 @@ def host_verdicts(measured: DataFrame, host: str = "source", host_limit: float =
             if strength is None
             else (F.col(f"f_{r}") + F.lit(m * strength)) / (F.col("n_docs") + F.lit(strength))
         )
+        if strength is not None and others:
+            spread = F.sqrt(shrunk[-1] * (1 - shrunk[-1]) / (F.col("n_docs") + F.lit(strength + 1)))
+            limit = (1 + (F.lit(m * (others + 1)) - rate[r]) / others) / 2
+            outlying.append(shrunk[-1] - CERTAIN * spread > limit)
     return counts.select(
-        "host", "n_docs", F.greatest(*shrunk).alias("worst_rate")
-    ).withColumn("host_failed", F.col("worst_rate") > host_limit)
+        "host", "n_docs", F.greatest(*shrunk).alias("worst_rate"),
+        reduce(or_, outlying, F.lit(False)).alias("outlying"),
+    ).select("host", "n_docs", "worst_rate", (F.col("worst_rate") > host_limit).alias("host_failed"), "outlying")
 
 
 def apply_rules(
     docs: DataFrame, text: str = "text", host: str = "source", id_col: str = "doc_id",
     host_limit: float = HOST_LIMIT,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, the counts, ``base_failed``, ``host_failed``, ``kept``."""
+    """One row per document: ``doc_id``, the counts, ``base_failed``, ``host_failed``, ``kept``, ``passed``."""
     measured = staged(
         measure(docs, text, (id_col, host)).toDF(
             "doc_id", "source", "n_words", "word_chars", "n_symbols", "n_lines",
@@ -164,6 +189,7 @@ def apply_rules(
     )
     hosts = host_verdicts(measured, "source", host_limit)
     base = F.expr(" or ".join(f"({RULES[r]})" for r in BASE_RULES))
+    any_failed = reduce(or_, failures().values())
     return (
         measured.join(hosts, F.col("source").eqNullSafe(F.col("host")))
         .withColumn("base_failed", base)
@@ -171,17 +197,18 @@ def apply_rules(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "base_failed", "host_failed",
             (~F.col("base_failed") & ~F.col("host_failed")).alias("kept"),
+            (~any_failed & ~F.col("host_failed") & ~F.col("outlying")).alias("passed"),
         )
     )
 
 
 def kept_documents(docs: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
-    """Documents that pass, with the columns of ``docs``, ids unique or not.
+    """Documents that pass the whole method, with the columns of ``docs``, ids unique or not.
 
-    The base rules are judged in place, next to the text; only hosts' verdicts are joined.
+    The rules are judged in place, next to the text; only hosts' verdicts are joined.
     """
     measured = staged(measure(docs, "text", ("source",)), "measured")
-    hosts = host_verdicts(measured, "source", host_limit).where("not host_failed").select("host")
-    return docs.where(passes_base(docs["text"])).join(
+    hosts = host_verdicts(measured, "source", host_limit).where("not host_failed and not outlying").select("host")
+    return docs.where(passes_rules(docs["text"])).join(
         hosts, docs["source"].eqNullSafe(hosts["host"]), "left_semi"
     )

@@ -68,3 +68,20 @@ def test_kept_documents_agree_and_keep_columns(docs_of, words):
     assert sorted(r.doc_id for r in kept.collect()) == sorted([*range(10, 20), 3, 3])
     assert quality.kept_documents(docs.limit(0)).count() == 0
     assert quality.apply_rules(docs.limit(0)).count() == 0
+
+
+def test_symbols_and_repeated_lines_go_and_so_does_a_junk_host(docs_of, words):
+    def junk(k):
+        return " ".join(w + "&&***" for w in words(k, 80).split())
+
+    rows = [(i, words(i, 80), None, f"h{i % 4}") for i in range(200)]
+    rows += [(1000 + i, junk(i), None, f"h{i % 4}") for i in range(10)]
+    rows += [(2000 + i, "\n".join([words(k, 30) for k in range(2)] + ["again and again"] * 8), None, "h0") for i in range(2)]
+    rows += [(3000 + i, junk(i) if i % 4 else words(i, 80), None, "farm") for i in range(100)]
+    rows += [(4000, junk(1), None, "tiny"), (4001, words(5, 80), None, "tiny")]
+    docs = docs_of(rows)
+    want = [*range(200), 4001]
+    assert sorted(r.doc_id for r in quality.kept_documents(docs).collect()) == want
+    judged = quality.apply_rules(docs).collect()
+    assert sorted(r.doc_id for r in judged if r.passed) == want
+    assert all(r.kept for r in judged if r.passed)
