@@ -4,7 +4,8 @@ A text is reduced to a canonical form (copyright lines dropped, lower case, equi
 spellings united, punctuation and white space folded to one space) and its MD5 digest
 is hash-joined to the digests of known licences. The same is done for every single
 line, so a licence statement inside other prose is found too. Everything is one pass
-of built-in functions; the known licences are a short fixed table.
+of built-in functions; the known licences are a fixed table: the texts in
+``license_texts`` and the usual one-line statements, which the README lists.
 
 Defined cases: a null text has a null digest and no licence; a text without letters or
 digits has the digest of the empty text; repeated rows stay; extra columns are ignored
@@ -13,6 +14,9 @@ unless asked for with ``keep``.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +80,98 @@ MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Pub
 If a copy of the MPL was not distributed with this file, You can obtain one at
 https://mozilla.org/MPL/2.0/."""
 
+# Licences and the names that statements give them.
+NAMES = {
+    "MIT": ("the MIT License", "MIT", "the MIT license (MIT)"),
+    "ISC": ("the ISC License", "ISC"),
+    "0BSD": ("the BSD Zero Clause License", "0BSD"),
+    "BSD-2-Clause": ("the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License"),
+    "BSD-3-Clause": ("the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License"),
+    "Apache-2.0": (
+        "the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License",
+        "the Apache Software License, Version 2.0", "Apache-2.0",
+    ),
+    "MPL-1.1": ("the Mozilla Public License, version 1.1", "MPL 1.1"),
+    "MPL-2.0": ("the Mozilla Public License, version 2.0", "the Mozilla Public License 2.0", "MPL 2.0"),
+    **{
+        f"{short}-{v}.0".replace(".1.0", ".1"): tuple(
+            x.format(v=v, long=long, short=short)
+            for x in (
+                "the GNU {long} General Public License, version {v}", "the GNU {long} General Public License v{v}",
+                "the GNU {long} General Public License version {v} or later",
+                "the GNU {long} General Public License, version {v} or any later version",
+                "the GNU {short} v{v}", "the {short} v{v}", "the GNU {short}, version {v}", "{short}v{v}", "the {short}v{v}",
+            )
+        )
+        for short, long, v in (
+            ("GPL", "", 1), ("GPL", "", 2), ("GPL", "", 3), ("LGPL", "Lesser", 2.1), ("LGPL", "Lesser", 3),
+            ("LGPL", "Library", 2), ("AGPL", "Affero", 3),
+        )
+    },
+    "GFDL-1.2": ("the GNU Free Documentation License, version 1.2",),
+    "GFDL-1.3": ("the GNU Free Documentation License, version 1.3",),
+    "BSL-1.0": ("the Boost Software License, Version 1.0", "the Boost Software License 1.0"),
+    "Zlib": ("the zlib License",),
+    "Unlicense": ("the Unlicense", "The Unlicense license"),
+    "EPL-1.0": ("the Eclipse Public License 1.0", "the Eclipse Public License v1.0"),
+    "EPL-2.0": ("the Eclipse Public License 2.0", "the Eclipse Public License v2.0"),
+    "OFL-1.1": ("the SIL Open Font License, Version 1.1", "the SIL Open Font License 1.1"),
+    "NCSA": ("the University of Illinois/NCSA Open Source License",),
+    "CC0-1.0": ("CC0 1.0", "CC0", "the CC0 1.0 Universal License"),
+    **{
+        f"CC-{short.replace(' ', '-')}-{v}": (
+            f"CC {short} {v}", f"a CC {short} {v} License", f"the CC {short} {v} License",
+            *(f"{a} Creative Commons {long} {v} {port} License" for a in ("a", "the")),
+        )
+        for short, long in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for v, port in (("3.0", "Unported"), ("4.0", "International"))
+    },
+}
+OPENINGS = (
+    "Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under",
+    "This software is licensed under", "This project is licensed under", "SPDX-License-Identifier:",
+)
+
+
+def statements() -> tuple[tuple[str, str], ...]:
+    """(licence, line) of the usual statements; an SPDX line has the identifier alone."""
+    return tuple(
+        (name, f"{opening} {said}.")
+        for name, titles in NAMES.items()
+        for opening in OPENINGS
+        for said in ((name, f"{name}-only", f"{name}-or-later") if opening.endswith(":") else titles)
+        if not said.endswith(("-only", "-or-later")) or "GPL" in name
+    )
+
+
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """(licence, text) of the files in ``license_texts``, with and without title, appendix
+    and numbering where these are often left out. A name ends before ``~``."""
+    out = []
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        name, text = file.stem.split("~")[0], file.read_text("utf-8")
+        if name.startswith("BSD-"):
+            body = text[text.index("Redistribution and use") :]
+            out += [
+                (name, f"{title}\n{rights}\n{form}")
+                for title in ("", f"BSD {name[4]}-Clause License", f"The BSD {name[4]}-Clause License")
+                for rights in ("", "All rights reserved.")
+                for form in (body, re.sub(r"(?m)^\s*[123]\. ", "* ", body))
+            ]
+            continue
+        out.append((name, text))
+        head, end, tail = text.partition("END OF TERMS AND CONDITIONS")
+        if end and tail:
+            out += [(name, head), (name, head + end)]
+        for title in {"Zlib": ("zlib License",), "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD")}.get(name, ()):
+            out.append((name, f"{title}\n{text}"))
+    return tuple(out)
+
+
 # Fixed values: (licence, text) of whole licences and of one-line statements.
 KNOWN = (
     ("MIT", MIT),
@@ -96,6 +192,9 @@ KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
+    ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
+    *statements(),
+    *whole_texts(),
 )
 
 
@@ -152,9 +251,7 @@ def scan(docs: DataFrame, known=KNOWN, text: str = "text", keep: tuple[str, ...]
         .cast("long")
         .alias("n_license_lines"),
     )
-    sides = known_licenses(docs.sparkSession, known).select(
-        F.col("digest").alias("_digest"), "license"
-    )
+    sides = docs.sparkSession.createDataFrame(sorted(listed.items()), "_digest string, license string")
     return found.join(sides, F.col("digest") == F.col("_digest"), "left").select(
         *ids,
         "digest",
