@@ -2,13 +2,14 @@
 
 Pages of one host come from one template. Every page is reduced to its skeleton: the
 tree of block elements, runs of like siblings folded to one node, each with a digest of
-its text. The skeleton of a host's first page is the reference; all other pages of the
-host are aligned with it by simple tree matching. Votes are summed over all pages of the
-host: a node with the same text on nearly all of them is template, one whose text varies
-is a slot. The slot that holds the article (by its element, else by the varying text it
-holds) is the content; each page's text is read from what is aligned with it, without
-menus, headers, footers, sidebars, notices, adverts, forms, comments and the template's
-own widgets.
+its text. The most frequent skeleton of a host is the reference; all distinct pages of the
+host are aligned with it by simple tree matching, one vote each, so copies do not turn
+content into template. A node with the same text on nearly all of them is template, one
+whose text varies is a slot. The article elements are the content, else the smallest node
+with all the varying text of all pages; each page's text is read from what is aligned with
+it and from its own other article elements, without menus, headers, footers, sidebars,
+notices, adverts, forms, comments and the template's own widgets. A widget goes only from
+pages that have the template's text in it, and only if most of the content varies.
 
 Skeletons and votes are small rows: votes are summed in the task, then by host and node,
 and what a host's pages are read with is one row, joined to the pages by host.
@@ -242,6 +243,10 @@ class Skeleton:
     def packed(self) -> str:
         return json.dumps([self.labels, self.digests, self.kids, self.chars], separators=(",", ":"))
 
+    def form(self) -> int:
+        """Digest of the tree alone, without its texts."""
+        return zlib.crc32(json.dumps([self.labels, self.kids]).encode("utf-8", "surrogatepass"))
+
     @staticmethod
     def unpacked(text: str) -> Skeleton:
         out = Skeleton()
@@ -283,11 +288,13 @@ def align(a: Skeleton, b: Skeleton, i: int = 0, j: int = 0) -> tuple[int, list[t
 class Wrapper:
     """What a host's pages are read with: the reference and the parts its votes give the nodes."""
 
-    def __init__(self, reference: Skeleton, votes: dict[int, tuple[int, int]]):
+    def __init__(self, reference: Skeleton, votes: dict[int, tuple[int, int, int]]):
         self.reference = reference
+        pages = votes[0][0] if 0 in votes else 0
         self.constant = {
-            k for k, (n, same) in votes.items() if n >= FEWEST_PAGES and same >= CONSTANT * n
+            k for k, (_, same, _) in votes.items() if pages >= FEWEST_PAGES and same >= CONSTANT * pages
         }
+        self.chars = {k: chars for k, (_, _, chars) in votes.items()}
         self.content: set[int] = set()
         self.choose(0)
         self.named = bool(self.content)
@@ -295,6 +302,11 @@ class Wrapper:
             k = self.deepest(0)
             if k:
                 self.content = {k}
+        dropped = {k for c in self.content for k in self.below(c) if self.droppable(k)}
+        inside = {x for k in dropped for x in self.below(k)}
+        held = {x for c in self.content for x in self.below(c)}
+        chars = [sum(self.chars.get(x, 0) for x in part) for part in (inside, held)]
+        self.dropped = dropped if 2 * chars[0] < chars[1] else set()
 
     def is_furniture(self, k: int) -> bool:
         tag, *names = self.reference.labels[k].split(" ")
@@ -320,17 +332,16 @@ class Wrapper:
         return bool(self.content & self.below(k))
 
     def slot_chars(self, k: int) -> int:
-        """Characters of a subtree that are neither template nor furniture."""
+        """Characters of a subtree, over all pages, that are neither template nor furniture."""
         if k in self.constant or (k and self.is_furniture(k)):
             return 0
-        own = self.reference.chars[k] - sum(self.reference.chars[x] for x in self.reference.kids[k])
-        return own + sum(self.slot_chars(x) for x in self.reference.kids[k])
+        return self.chars.get(k, 0) + sum(self.slot_chars(x) for x in self.reference.kids[k])
 
     def deepest(self, k: int) -> int:
-        """The smallest node that still holds four fifths of the varying text."""
+        """The smallest node that holds all the varying text."""
         whole = self.slot_chars(k)
         for kid in self.reference.kids[k]:
-            if whole and self.slot_chars(kid) >= 0.8 * whole and self.reference.labels[kid].split(" ")[0] not in PROSE:
+            if whole and self.slot_chars(kid) == whole and self.reference.labels[kid].split(" ")[0] not in PROSE:
                 return self.deepest(kid)
         return k
 
@@ -341,21 +352,51 @@ class Wrapper:
         nodes = [n for i, j in pairs if i in self.content for n in own.members[j]]
         if not nodes or (not self.named and articles_of(root)):
             return read_alone(root)
-        varies = any(c not in self.constant for c in self.content)
+        if self.named:
+            nodes = outermost(root, {id(n) for n in [*nodes, *articles_of(root)]})
         drop = frozenset(
             id(n)
             for i, j in pairs
-            if varies and i in self.constant and i not in self.content and self.widget(i)
+            if i in self.dropped and own.digests[j] == self.reference.digests[i]
             for n in own.members[j]
         )
         return text_of(nodes, self.named, drop)
 
+    def droppable(self, k: int) -> bool:
+        return k in self.constant and k not in self.content and self.widget(k)
+
     def widget(self, k: int) -> bool:
         """Only named containers count as template inside the content; prose stays."""
         tag, *names = self.reference.labels[k].split(" ")
         return bool(names) and tag not in PROSE and tag not in ("article", "main", "body", "html")
 
 
+def outermost(root: Node, wanted: set[int]) -> list[Node]:
+    """Nodes by identity, in page order, without those inside of others."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if id(node) in wanted:
+            found.append(node)
+        else:
+            stack += [k for k in reversed(node.kids) if isinstance(k, Node)]
+    return found
+
+
+def tally(reference: Skeleton, own: Skeleton):
+    """(node, same, chars) of every reference node that a page has: whether its text is the
+    same, and the characters that lie in it but not in an aligned node or furniture below."""
+    pairs = align(reference, own)[1]
+    aligned = {j for _, j in pairs}
+    for i, j in pairs:
+        chars = own.chars[j]
+        for kid in own.kids[j]:
+            tag, *names = own.labels[kid].split(" ")
+            if kid in aligned or furniture(Node(tag, tuple(names), 0), False):
+                chars -= own.chars[kid]
+        yield i, reference.digests[i] == own.digests[j], chars
+
+
 def articles_of(root: Node) -> list[Node]:
     """Article elements of a page, else its main element, outside of furniture."""
     for wanted in (
@@ -399,10 +440,14 @@ def extract(
             shapes = []
             for value in batch.column(2):
                 page = value.as_py()
-                shapes.append(None if page is None else Skeleton.of(parse(page)).packed())
+                shapes.append(None if page is None else Skeleton.of(parse(page)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shapes, pa.string())],
-                names=["host", "page", "shape"],
+                [
+                    batch.column(0), batch.column(1),
+                    pa.array([x and x.form() for x in shapes], pa.int64()),
+                    pa.array([x and x.packed() for x in shapes], pa.string()),
+                ],
+                names=["host", "page", "form", "shape"],
             )
 
     def voted(batches):
@@ -414,17 +459,17 @@ def extract(
             for host, shape, first in zip(*(c.to_pylist() for c in batch.columns)):
                 if last is None or last[0] != first:
                     last = first, Skeleton.unpacked(first)
-                own = Skeleton.unpacked(shape)
-                for i, j in align(last[1], own)[1]:
-                    n, same = sums.get((host, i), (0, 0))
-                    sums[host, i] = n + 1, same + (last[1].digests[i] == own.digests[j])
+                for i, equal, chars in tally(last[1], Skeleton.unpacked(shape)):
+                    n, same, held = sums.get((host, i), (0, 0, 0))
+                    sums[host, i] = n + 1, same + equal, held + chars
         keys = list(sums)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
                 pa.array([sums[k][0] for k in keys], pa.int64()), pa.array([sums[k][1] for k in keys], pa.int64()),
+                pa.array([sums[k][2] for k in keys], pa.int64()),
             ],
-            names=["host", "node", "n", "same"],
+            names=["host", "node", "n", "same", "chars"],
         )
 
     def taken(batches):
@@ -445,7 +490,7 @@ def extract(
                 if key not in made:
                     if len(made) > 256:
                         made.clear()
-                    votes = {v["node"]: (v["n"], v["same"]) for v in batch.column(3)[k].as_py() or ()}
+                    votes = {v["node"]: (v["n"], v["same"], v["chars"]) for v in batch.column(3)[k].as_py() or ()}
                     made[key] = Wrapper(Skeleton.unpacked(first), votes)
                 texts.append(made[key].read(page))
             yield pa.RecordBatch.from_arrays(
@@ -455,19 +500,26 @@ def extract(
     host = F.coalesce(host_of(F.col(f"`{url}`")), F.lit(""))
     shapes = staged(
         pages.select(host.alias("host"), F.col(f"`{id_col}`").cast("string").alias("page"), F.col(f"`{html}`"))
-        .mapInArrow(reduced, "host string, page string, shape string")
-        .where("shape is not null"),
+        .mapInArrow(reduced, "host string, page string, form long, shape string")
+        .where("shape is not null")
+        .groupBy("host", "form", "shape")
+        .agg(F.min("page").alias("page")),
         "shapes",
     )
-    firsts = shapes.groupBy("host").agg(F.min_by("shape", F.struct("page", "shape")).alias("first"))
+    firsts = (
+        shapes.groupBy("host", "form")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("page", "shape")).alias("first"))
+        .groupBy("host")
+        .agg(F.min_by("first.shape", F.struct(-F.col("n"), "first")).alias("first"))
+    )
     votes = (
         shapes.join(firsts, "host")
         .select("host", "shape", "first")
-        .mapInArrow(voted, "host string, node int, n long, same long")
+        .mapInArrow(voted, "host string, node int, n long, same long, chars long")
         .groupBy("host", "node")
-        .agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
+        .agg(*(F.sum(c).alias(c) for c in ("n", "same", "chars")))
         .groupBy("host")
-        .agg(F.sort_array(F.collect_list(F.struct("node", "n", "same"))).alias("votes"))
+        .agg(F.sort_array(F.collect_list(F.struct("node", "n", "same", "chars"))).alias("votes"))
     )
     wrappers = staged(firsts.join(votes, "host"), "wrappers")
     kept = pages.select(

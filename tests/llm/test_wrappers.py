@@ -74,3 +74,35 @@ def test_simple_tree_matching_is_the_largest_ordered_match():
     score, pairs = wrappers.align(a, b)
     assert score == len(pairs) == 4  # page, p, section, ul
     assert {(a.labels[i], b.labels[j]) for i, j in pairs} == {(x, x) for x in ("#page", "p", "section", "ul")}
+
+
+def test_a_widget_goes_only_where_it_has_the_template_text(spark):
+    body = "<article><div class='update'>{}</div><p>Text {} of its own</p></article>"
+    pages = [(f"http://h.com/{i:02}", page(body.format("No update" if i != 7 else "Ten people were found", i))) for i in range(20)]
+    got = read(spark, pages)
+    assert got == {i: "Ten people were found " * (i == 7) + f"Text {i} of its own" for i in range(20)}
+
+
+def test_copies_and_edited_copies_do_not_turn_content_into_template(spark):
+    body = "<article><section class='part'>{} long section that stays as it is</section><p>{}</p></article>"
+    copies = [(f"http://i.com/{i}", page(body.format("One", "first"))) for i in range(30)]
+    others = [(f"http://i.com/x{i}", page(body.format(f"Other {i}", f"other {i}"))) for i in range(3)]
+    edited = [(f"http://j.com/{i}", page(body.format("Edited", f"edit {i}"))) for i in range(9)]
+    got = read(spark, copies + others + edited)
+    assert all(got[i] == "One long section that stays as it is first" for i in range(30))
+    assert [got[i] for i in range(30, 33)] == [f"Other {i} long section that stays as it is other {i}" for i in range(3)]
+    assert [got[i] for i in range(33, 42)] == [f"Edited long section that stays as it is edit {i}" for i in range(9)]
+
+
+def test_headline_and_short_block_stay_with_the_long_text(spark):
+    body = "<div class='wrap'><h1>Title {0}</h1><div class='text'><p>" + "word {0} " * 80 + "</p></div><div class='extra'>More {0}</div></div>"
+    got = read(spark, [(f"http://k.com/{i}", page(body.format(i))) for i in range(5)])
+    assert got == {i: f"Title {i} " + f"word {i} " * 80 + f"More {i}" for i in range(5)}
+
+
+def test_articles_that_the_reference_lacks_are_read(spark):
+    one, two = "<article class='a'><p>First {0}</p></article>", "<div class='ad'>Buy</div><article class='b'><p>Second {0}</p></article>"
+    pages = [("http://l.com/0", "")] + [(f"http://l.com/{i}", page(one.format(i))) for i in range(1, 6)]
+    pages.append(("http://l.com/6", page((one + two).format(6))))
+    got = read(spark, pages)
+    assert got[0] == "" and got[6] == "First 6 Second 6" and all(got[i] == f"First {i}" for i in range(1, 6))
