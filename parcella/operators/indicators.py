@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from parcella.functions import geo
 from parcella.functions.codes import territory_code
 from parcella.functions.numbers import ratio, real, real_comma, rounded_int, whole
-from parcella.operators.spatial import DEFAULT_CELL, count_points_in_polygons, nearest_join
+from parcella.operators.nearest import nearest_join
+from parcella.operators.spatial import DEFAULT_CELL, count_points_in_polygons
 from parcella.operators.stats import one_row
 
 CODE = "code_commune"

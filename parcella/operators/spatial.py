@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcella.functions import geo
-from parcella.sources.staging import staged
 
 DEFAULT_CELL = 0.25
 
@@ -119,100 +118,3 @@ def count_points_in_polygons(
         .agg(F.count(F.lit(1)).alias(name))
     )
     return polygons.join(counts, code, "left").withColumn(name, F.coalesce(name, F.lit(0)))
-
-
-def _sphere_cells(df: DataFrame, lat: str, lon: str, max_km: float, levels: int) -> DataFrame:
-    """One row per level with the cubic cell (l, x, y, z) of the point on the sphere in 3-D."""
-    side = f"({max_km * (1 + 1e-9)!r}D / pow(4, l))"
-    phi, lam = f"radians({lat})", f"radians({lon})"
-    return (
-        df.selectExpr("*", f"explode(sequence(0, {levels - 1})) AS l")
-        .selectExpr(
-            "*",
-            f"floor({geo.EARTH_KM}D * cos({phi}) * cos({lam}) / {side}) AS x",
-            f"floor({geo.EARTH_KM}D * cos({phi}) * sin({lam}) / {side}) AS y",
-            f"floor({geo.EARTH_KM}D * sin({phi}) / {side}) AS z",
-        )
-    )
-
-
-def _with_neighbours(df: DataFrame) -> DataFrame:
-    """Each row once in its own cell and once in each of the 26 around it."""
-    for axis in ("x", "y", "z"):
-        df = df.withColumn(axis, F.expr(f"explode(sequence({axis} - 1, {axis} + 1))"))
-    return df
-
-
-#: Most places in one cube of the finest level, and the level at which cubes are a
-#: millimetre wide and places in them as good as equal.
-CROWD, FINEST = 16, 14
-
-
-def _levels(targets: DataFrame, max_km: float) -> int:
-    """Number of levels after which no cube holds more than ``CROWD`` places."""
-    cells = _sphere_cells(targets.select("_rlat", "_rlon"), "_rlat", "_rlon", max_km, FINEST + 1)
-    fullest = (
-        cells.groupBy("l", "x", "y", "z").count().groupBy("l").agg(F.max("count").alias("n"))
-    )
-    found = {r["l"]: r["n"] for r in fullest.collect()}  # one row per level
-    return next((l + 1 for l in range(FINEST) if found.get(l, 0) <= CROWD), FINEST + 1)
-
-
-def nearest_join(
-    left: DataFrame,
-    right: DataFrame,
-    *,
-    key: str,
-    left_at: tuple[str, str],
-    right_at: tuple[str, str],
-    right_id: str,
-    keep: Sequence[str],
-    distance: str,
-    max_km: float,
-) -> DataFrame:
-    """Nearest right row within ``max_km`` of each left row; ties by ``right_id``.
-
-    Exact and free of cross joins. Points live in cubes of side max_km / 4^level
-    around the sphere, where "within one side" means "in a neighbouring cube".
-    For each left row the finest level with any right row next door is looked up
-    first; such a row is at most 2 * sqrt(3) sides away, less than one side of
-    the level above, so the neighbourhood one level up must hold the nearest.
-    Right rows at one place count as one, and levels go on until no cube is crowded,
-    so a dense spot that holds both sides gives pairs in proportion to its rows.
-    ``*_at`` are (lat, lon) column names.
-    """
-    r_lat, r_lon = right_at
-    targets = staged(
-        right.where(F.col(r_lat).isNotNull() & F.col(r_lon).isNotNull())
-        .groupBy(F.col(r_lat).alias("_rlat"), F.col(r_lon).alias("_rlon"))
-        .agg(F.min(F.struct(F.col(right_id).alias("_rid"), F.struct(*keep).alias("_kept"))).alias("_r"))
-        .select("_rlat", "_rlon", "_r.*"),
-        "places",
-    )
-    levels = _levels(targets, max_km)
-    cube = ["l", "x", "y", "z"]
-    spread = _with_neighbours(_sphere_cells(targets, "_rlat", "_rlon", max_km, levels))
-    occupied = spread.select(*cube).distinct()
-
-    lat, lon = left_at
-    origin = left.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
-        key, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")
-    )
-    located = _sphere_cells(origin, "_lat", "_lon", max_km, levels)
-    finest = located.join(occupied, cube).groupBy(key, "_lat", "_lon").agg(
-        F.max("l").alias("_finest")
-    )
-    search = _sphere_cells(finest, "_lat", "_lon", max_km, levels).where(
-        "l = greatest(_finest - 1, 0)"
-    )
-    reach = geo.arc_km(F.col("_lat"), F.col("_lon"), F.col("_rlat"), F.col("_rlon"))
-    best = (
-        search.join(spread, cube)
-        .groupBy(key)
-        .agg(F.min(F.struct(reach.alias("_km"), "_rid", "_kept")).alias("_best"))
-    )
-    return best.where(F.col("_best._km") <= max_km).select(
-        key,
-        *[F.col(f"_best._kept.{c}").alias(c) for c in keep],
-        F.col("_best._km").alias(distance),
-    )

@@ -200,12 +200,12 @@ _AREA = (
 
 
 def _arc(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    """Great-circle kilometres by the spherical law of cosines, argument clamped."""
-    cosine = (
-        f"sin(radians({lat1})) * sin(radians({lat2})) + cos(radians({lat1})) "
-        f"* cos(radians({lat2})) * cos(radians({lon2} - {lon1}))"
+    """Great-circle km between two places, haversine form."""
+    half = (
+        f"power(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) "
+        f"* cos(radians({lat2})) * power(sin(radians({lon2} - {lon1}) / 2), 2)"
     )
-    return f"acos(least(1, greatest(-1, {cosine}))) * 6371"
+    return f"2 * 6371 * asin(sqrt(least(1, {half})))"
 
 
 STEPS |= {
@@ -335,7 +335,7 @@ ORACLE |= {
                {rounded("ensoleillement_h_an", "temperature_moy_annuelle", "dist_station_km", digits=4)}
         FROM climate""",
     "nearest_metropolis": f"""
-        SELECT code_commune, nom_metropole, {rounded("dist_metropole_km", digits=3)} FROM city""",
+        SELECT code_commune, nom_metropole, {rounded("dist_metropole_km", digits=4)} FROM city""",
     "stops_per_cell": f"""
         SELECT code_commune, nb_arrets, {rounded("surface_km2", "densite_arrets_km2")} FROM density""",
     "polygon_area": f"""

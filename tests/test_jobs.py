@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shapes import square
 
 from parcella.functions import geo
-from parcella.operators import indicators, sales, scores, spatial, territories
+from parcella.operators import indicators, nearest, sales, scores, spatial, territories
 from parcella.operators.scores import DIMENSIONS
 from parcella.plans import exports
 
@@ -215,60 +215,109 @@ def haversine(lat1, lon1, lat2, lon2):
     return 2 * 6371 * math.asin(min(1, math.sqrt(h)))
 
 
-def test_nearest_against_brute_force(spark):
-    """Dense cluster, far outliers, both sides of the date line, a pole, an exact hit."""
+def brute_nearest(left, right, cap):
+    found = {}
+    for k, la, lo in left:
+        d, i = min((haversine(la, lo, ra, ro), i) for i, ra, ro in right)
+        if d <= cap:
+            found[k] = (i, d)
+    return found
+
+
+@pytest.mark.parametrize("places, left_rows", [(65_536, 1_000_000), (8, 25), (3, 7)])
+def test_nearest_against_brute_force(spark, places, left_rows):
+    """Dense cluster, far outliers, both sides of the date line, a pole, an exact hit; one tree
+    and many ranges of the curve."""
     rng = np.random.default_rng(11)
     left = [(f"l{i}", *map(float, p)) for i, p in enumerate(rng.uniform([40, -5], [52, 9], (80, 2)))]
+    left += [(f"m{i}", *map(float, p)) for i, p in enumerate(rng.normal([45, 5], 0.05, (60, 2)))]
     left += [("date", 10.0, 179.9), ("pole", 89.9, 0.0), ("hit", 45.0, 5.0), ("lost", -60.0, 0.0)]
     right = [(f"r{i:02d}", *map(float, p)) for i, p in enumerate(rng.normal([45, 5], 0.05, (40, 2)))]
+    right += [(f"w{i:02d}", *map(float, p)) for i, p in enumerate(rng.uniform([-80, -180], [80, 180], (40, 2)))]
     right += [("far", 41.0, -4.0), ("east", 10.1, -179.9), ("north", 89.9, 180.0)]
     right += [("twin2", 45.0, 5.0), ("twin1", 45.0, 5.0)]
-    cap = 500
-    got = spatial.nearest_join(
-        spark.createDataFrame(left, "k string, lat double, lon double"),
-        spark.createDataFrame(right, "id string, rlat double, rlon double"),
+    nowhere = [("n1", None, 1.0), ("n2", float("nan"), 1.0)]
+    got = nearest.nearest_join(
+        spark.createDataFrame(left + nowhere, "k string, lat double, lon double"),
+        spark.createDataFrame(right + nowhere, "id string, rlat double, rlon double"),
         key="k",
         left_at=("lat", "lon"),
         right_at=("rlat", "rlon"),
         right_id="id",
         keep=["id"],
         distance="km",
-        max_km=cap,
+        max_km=500,
+        places=places,
+        left_rows=left_rows,
     )
-    mine = {r.k: (r.id, r.km) for r in got.collect()}
-    expected = {}
-    for k, la, lo in left:
-        d, i = min((haversine(la, lo, ra, ro), i) for i, ra, ro in right)
-        if d <= cap:
-            expected[k] = (i, d)
-    assert set(mine) == set(expected)
-    assert {k: v[0] for k, v in mine.items()} == {k: v[0] for k, v in expected.items()}
-    assert all(abs(mine[k][1] - expected[k][1]) < 1e-6 for k in expected)
+    assert got.columns == ["k", "id", "km"]
+    rows = got.collect()
+    mine = {r.k: (r.id, r.km) for r in rows}
+    expected = brute_nearest(left, right, 500)
+    assert len(rows) == len(mine) and {k: v[0] for k, v in mine.items()} == {k: v[0] for k, v in expected.items()}
+    assert all(abs(mine[k][1] - expected[k][1]) < 1e-9 for k in expected)
     assert mine["hit"] == ("twin1", 0.0)
     assert "lost" not in mine
 
 
-def test_nearest_in_a_dense_spot(spark):
-    """Levels go on below a crowded cube, and the result stays exact."""
-    seen = []
-    for n in (400, 800):
-        r = np.random.default_rng(n)
-        left, right = (r.normal([45, 5], 1e-6, (n, 2)) for _ in range(2))
-        frames = [
-            spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], f"{k} long, {k}la double, {k}lo double")
-            for k, x in (("a", left), ("b", right))
-        ]
-        levels = spatial._levels(
-            frames[1].selectExpr("bla as _rlat", "blo as _rlon"), 500.0
+def test_nearest_without_places(spark):
+    left = spark.createDataFrame([(1, 45.0, 5.0)], "k long, lat double, lon double")
+    right = left.selectExpr("k AS id", "lat AS a", "lon AS b").where("id > 1")
+    for one, other in ((left, right), (left.where("k > 1"), left.selectExpr("k AS id", "lat AS a", "lon AS b"))):
+        got = nearest.nearest_join(
+            one, other, key="k", left_at=("lat", "lon"), right_at=("a", "b"), right_id="id", keep=["id"], distance="km", max_km=9
         )
-        seen.append(levels)
-        got = spatial.nearest_join(
-            *frames, key="a", left_at=("ala", "alo"), right_at=("bla", "blo"), right_id="b", keep=["b"], distance="km", max_km=500
-        )
-        best = {g.a: g.km for g in got.collect()}
-        for i in range(0, n, 97):
-            assert best[i] == pytest.approx(min(haversine(*left[i], *p) for p in right), rel=1e-3, abs=1e-9)
-    assert min(seen) > 6
+        assert got.columns == ["k", "id", "km"] and got.count() == 0
+
+
+@pytest.mark.parametrize("places", [65_536, 100])
+def test_nearest_in_a_dense_spot(spark, places):
+    """Both sides within a tenth of a metre, beside places far off."""
+    r = np.random.default_rng(4)
+    left, right = (r.normal([45, 5], 1e-6, (600, 2)) for _ in range(2))
+    right[:200] = r.uniform([-80, -180], [80, 180], (200, 2))
+    frames = [
+        spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], f"{k} long, {k}la double, {k}lo double")
+        for k, x in (("a", left), ("b", right))
+    ]
+    got = nearest.nearest_join(
+        *frames, key="a", left_at=("ala", "alo"), right_at=("bla", "blo"), right_id="b", keep=["b"], distance="km", max_km=500, places=places, left_rows=150
+    )
+    best = {g.a: g.km for g in got.collect()}
+    assert len(best) == 600
+    for i in range(0, 600, 37):
+        assert best[i] == pytest.approx(min(haversine(*left[i], *p) for p in right), rel=1e-6, abs=1e-12)
+
+
+def test_few_rows_cross_into_other_ranges(spark):
+    """The second pass gets a small constant of rows, the places few copies."""
+    n = 4000
+    at = "degrees(asin(2 * rand({0}) - 1)) AS lat", "360 * rand({1}) - 180 AS lon"
+    left, right = (
+        spark.range(n).selectExpr("id", *(x.format(k, k + 9) for x in at)) for k in (1, 2)
+    )
+    targets = right.selectExpr("lat AS _rlat", "lon AS _rlon", "id AS _rid", "struct(id) AS _kept")
+    cuts = nearest._cuts(targets, n, 250)
+    assert 10 <= len(cuts) < 16
+    places = nearest._with_range(targets, "_rlat", "_rlon", cuts)
+    largest = max(r["count"] for r in places.groupBy("_range").count().collect())
+    assert largest < 3 * 250
+    seen = []
+    original = nearest._visit_ranges
+
+    def visit(origin, *rest):
+        seen.append(origin.count())
+        return original(origin, *rest)
+
+    nearest._visit_ranges = visit
+    try:
+        nearest.nearest_join(
+            left, right.selectExpr("id AS r", "lat AS a", "lon AS b"), key="id", left_at=("lat", "lon"),
+            right_at=("a", "b"), right_id="r", keep=["r"], distance="km", max_km=20_000, places=250,
+        ).count()
+    finally:
+        nearest._visit_ranges = original
+    assert seen[0] == n and seen[1] < 2 * n
 
 
 def test_spatial_plans_use_no_cross_join(spark, outlines):
