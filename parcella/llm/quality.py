@@ -3,18 +3,18 @@
 Each document is measured in one scan of its whole text. Failures are counted for each
 rule and host (here: the source); a host's failure rate is shrunk towards all hosts by a
 beta prior fitted to the hosts' rates by moments, so a host with few documents is judged
-mostly by the rest. Its verdict goes back to its documents.
-
-There are two verdicts. ``kept`` is that of the SQL twin: the base rules, and no host with
-a shrunk rate of any rule over ``host_limit``. ``passed`` is the whole method, by which the
-pipeline filters: a document that fails any rule goes, and so does a host that is over
-``host_limit`` or an outlier, whose rate of a rule lies with posterior certainty above the
-middle between the mean of all other hosts and 1.
-
-Only built-in functions; one map-side combined aggregation by host. Defined cases: null
-text counts as empty (and fails, having no words); null hosts are one host; repeated
-rows count as often as they stand; an empty table gives an empty result; extra columns
-are ignored.
+mostly by the rest. A host fails if its shrunk rate of a rule is over ``host_limit``, or an
+outlier: with posterior certainty above the middle between the mean of all other hosts and
+1. A document is kept if it fails no rule and its host does not fail.
+
+Only built-in functions; one map-side combined aggregation by host. Only failing hosts are
+joined to the documents: broadcast up to ``BROADCAST_HOSTS`` of them, counted first, and by
+host and salt beyond, so no host's documents meet in one task.
+
+Defined cases: null text counts as empty (and fails, having no words); null hosts are one
+host; repeated rows count as often as they stand; a rate that equals its limit passes; a
+text of any length is measured whole, within its row; an empty table gives an empty result;
+extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,8 +38,11 @@ RULES = {
     "symbols": "10 * n_symbols > 3 * word_chars",
     "dup_lines": "n_lines > 0 and 100 * n_dup_lines > 60 * n_lines",
 }
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 BASE_RULES = ("few_words", "repeats")
 HOST_LIMIT = 0.8
+#: Most failing hosts that are broadcast, and parts of a host beyond.
+BROADCAST_HOSTS, SALTS = 100_000, 32
 #: Standard deviations of the posterior that an outlier's rate stays above its limit (99 %).
 CERTAIN = 2.33
 
@@ -116,35 +119,19 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     )
 
 
-def passes_rules(text: Column) -> Column:
-    """Whether a text passes every rule: one expression, fit for a filter."""
-    body = F.coalesce(text, F.lit(""))
-    symbols = F.length(body) - F.length(F.translate(body, SYMBOLS, ""))
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
-    return (
-        (10 * symbols <= 3 * F.length(F.translate(body, BLANKS, "")))
-        & let(lines, lambda x: 100 * (F.size(x) - F.size(F.array_distinct(x))) <= 60 * F.size(x))
-        & let(
-            words_of(body),
-            lambda w: (F.size(w) >= FEWEST_WORDS) & (100 * repeat_words(w) <= 50 * F.size(w)),
-        )
-    )
-
-
 def failures() -> dict[str, Column]:
     return {name: F.expr(rule) for name, rule in RULES.items()}
 
 
 def host_verdicts(measured: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
-    """``host, n_docs, worst_rate, host_failed, outlying``: shrunk failure rates of every host.
+    """``host, n_docs, worst_rate, host_failed``: shrunk failure rates of every host.
 
     For each rule the hosts' rates have mean m and variance v; the beta prior with these
     moments has strength m (1 - m) / v - 1. With equal rates (v = 0) the prior holds all
-    the weight; with a strength below 0 it holds none. ``outlying`` hosts have a rule whose
-    posterior rate, less ``CERTAIN`` standard deviations, is above (1 + mean of the other
-    hosts) / 2; a single host has no others and equal rates no outlier.
+    the weight; with a strength below 0 it holds none. Outliers have a rule whose posterior
+    rate, less ``CERTAIN`` standard deviations, is above (1 + mean of the other hosts) / 2;
+    a single host has no others and equal rates no outlier.
     """
-    names = list(RULES)
     counts = measured.groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("n_docs"),
         *(F.count_if(c).alias(f"f_{r}") for r, c in failures().items()),
@@ -169,46 +156,55 @@ def host_verdicts(measured: DataFrame, host: str = "source", host_limit: float =
             spread = F.sqrt(shrunk[-1] * (1 - shrunk[-1]) / (F.col("n_docs") + F.lit(strength + 1)))
             limit = (1 + (F.lit(m * (others + 1)) - rate[r]) / others) / 2
             outlying.append(shrunk[-1] - CERTAIN * spread > limit)
+    worst = F.greatest(*shrunk)
     return counts.select(
-        "host", "n_docs", F.greatest(*shrunk).alias("worst_rate"),
-        reduce(or_, outlying, F.lit(False)).alias("outlying"),
-    ).select("host", "n_docs", "worst_rate", (F.col("worst_rate") > host_limit).alias("host_failed"), "outlying")
+        "host", "n_docs", worst.alias("worst_rate"),
+        reduce(or_, outlying, worst > host_limit).alias("host_failed"),
+    )
+
+
+def _against_failing(
+    measured: DataFrame, verdicts: DataFrame, how: str, most: int = BROADCAST_HOSTS
+) -> DataFrame:
+    """``measured`` joined by ``how`` to its failing hosts (``_host, _failed``), unshuffled while they are few."""
+    failing = staged(
+        verdicts.where("host_failed").select(F.col("host").alias("_host"), F.lit(True).alias("_failed")),
+        "failing_hosts",
+    )
+    if failing.count() <= most:
+        return measured.join(F.broadcast(failing), F.col("source").eqNullSafe(F.col("_host")), how)
+    salted = measured.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+    spread = failing.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = F.col("source").eqNullSafe(F.col("_host")) & (F.col("_salt") == F.col("_part"))
+    return salted.join(spread, same, how)
 
 
 def apply_rules(
     docs: DataFrame, text: str = "text", host: str = "source", id_col: str = "doc_id",
-    host_limit: float = HOST_LIMIT,
+    host_limit: float = HOST_LIMIT, most: int = BROADCAST_HOSTS,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, the counts, ``base_failed``, ``host_failed``, ``kept``, ``passed``."""
-    measured = staged(
-        measure(docs, text, (id_col, host)).toDF(
-            "doc_id", "source", "n_words", "word_chars", "n_symbols", "n_lines",
-            "n_dup_lines", "n_repeat_words",
-        ),
-        "measured",
-    )
-    hosts = host_verdicts(measured, "source", host_limit)
+    """One row per document: ``doc_id``, the counts, ``base_failed``, ``host_failed``, ``kept``."""
+    measured = staged(measure(docs, text, (id_col, host)).toDF("doc_id", "source", *COUNTS), "measured")
+    judged = _against_failing(measured, host_verdicts(measured, "source", host_limit), "left", most)
     base = F.expr(" or ".join(f"({RULES[r]})" for r in BASE_RULES))
-    any_failed = reduce(or_, failures().values())
-    return (
-        measured.join(hosts, F.col("source").eqNullSafe(F.col("host")))
-        .withColumn("base_failed", base)
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "base_failed", "host_failed",
-            (~F.col("base_failed") & ~F.col("host_failed")).alias("kept"),
-            (~any_failed & ~F.col("host_failed") & ~F.col("outlying")).alias("passed"),
-        )
+    host_failed = F.coalesce("_failed", F.lit(False))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), host_failed.alias("host_failed"),
+        (~reduce(or_, failures().values()) & ~host_failed).alias("kept"),
     )
 
 
-def kept_documents(docs: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
-    """Documents that pass the whole method, with the columns of ``docs``, ids unique or not.
+def kept_documents(docs: DataFrame, host_limit: float = HOST_LIMIT, most: int = BROADCAST_HOSTS) -> DataFrame:
+    """Documents that the method keeps, with the columns of ``docs``, ids unique or not.
 
-    The rules are judged in place, next to the text; only hosts' verdicts are joined.
+    Every text is measured once: documents that pass the rules are stored whole, of the
+    others only the counts, by which their hosts are judged.
     """
-    measured = staged(measure(docs, "text", ("source",)), "measured")
-    hosts = host_verdicts(measured, "source", host_limit).where("not host_failed and not outlying").select("host")
-    return docs.where(passes_rules(docs["text"])).join(
-        hosts, docs["source"].eqNullSafe(hosts["host"]), "left_semi"
-    )
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    passed = ~reduce(or_, failures().values())
+    measured = measure(docs.select(row, "text", "source"), "text", ("row", "source"))
+    judged = staged(measured.select("source", *COUNTS, F.when(passed, F.col("row")).alias("row")), "judged")
+    hosts = host_verdicts(judged.select("source", *COUNTS), "source", host_limit)
+    kept = _against_failing(judged.where(passed), hosts, "left_anti", most)
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))

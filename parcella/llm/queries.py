@@ -78,9 +78,9 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of every document, held against the round trip and against SentencePiece."""
-    return pieces.encode(table(spark, sf_dir, "documents"), with_decoded=False).select(
-        "doc_id", "n_tokens", "ids_crc32", "round_trip", "parity", "ids"
+    """Ids and decoded text of every document, held against the round trip and SentencePiece."""
+    return pieces.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_tokens", "ids_crc32", "round_trip", "parity", "ids", "decoded"
     )
 
 
@@ -248,18 +248,25 @@ WITH words AS (
   FROM (SELECT source, unnest([1, 2, 3, 4]) AS r, unnest([f1, f2, f3, f4]) AS x FROM f)
   GROUP BY source, r
 ), moments AS (
-  SELECT r, avg(fails / n) AS mean, var_pop(fails / n) AS var FROM hosts GROUP BY r
-), shrunk AS (
-  SELECT source, max(CASE WHEN var > 0 THEN
-           (fails + mean * greatest(0, mean * (1 - mean) / var - 1))
-           / (n + greatest(0, mean * (1 - mean) / var - 1)) ELSE mean END) AS worst
-  FROM hosts JOIN moments USING (r) GROUP BY source
+  SELECT r, avg(fails / n) AS mean, var_pop(fails / n) AS var, count(*) AS hosts,
+         greatest(0, mean * (1 - mean) / var - 1) AS strength
+  FROM hosts GROUP BY r
+), rates AS (
+  SELECT source, n, mean, var, hosts, strength, fails / n AS rate,
+         CASE WHEN var > 0 THEN (fails + mean * strength) / (n + strength) ELSE mean END AS shrunk
+  FROM hosts JOIN moments USING (r)
+), failing AS (
+  SELECT source, bool_or(shrunk > 0.8 OR coalesce(
+           var > 0 AND hosts > 1
+           AND shrunk - 2.33 * sqrt(shrunk * (1 - shrunk) / (n + strength + 1))
+               > (1 + (mean * hosts - rate) / (hosts - 1)) / 2, false)) AS failed
+  FROM rates GROUP BY source
 )
 SELECT f.doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
        n_repeat_words::BIGINT AS n_repeat_words, (f1 + f2 > 0) AS base_failed,
-       (f1 + f2 = 0 AND s.worst <= 0.8) AS kept
-FROM f JOIN shrunk s ON s.source IS NOT DISTINCT FROM f.source
+       (f1 + f2 + f3 + f4 = 0 AND NOT s.failed) AS kept
+FROM f JOIN failing s ON s.source IS NOT DISTINCT FROM f.source
 """
 
 ORACLE["op8_mixing"] = r"""

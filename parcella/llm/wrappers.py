@@ -16,7 +16,9 @@ and what a host's pages are read with is one row, joined to the pages by host.
 
 Defined cases: null html has an empty text; a null URL, or one without host, belongs to
 the host ``''``; a page that cannot be aligned, and a host of one page or of equal pages,
-is read by its elements alone; repeated rows stay; extra columns are ignored unless kept.
+is read by its elements alone; articles below an article, and those named as comments, are
+readers' comments; repeated rows stay; a page of any length is read whole; an empty table
+gives an empty result; extra columns are ignored unless kept.
 """
 
 from __future__ import annotations
@@ -81,6 +83,8 @@ FURNITURE = frozenset(
         "sponsor", "sponsored", "subscribe", "toolbar", "widget",
     }
 )
+#: Names of an article element that is a reader's comment.
+COMMENTS = frozenset({"comment", "comments", "reply", "replies", "respond", "disqus"})
 MAIN_NAMES = frozenset({"articlebody", "main"})
 
 
@@ -147,36 +151,53 @@ def furniture(node: Node, inside: bool) -> bool:
     """Menus, adverts and the like by element and names; a header only outside the article."""
     if node.tag in ASIDES or (node.tag == "header" and not inside):
         return True
-    if node.tag in ("article", "main", "body", "html"):
+    if node.tag == "article":
+        return any(w in COMMENTS for w in node.names)
+    if node.tag in ("main", "body", "html"):
         return False
     return any(w in FURNITURE for w in node.names) or (
         not inside and "header" in node.names and node.tag not in PROSE
     )
 
 
-def blocks_of(node: Node, out: list[list[str]], inside: bool = True, drop=frozenset()) -> None:
-    """Append the text of a subtree to ``out``: one list of pieces for each block."""
+def blocks_of(
+    node: Node, out: list[list[str]], inside: bool = True, drop=frozenset(),
+    within: bool = False, wrapped: bool = False,
+) -> None:
+    """Append the text of a subtree to ``out``: one list of pieces for each block.
+
+    An article ``within`` an article is a reader's comment, unless articles come ``wrapped``.
+    """
+    within = within or node.tag == "article"
     for kid in node.kids:
         if isinstance(kid, str):
             out[-1].append(kid)
         elif kid.tag in INLINE:
             if not furniture(kid, inside):
-                blocks_of(kid, out, inside, drop)
-        elif id(kid) in drop or furniture(kid, inside):
+                blocks_of(kid, out, inside, drop, within, wrapped)
+        elif id(kid) in drop or furniture(kid, inside) or (within and kid.tag == "article" and not wrapped):
             out.append([])
         else:
             out.append([])
-            blocks_of(kid, out, inside, drop)
+            blocks_of(kid, out, inside, drop, within, wrapped)
             out.append([])
 
 
 def text_of(nodes: list[Node], inside: bool = True, drop=frozenset()) -> str:
-    """Blocks in page order, white space folded, joined by one space."""
-    out: list[list[str]] = [[]]
-    for node in nodes:
-        blocks_of(node, out, inside, drop)
-        out.append([])
-    return " ".join(w for block in out for w in "".join(block).split())
+    """Blocks in page order, white space folded, joined by one space.
+
+    Articles that hold nothing but articles are wrappers of these.
+    """
+    text = ""
+    for wrapped in (False, True):
+        out: list[list[str]] = [[]]
+        for node in nodes:
+            blocks_of(node, out, inside, drop, wrapped=wrapped)
+            out.append([])
+        text = text or " ".join(w for block in out for w in "".join(block).split())
+        if text:
+            break
+    return text
 
 
 def own_text(node: Node, links: bool = False) -> str:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
-from parcella.llm import quality
+from parcella.llm import quality, queries
 
 
 def counts(text):
@@ -82,6 +82,34 @@ def test_symbols_and_repeated_lines_go_and_so_does_a_junk_host(docs_of, words):
     docs = docs_of(rows)
     want = [*range(200), 4001]
     assert sorted(r.doc_id for r in quality.kept_documents(docs).collect()) == want
-    judged = quality.apply_rules(docs).collect()
-    assert sorted(r.doc_id for r in judged if r.passed) == want
-    assert all(r.kept for r in judged if r.passed)
+    for most in (quality.BROADCAST_HOSTS, 0):  # failing hosts broadcast, or joined by host and salt
+        judged = quality.apply_rules(docs, most=most).collect()
+        assert len(judged) == len(rows) and sorted(r.doc_id for r in judged if r.kept) == want
+        assert {r.doc_id for r in judged if r.host_failed} == set(range(3000, 3100))
+        assert sorted(r.doc_id for r in quality.kept_documents(docs, most=most).collect()) == want
+
+
+def test_no_text_is_shuffled(docs_of, words):
+    docs = docs_of([(i, words(i, 60), None, f"h{i % 3}") for i in range(30)])
+    plan = quality.kept_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_query_matches_sql_on_mixed_hosts(spark, docs_of, words, tmp_path):
+    """Hosts that fail, hosts in doubt, one document, no source: query and SQL twin agree."""
+    import duckdb
+
+    def junk(k):
+        return " ".join(w + "&&***" for w in words(k, 60).split())
+
+    rows = []
+    for h, share in enumerate((0, 1, 5, 50, 90, 97)):
+        rows += [(len(rows), junk(i) if i < share else words(i, 60), None, f"h{h}" if h else None) for i in range(100)]
+    rows += [(9001, junk(1), None, "one"), (9002, None, None, "null"), (9003, words(2, 9), None, "few")]
+    path = f"{tmp_path}/documents.parquet"
+    docs_of(rows).coalesce(1).write.parquet(path)
+    got = sorted(map(tuple, queries.op6_quality_rules(spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert got == sorted(con.execute(queries.ORACLE["op6_quality_rules"]).fetchall())
+    assert sum(not r[6] and not r[7] for r in got) > sum(x for x in (1, 5, 50, 90, 97)) + 1

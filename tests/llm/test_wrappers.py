@@ -106,3 +106,19 @@ def test_articles_that_the_reference_lacks_are_read(spark):
     pages.append(("http://l.com/6", page((one + two).format(6))))
     got = read(spark, pages)
     assert got[0] == "" and got[6] == "First 6 Second 6" and all(got[i] == f"First {i}" for i in range(1, 6))
+
+
+def test_readers_comments_are_articles_too(spark):
+    body = (
+        "<article><p>text {0}</p><article><p>reader {0} says</p></article>"
+        "<section><article class='comment'><p>so does {0}</p></article></section><p>end</p></article>"
+        "<article class='comment-reply'><p>and {0}</p></article>"
+    )
+    got = read(spark, [(f"http://c.com/{i}", page(body.format(f"w{i}"))) for i in range(5)])
+    assert got == {i: f"text w{i} end" for i in range(5)}
+    alone = read(spark, [
+        ("http://d.com/", "<article><p>a</p><article class=comment><p>reader says</p></article></article>"),
+        ("http://e.com/", "<article class=page><article><p>a</p></article> <article><p>b</p></article></article>"),
+        ("http://f.com/", "<main><article><p>a</p></article><article><p>b</p></article></main>"),
+    ])
+    assert alone == {0: "a", 1: "a b", 2: "a b"}
