@@ -1,4 +1,11 @@
-"""Training corpus from raw documents: five stages, each over all the stage before kept."""
+"""Training corpus from raw documents: five stages, each over all the stage before kept.
+
+Defined cases of the stages, by the operators they call: a document of null or wordless text
+has no known language and goes in the first; null ids, sources and languages are values like
+any other; repeated rows stay until the near-duplicate stage, which keeps one; an empty table
+stays empty; texts are read whole; extra columns are handed on, whatever their names, until
+the last stage, which returns ids, source, tokens and text.
+"""
 
 from __future__ import annotations
 
@@ -39,9 +46,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix."""
-    return pieces.encode(docs, keep=("doc_id", "source"), verify=False, with_decoded=False).select(
-        "doc_id", "source", "n_tokens", "ids_crc32", "round_trip", "ids"
+    """Ids and decoded text of every document of the mix, held against SentencePiece."""
+    return pieces.encode(docs, keep=("doc_id", "source")).select(
+        "doc_id", "source", "n_tokens", "ids_crc32", "round_trip", "parity", "ids", "decoded"
     )
 
 
