@@ -19,8 +19,9 @@ inside the join, before they are written anywhere.
 
 Defined cases: null or wordless text has an empty set and links with nothing; fewer than
 five words are one shingle; a null id is linked with nothing (its component is null);
-rows that share an id are one node; an empty table gives an empty result; other columns
-are ignored or pass through.
+rows that share an id are one node; ties between leaders go to the smaller id; a text of
+any length is read whole, and memory in a task is linear in the longest one; an empty table
+gives an empty result; other columns, whatever their names, are ignored or pass through.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcella.llm.common import free_name
 from parcella.sources.staging import staged
 
 WORDS = 5
@@ -355,7 +357,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         .drop("_a", "_b"),
         "open",
     )
-    pairs = staged(alike(now.where("node <> lead"), by_leader=True), "pairs")
+    pairs = staged(alike(tried_by_leader(now), by_leader=True), "pairs")
     short = F.struct("sketch.n_shingles", F.slice("sketch.bits", 1, QUICK // 16).alias("bits"))
     owned = now.select("lead", "node", "component", short.alias("sketch")).distinct().join(
         tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "owns"),
@@ -404,6 +406,18 @@ def leaders(members: DataFrame) -> DataFrame:
     )
 
 
+def tried_by_leader(rows: DataFrame) -> DataFrame:
+    """Rows that shingles of their leader may link with another row of the table.
+
+    A link needs common >= top / (top + bottom) * (sum of sizes), and the other size is at
+    least top / bottom of this one: so this row shares top / bottom of its own shingles with
+    the leader. Rows that only have a passage in common with it are never paired here.
+    """
+    top, bottom = SIMILAR
+    enough = bottom * F.col("common") >= top * F.col("sketch.n_shingles")
+    return rows.where(F.col("node") != F.col("lead")).where(F.col("common").isNull() | enough)
+
+
 def alike(rows: DataFrame, by_leader: bool) -> DataFrame:
     """Distinct pairs ``a < b`` of rows with one ``key`` that lie apart and pass the filter.
 
@@ -439,9 +453,14 @@ def alike(rows: DataFrame, by_leader: bool) -> DataFrame:
     )
 
 
-def kept_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, with the columns of ``docs``; null ids all stay."""
-    keep = near_duplicates(docs, id_col, text).where("kept and doc_id is not null")
-    keep = keep.select(F.col("doc_id").alias("_id")).distinct()
-    null = docs.where(F.col(f"`{id_col}`").isNull())
-    return docs.join(keep, docs[id_col] == keep["_id"], "left_semi").unionByName(null)
+def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row of each component, with the columns of ``docs``.
+
+    Every row counts for itself, whatever its id: repeated rows and copies without an id are
+    copies like any other, and different texts that share an id are different documents. For
+    this the rows are stored once more, numbered. Rows with an empty set all stay.
+    """
+    row = free_name(docs, "_row")
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    keep = near_duplicates(numbered, row, text).where("kept").select(F.col("doc_id").alias(f"{row}_kept"))
+    return numbered.join(keep, F.col(row) == F.col(f"{row}_kept"), "left_semi").drop(row)

@@ -60,8 +60,38 @@ def test_edges(docs_of, words):
     assert by == brute(rows)
     assert all(r.kept and r.component_id is None for r in got if r.doc_id is None)
     assert near_dups.near_duplicates(docs_of([])).count() == 0
-    kept = near_dups.kept_documents(docs_of([(4, "one two"), (5, "one two"), (None, "one two")], clash=True))
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 4), (True, 0)]
+    assert near_dups.kept_documents(docs_of([])).count() == 0
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(docs_of, words):
+    a, b = words(1, 80), words(2, 80)
+    rows = [(4, "one two"), (5, "one two"), (None, "one two"), (None, "x y"), (None, "x y")]
+    rows += [(7, a), (7, a), (7, b), (8, edited(b, 0.01, 1)), (9, None), (9, ""), (9, None)]
+    docs = docs_of(rows, clash=True)
+    kept = near_dups.kept_documents(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.text or "")[:9] for r in kept.collect())
+    assert got == sorted(["one two", "x y", a[:9], b[:9], "", "", ""])
+
+
+def test_documents_with_a_common_passage_are_not_paired_in_their_tables(docs_of, words, monkeypatch):
+    """Similarity about 0.6: tables are shared by many, but none can be linked through them."""
+    met = []
+    original = near_dups.alike
+
+    def alike(rows, by_leader):
+        sizes = rows.groupBy("key").count().selectExpr("coalesce(sum(count * (count - 1)), 0) AS n").first()
+        met.append(sizes.n)
+        return original(rows, by_leader)
+
+    monkeypatch.setattr(near_dups, "alike", alike)
+    passage = words(999, 160)
+    for n in (150, 300):
+        rows = [(i, passage + " " + words(1000 + i, 45)) for i in range(n)]
+        rows += [(5000, passage + " " + words(1000, 44) + " odd"), (5001, edited(rows[1][1], 0.01, 1))]
+        got = near_dups.near_duplicates(docs_of(rows)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+    assert max(met) <= 600  # a few for each document, where 300 in one table make 90,000
 
 
 def test_components_of_a_long_chain(spark):
