@@ -37,7 +37,9 @@ from parcella.sources.staging import staged
 TERM = rb"[a-z\x80-\xff]+"
 LEAST_DOCS, ADDED, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: Entries that a task folds before it hands its stripes on, and cells of partial pair sums.
-FOLD_ENTRIES, PAIR_CELLS = 400_000, 1 << 21
+FOLD_ENTRIES, PAIR_CELLS = 1_000_000, 1 << 21
+#: Partial stripes that are merged at a time.
+MERGE_ROWS = 50_000
 #: Most (language, source) groups whose totals are sent to every task.
 GROUPS = 200_000
 STRIPE = "lang string, term string, docs long, sources array<string>, counts array<long>"
@@ -45,99 +47,152 @@ STRIPE = "lang string, term string, docs long, sources array<string>, counts arr
 DOCUMENTS = b""
 
 
-def _batch(rows: list[tuple]):
-    """Arrow batch of (lang, term, docs, sources, counts) rows."""
+def _stripes(lang: str, counters: dict, docs: Counter):
+    """Batch of the stripes of one language: its terms, each with documents, sources and counts."""
+    import numpy as np
     import pyarrow as pa
 
-    lang, term, docs, sources, counts = zip(*rows)
+    names = list(counters)
+    terms = pa.array([t for c in counters.values() for t in c], pa.binary()).dictionary_encode()
+    code = terms.indices.to_numpy()
+    source = np.repeat(np.arange(len(names)), [len(c) for c in counters.values()])
+    counts = np.fromiter((n for c in counters.values() for n in c.values()), np.int64, len(code))
+    order = np.argsort(code, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(terms.dictionary)))])
+    return _batch(
+        [lang] * len(terms.dictionary),
+        terms.dictionary,
+        [docs[t] for t in terms.dictionary.to_pylist()],
+        ends,
+        pa.array(names, pa.string()).take(pa.array(source[order])),
+        counts[order],
+    )
+
+
+def _batch(lang, term, docs, ends, sources, counts):
+    """Batch of stripes; ``sources`` and ``counts`` of all of them lie one after the other."""
+    import pyarrow as pa
+
+    ends = pa.array(ends, pa.int32())
     return pa.RecordBatch.from_arrays(
         [
             pa.array(lang, pa.string()),
-            pa.array(term, pa.binary()).cast(pa.string()),
+            term.cast(pa.string()),
             pa.array(docs, pa.int64()),
-            pa.array(sources, pa.list_(pa.string())),
-            pa.array(counts, pa.list_(pa.int64())),
+            pa.ListArray.from_arrays(ends, sources),
+            pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
         ],
         names=["lang", "term", "docs", "sources", "counts"],
     )
 
 
-def _emit(stripes: dict, size: int = 20_000):
-    """Stripes as batches; a stripe's None entry is its number of documents."""
-    rows = []
-    for (lang, term), stripe in stripes.items():
-        docs = stripe.pop(None)
-        rows.append((lang, term, docs, list(stripe), list(stripe.values())))
-        if len(rows) == size:
-            yield _batch(rows)
-            rows = []
-    if rows:
-        yield _batch(rows)
-
-
 def fold(docs: DataFrame, limit: int = FOLD_ENTRIES) -> DataFrame:
-    """Partial stripes of ``docs`` (lang, source, text, none null)."""
+    """Partial stripes of ``docs`` (lang, source, text, none null).
+
+    While documents are folded, the entries of a language's stripes lie in one hash table a
+    source and one of documents, which are counted without a step of Python for each word.
+    """
 
     def run(batches):
         import pyarrow as pa
 
         find = re.compile(TERM).findall
-        stripes: dict = {}
+        counters: dict = {}
+        frequency: dict = {}
         entries = 0
         for batch in batches:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang, source, text in zip(langs, sources, batch.column(2).cast(pa.binary())):
-                counted = Counter(find(text.as_py().lower()))
-                counted[DOCUMENTS] = 1
-                for term, n in counted.items():
-                    stripe = stripes.get((lang, term))
-                    if stripe is None:
-                        stripes[lang, term] = {None: 1, source: n}
-                        entries += 2
-                    else:
-                        stripe[None] += 1
-                        if source in stripe:
-                            stripe[source] += n
-                        else:
-                            stripe[source] = n
-                            entries += 1
+                words = find(text.as_py().lower())
+                words.append(DOCUMENTS)
+                counter = counters.setdefault(lang, {}).setdefault(source, Counter())
+                known = frequency.setdefault(lang, Counter())
+                entries -= len(counter) + len(known)
+                counter.update(words)
+                known.update(set(words))
+                entries += len(counter) + len(known)
                 if entries >= limit:
-                    yield from _emit(stripes)
-                    stripes, entries = {}, 0
-        yield from _emit(stripes)
+                    for k in counters:
+                        yield _stripes(k, counters[k], frequency[k])
+                    counters, frequency, entries = {}, {}, 0
+        for k in counters:
+            yield _stripes(k, counters[k], frequency[k])
 
     return docs.select("lang", "source", "text").mapInArrow(run, STRIPE)
 
 
-def merge(partial: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """Whole stripes of terms in at least ``least_docs`` documents, and of the documents."""
+def _merged(rows, least_docs: int, last: bool):
+    """(stripes of all keys of the sorted ``rows`` that are frequent, stripe of the last key or None).
 
-    def run(batches):
-        import pyarrow as pa
+    The last key may go on in later rows, so its stripe is only given out at the end.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lang, term = rows.column("lang").combine_chunks(), rows.column("term").combine_chunks()
+    docs = rows.column("docs").to_numpy()
+    n = len(docs)
+    new = np.ones(n, bool)
+    if n > 1:
+        changed = pc.or_(pc.not_equal(term[1:], term[:-1]), pc.not_equal(lang[1:], lang[:-1]))
+        new[1:] = changed.to_numpy(zero_copy_only=False)
+    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+    total = np.add.reduceat(docs, starts)
+    keep = (total >= least_docs) | (pc.binary_length(term).to_numpy()[starts] == 0)
+    if not last:
+        keep[-1] = True
+    kept = np.flatnonzero(keep)
+    if not len(kept):
+        return None, None
+    rows, group = rows.filter(pa.array(keep[group])), group[keep[group]]
+    place = np.zeros(len(keep), np.int64)
+    place[kept] = np.arange(len(kept))
+    sizes = pc.list_value_length(rows.column("sources")).to_numpy()
+    names = pc.list_flatten(rows.column("sources")).combine_chunks().dictionary_encode()
+    counts = pc.list_flatten(rows.column("counts")).to_numpy()
+    width = max(1, len(names.dictionary))
+    key = np.repeat(place[group], sizes) * width + names.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    owner, source = key[first] // width, key[first] % width
+    stripes = _batch(
+        lang.take(pa.array(starts[kept])),
+        term.take(pa.array(starts[kept])),
+        total[kept],
+        np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(kept)))]),
+        names.dictionary.take(pa.array(source)),
+        np.add.reduceat(counts[order], first),
+    )
+    if last:
+        return stripes, None
+    return stripes.slice(0, len(kept) - 1), stripes.slice(len(kept) - 1)
 
-        key, stripe = None, {}
-        done = []
 
-        def close():
-            if key is not None and (key[1] == DOCUMENTS or stripe[None] >= least_docs):
-                docs = stripe.pop(None)
-                done.append((*key, docs, list(stripe), list(stripe.values())))
+def merge(partial: DataFrame, least_docs: int = LEAST_DOCS, rows: int = MERGE_ROWS) -> DataFrame:
+    """Whole stripes of terms in at least ``least_docs`` documents, and of the documents.
+
+    Sorted partial stripes stream by in chunks of about ``rows``; the stripe of a chunk's last
+    key, merged, heads the next chunk.
+    """
+
+    def run(batches):
+        import pyarrow as pa
 
+        held, n = [], 0
         for batch in batches:
-            columns = [batch.column(0), batch.column(1).cast(pa.binary()), *batch.columns[2:]]
-            for lang, term, docs, sources, counts in zip(*(c.to_pylist() for c in columns)):
-                if (lang, term) != key:
-                    close()
-                    key, stripe = (lang, term), {None: 0}
-                stripe[None] += docs
-                for source, n in zip(sources, counts):
-                    stripe[source] = stripe.get(source, 0) + n
-            if len(done) > 5_000:
-                yield _batch(done)
-                done.clear()
-        close()
-        if done:
-            yield _batch(done)
+            held.append(batch)
+            n += batch.num_rows
+            if n >= rows:
+                done, open_stripe = _merged(pa.Table.from_batches(held), least_docs, False)
+                held, n = [open_stripe], 1
+                if done.num_rows:
+                    yield done
+        if n:
+            done, _ = _merged(pa.Table.from_batches(held), least_docs, True)
+            if done is not None:
+                yield done
 
     return partial.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(run, STRIPE)
 

@@ -64,7 +64,9 @@ def test_audit_matches_brute_force(spark, monkeypatch):
 
 def test_spilled_stripes_merge_to_the_same(spark):
     docs = frame(spark, rows_of(2)).na.fill("")
-    whole, small = (divergence.merge(divergence.fold(docs, k)).collect() for k in (10**6, 3))
+    whole, small = (
+        divergence.merge(divergence.fold(docs, k), rows=n).collect() for k, n in ((10**6, 10**5), (3, 7))
+    )
 
     def plain(stripes):
         return sorted((s.lang, s.term, s.docs, sorted(zip(s.sources, s.counts))) for s in stripes)
