@@ -2,16 +2,22 @@
 
 Spark's own ``percentile`` keeps every distinct value of a group in one
 aggregation state, which is fine while groups are small (territory-grain
-tables) and fatal when one group owns a third of the sales. The operators here
-select ranks instead:
+tables) and fatal when one group owns a third of the sales. Two ways avoid it,
+both exact:
 
-1. a monotone bucket of the value gives a histogram per group (map-side
-   combined, a few thousand rows per group at most),
-2. a running sum over that histogram finds which bucket holds each rank,
-3. only rows of those buckets are counted by value and ordered, one task per
-   (group, bucket) rather than per group.
+* ``bracketed``: one map-side combined pass takes a quantile sketch of each
+  group, whose values a little below and above each wanted share bracket the
+  rank; a second pass counts what lies below the brackets and collects only what
+  lies in them. That is two narrow reads and two small shuffles. A group of up
+  to ``SMALL`` rows is collected whole, one over ``LARGE`` goes the other way.
+* ``ranked``: a monotone bucket of the value gives a histogram per group
+  (map-side combined, a few thousand rows per group at most), a running sum over
+  it finds which bucket holds each rank, and only rows of those buckets are
+  counted by value and ordered, one task per (group, bucket). It also takes
+  weights.
 
-The result is exact: the bucket only narrows the search.
+What was found for each group is stored before the second read, so its size is
+known and the rows are not shuffled to meet it.
 
 One rule for every method: facts are taken over all rows of a group, NULL and NaN
 values never enter a quantile, and a group without any other value has NULL quantiles.
@@ -19,11 +25,14 @@ values never enter a quantile, and a group without any other value has NULL quan
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcella.sources.staging import staged
+
 # A group-level aggregate carried along: first-stage aggregate, aggregate that
 # merges the partial column, and optionally a function of the merged column.
 Fact = tuple
@@ -32,6 +41,12 @@ Fact = tuple
 # spreads one hot group over some 6,000 buckets.
 BUCKETS_PER_E_FOLD = 1024
 
+# Sketches err by 1/ACCURACY of a group's rows at most; brackets reach MARGIN of them
+# to both sides. A bracket holds 2 * (MARGIN + 1/ACCURACY) * LARGE rows and the ties of its
+# ends, so never more than LARGE numbers.
+ACCURACY, MARGIN = 2_000, 0.004
+SMALL, LARGE = 4_096, 4_000_000
+
 
 def monotone_bucket(value: Column) -> Column:
     """Order-preserving coarse key of a finite double."""
@@ -87,10 +102,11 @@ def select_ranks(
         *[_merged(name, fact, group).alias(name) for name, fact in facts.items()],
     )
     constant = ["_before", "_total", *facts]
-    empty = placed.where("_total = 0").groupBy(*keys, "_total", *facts).agg(
+    found_at = staged(placed.where(" OR ".join(["_total = 0", *reached.values()])), "located")
+    empty = found_at.where("_total = 0").groupBy(*keys, "_total", *facts).agg(
         *[F.lit(None).cast("double").alias(n) for n in targets]
     )
-    located = placed.where(" OR ".join(reached.values())).selectExpr(
+    located = found_at.where("_total > 0").selectExpr(
         *[f"{k} AS _key{i}" for i, k in enumerate(keys)], "_bucket AS _at", *constant
     )
 
@@ -111,6 +127,77 @@ def select_ranks(
     return found.unionByName(empty)
 
 
+def _interpolated(lo: str, hi: str, position: str, name: str) -> str:
+    """``lo`` and ``hi``, the values around a zero-based ``position``, as SQL."""
+    share = f"({position} - floor({position}))"
+    return f"{lo} * (1D - {share}) + {hi} * {share} AS {name}"
+
+
+def _position(p: float) -> str:
+    return f"((_total - 1) * {float(p)!r}D)"
+
+
+def _ranked(df, keys, value, probabilities, facts) -> DataFrame:
+    targets, wanted = {}, []
+    for name, p in probabilities.items():
+        targets[f"_lo_{name}"] = f"floor({_position(p)}) + 1"
+        targets[f"_hi_{name}"] = f"ceil({_position(p)}) + 1"
+        wanted.append(_interpolated(f"_lo_{name}", f"_hi_{name}", _position(p), name))
+    found = select_ranks(df, keys, value, targets, facts=facts)
+    return found.selectExpr(*keys, *facts, *wanted)
+
+
+def _bracketed(df, keys, value, probabilities, facts, small: int, large: int) -> DataFrame:
+    small = max(small, math.ceil(1 / (MARGIN - 1 / ACCURACY)))  # a bracket reaches over one rank
+    v = usable(F.col(value))
+    shares = [s for p in probabilities.values() for s in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
+    sketched = staged(
+        df.groupBy(*keys).agg(
+            F.count(v).alias("_total"),
+            F.percentile_approx(v, shares, ACCURACY).alias("_cuts"),
+            *[fact[0].alias(name) for name, fact in facts.items()],
+        ),
+        "sketched",
+    )
+    located = sketched.selectExpr(
+        *[f"{k} AS _key{i}" for i, k in enumerate(keys)], "_total", "_cuts", *facts
+    )
+    same_group = F.expr(" AND ".join(f"{k} <=> _key{i}" for i, k in enumerate(keys)))
+    rows = df.select(*keys, v.alias("_v")).where("_v IS NOT NULL")
+    few = F.col("_total") <= small
+    parts = [F.collect_list(F.when(few, F.col("_v"))).alias("_all")]
+    wanted = []
+    for j, (name, p) in enumerate(probabilities.items()):
+        lo, hi = (F.col("_cuts")[2 * j + side] for side in (0, 1))
+        parts.append(F.count_if(~few & (F.col("_v") < lo)).alias(f"_below{j}"))
+        parts.append(F.collect_list(F.when(~few & F.col("_v").between(lo, hi), F.col("_v"))).alias(f"_in{j}"))
+        # ranks from 1: of the small group's values, or of the bracket's after those below it;
+        # one outside would be an error, as no element is at 0 or past the end
+        picks = [
+            f"element_at(IF(_total <= {small}, _all, _in{j}), "
+            f"greatest(0, int({f}({_position(p)}) + 1 - IF(_total <= {small}, 0, _below{j}))))"
+            for f in ("floor", "ceil")
+        ]
+        wanted.append(_interpolated(*picks, _position(p), name))
+    lists = ["_all", *(f"_in{j}" for j in range(len(probabilities)))]
+    counted = (
+        rows.join(located.where(F.col("_total") <= large), same_group)
+        .groupBy(*keys, "_total", *facts)
+        .agg(*parts)
+    )
+    for name in lists:
+        counted = counted.withColumn(name, F.sort_array(name))
+    empty = [F.lit(None).cast("double").alias(n) for n in probabilities]
+    found = counted.selectExpr(*keys, *facts, *wanted).unionByName(
+        sketched.where("_total = 0").select(*keys, *facts, *empty)
+    )
+    if sketched.where(F.col("_total") > large).isEmpty():
+        return found
+    crowded = located.where(F.col("_total") > large).drop("_total", "_cuts", *facts)
+    rest = df.join(crowded, same_group, "left_semi")
+    return found.unionByName(_ranked(rest, keys, value, probabilities, facts))
+
+
 def group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -118,13 +205,17 @@ def group_quantiles(
     probabilities: Mapping[str, float],
     *,
     facts: Mapping[str, Fact] | None = None,
-    method: str = "ranked",
+    method: str = "bracketed",
+    small: int = SMALL,
+    large: int = LARGE,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per probability.
 
     ``method``:
 
-    * ``ranked`` - exact, splits hot groups, for row-grain data of any size;
+    * ``bracketed`` - exact, splits hot groups, for row-grain data of any size;
+      ``small`` and ``large`` are the group sizes described above;
+    * ``ranked`` - the same result by a histogram; taken if there are no ``keys``;
     * ``state`` - exact, Spark's ``percentile``; the caller chooses it for frames
       whose groups are bounded, such as one row per administrative code;
     * ``approx`` - ``percentile_approx``, bounded state, not interpolated.
@@ -139,18 +230,11 @@ def group_quantiles(
         return df.groupBy(*keys).agg(
             *[fact[0].alias(name) for name, fact in facts.items()], *quantiles
         )
-    if method != "ranked":
+    if method not in ("bracketed", "ranked"):
         raise ValueError(f"unknown quantile method {method!r}")
-
-    targets, wanted = {}, []
-    for name, p in probabilities.items():
-        position = f"((_total - 1) * {float(p)!r}D)"
-        share = f"({position} - floor({position}))"
-        targets[f"_lo_{name}"] = f"floor({position}) + 1"
-        targets[f"_hi_{name}"] = f"ceil({position}) + 1"
-        wanted.append(f"_lo_{name} * (1D - {share}) + _hi_{name} * {share} AS {name}")
-    found = select_ranks(df, keys, value, targets, facts=facts)
-    return found.selectExpr(*keys, *facts, *wanted)
+    if method == "ranked" or not keys:
+        return _ranked(df, keys, value, probabilities, facts)
+    return _bracketed(df, keys, value, probabilities, facts, small, large)
 
 
 def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:

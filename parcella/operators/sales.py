@@ -111,7 +111,7 @@ def clip_by_group(
     low: float = 0.01,
     high: float = 0.99,
     *,
-    method: str = "ranked",
+    method: str = "bracketed",
 ) -> DataFrame:
     """Keep rows whose value lies between two quantiles of their group, inclusive."""
     bounds = group_quantiles(df, keys, value, {"_low": low, "_high": high}, method=method)
@@ -123,7 +123,7 @@ def clip_by_group(
 
 
 def clean_sales(
-    raw: DataFrame, *, method: str = "ranked", store: Store | None = None
+    raw: DataFrame, *, method: str = "bracketed", store: Store | None = None
 ) -> DataFrame:
     """Raw lines to clean sales: filter, de-duplicate, bound, clip p1-p99.
 
@@ -151,7 +151,7 @@ def _reliable(threshold: int) -> Column:
 
 
 def price_by_commune(
-    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "ranked"
+    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "bracketed"
 ) -> DataFrame:
     """Count, median, quartiles and mean per commune; small samples are only flagged."""
     stats = group_quantiles(
@@ -176,7 +176,7 @@ def price_by_commune(
 
 
 def price_by_commune_and_type(
-    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "ranked"
+    sales: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "bracketed"
 ) -> DataFrame:
     """Count and median per commune and dwelling type."""
     stats = group_quantiles(
@@ -203,7 +203,7 @@ def price_with_all_types(
     key: str,
     *,
     threshold: int = RELIABLE_FROM,
-    method: str = "ranked",
+    method: str = "bracketed",
 ) -> DataFrame:
     """Grouping sets (key) and (key, type): ``type_local`` is NULL on the all-types rows.
 
@@ -231,7 +231,7 @@ def price_by_department(sales: DataFrame, **options) -> DataFrame:
 
 
 def vintage_sales(
-    raw: DataFrame, *, method: str = "ranked", store: Store | None = None
+    raw: DataFrame, *, method: str = "bracketed", store: Store | None = None
 ) -> DataFrame:
     """Clean sales of every vintage in ``raw`` (column ``annee``) in a single job."""
     keep = store or (lambda df: df)
@@ -249,7 +249,7 @@ def vintage_points(sales: DataFrame) -> DataFrame:
     )
 
 
-def vintage_prices(sales: DataFrame, *, method: str = "ranked") -> DataFrame:
+def vintage_prices(sales: DataFrame, *, method: str = "bracketed") -> DataFrame:
     """Count and median per vintage and commune."""
     stats = group_quantiles(
         sales,

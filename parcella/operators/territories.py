@@ -107,7 +107,7 @@ def assign_to_zones(
 
 
 def zone_prices(
-    assigned: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "ranked"
+    assigned: DataFrame, *, threshold: int = RELIABLE_FROM, method: str = "bracketed"
 ) -> DataFrame:
     """Pooled price statistics per neighbourhood with the span of vintages used."""
     facts = {

@@ -135,7 +135,7 @@ def choropleth_departments(
 
 
 def choropleth_regions(
-    outlines: DataFrame, sales: DataFrame, scores: DataFrame, *, method: str = "ranked"
+    outlines: DataFrame, sales: DataFrame, scores: DataFrame, *, method: str = "bracketed"
 ) -> DataFrame:
     """Region map; medians come from the sales themselves, never from other medians."""
     mapping = region_mapping(outlines.sparkSession).select(DEPT, "code_region")

@@ -22,11 +22,21 @@ def skewed(spark):
     return frame, spark.createDataFrame(frame).withColumn("x", F.nanvl("x", F.lit(None)))
 
 
-@pytest.mark.parametrize("method", ["ranked", "state"])
-def test_exact_quantiles_match_numpy(skewed, method):
+#: All groups collected whole, the hot one bracketed, the hot one left to the histogram, the others.
+WAYS = [
+    {"method": "bracketed"},
+    {"method": "bracketed", "small": 0},
+    {"method": "bracketed", "small": 0, "large": 1000},
+    {"method": "ranked"},
+    {"method": "state"},
+]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_exact_quantiles_match_numpy(skewed, way):
     frame, df = skewed
-    probabilities = {"a": 0.01, "b": 0.25, "c": 0.5, "d": 0.99}
-    got = quantiles.group_quantiles(df, ["g"], "x", probabilities, method=method).toPandas()
+    probabilities = {"a": 0.01, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0, "f": 0.0}
+    got = quantiles.group_quantiles(df, ["g"], "x", probabilities, **way).toPandas()
     expected = frame.groupby("g")["x"].quantile(list(probabilities.values())).unstack()
     expected.columns = list(probabilities)
     got = got.set_index("g").loc[expected.index, list(probabilities)]
@@ -151,10 +161,27 @@ def test_plans_have_no_cartesian_product_and_no_row_level_single_partition(spark
     assert "CartesianProduct" not in clipped
 
 
-@pytest.mark.parametrize("method", ["ranked", "state"])
+@pytest.mark.parametrize("method", ["bracketed", "ranked", "state"])
 def test_null_and_nan_by_one_rule(spark, method):
     rows = [("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), ("b", None), ("c", float("nan"))]
     df = spark.createDataFrame(rows, "g string, x double")
     facts = {"n": (F.count(F.lit(1)), F.sum)}
     got = quantiles.group_quantiles(df, ["g"], "x", {"m": 0.5}, facts=facts, method=method)
     assert sorted(tuple(r) for r in got.collect()) == [("a", 4, 2.0), ("b", 1, None), ("c", 1, None)]
+
+
+def test_brackets_of_a_large_group_hold_the_ranks(spark):
+    """200,000 values in odd order and with ties, far more than a sketch keeps."""
+    df = spark.range(200_000, numPartitions=7).selectExpr("'g' AS g", "floor(pow(id * 7919 % 200000 / 1e3, 2)) * 1D AS x")
+    wanted = {f"p{k}": k / 1000 for k in (0, 1, 10, 250, 333, 500, 999, 1000)}
+    ways = [
+        quantiles.group_quantiles(df, ["g"], "x", wanted, method=m).first() for m in ("bracketed", "state")
+    ]
+    assert ways[0] == ways[1]
+
+
+def test_rows_are_not_shuffled_to_meet_what_was_found(skewed):
+    _, df = skewed
+    for method, most in (("bracketed", 1), ("ranked", 4)):
+        plan = quantiles.group_quantiles(df, ["g"], "x", {"m": 0.5}, method=method)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") <= most, plan
