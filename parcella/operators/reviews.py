@@ -12,10 +12,11 @@ from parcella.functions import text
 from parcella.functions.codes import zero_filled
 from parcella.functions.lexicon import THEMES
 from parcella.functions.numbers import real_comma
+from parcella.operators.sentiment import POSITIVE, score_by_words
 from parcella.operators.stats import correlations
 
 CODE = "code_commune"
-POSITIVE, NEGATIVE = "positif", "negatif"
+NEGATIVE = "negatif"
 NLP_VERSION = "1"
 
 # Publication thresholds of the roll-up.
@@ -75,16 +76,21 @@ def tag_themes(
     return segments.withColumn("themes", text.themes("text", vocabulary))
 
 
-def score_segments(segments: DataFrame, scorer: Scorer | Column | None = None) -> DataFrame:
+def score_segments(
+    segments: DataFrame, scorer: Scorer | Column | DataFrame | None = None
+) -> DataFrame:
     """Add ``model_score``, ``sentiment`` and ``concordant``.
 
-    ``scorer`` is an expression of ``text``, or a function that maps a batch of texts
+    ``scorer`` is a table of word weights (``sentiment.learnt_weights``), an expression of
+    ``text``, or a function that maps a batch of texts
     to scores in [-1, 1] (None when it cannot tell) and runs on Arrow batches; its
     module must be installed on the executors, or shipped with ``addPyFile``. Without
     a scorer the declared polarity decides.
     """
     if scorer is None:
         model = F.lit(None).cast("double")
+    elif isinstance(scorer, DataFrame):
+        segments, model = score_by_words(segments, scorer), F.col("model_score")
     elif isinstance(scorer, Column):
         model = scorer
     else:

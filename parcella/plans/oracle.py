@@ -789,12 +789,29 @@ STEPS |= {
               FROM (SELECT avis_id, code_commune, date_avis,
                            {_pieces("points_positifs")} AS pos,
                            {_pieces("points_negatifs")} AS neg FROM review) AS cut) AS both_sides""",
+    "said": """
+        SELECT avis_id, segment_id, polarity_field = 'positif' AS up,
+               substr(avis_id, 1, 1) NOT IN ('0', '1', '2') AS seen,
+               unnest(list_distinct(list_filter(regexp_extract_all(lower(text), '\\p{L}+'),
+                                                lambda w: length(w) >= 3))) AS word
+        FROM segment""",
+    "word_weight": """
+        SELECT word, CAST(round(1000e0 * ln(((p + 1) / (up + 2e0)) / ((n + 1) / (down + 2e0)))
+                                * ((p + n) / (p + n + 20e0))) AS BIGINT) AS weight
+        FROM (SELECT word, count(*) FILTER (up) AS p, count(*) FILTER (NOT up) AS n
+              FROM said WHERE seen GROUP BY word HAVING count(*) >= 5) AS counted,
+             (SELECT count(*) FILTER (polarity_field = 'positif') AS up,
+                     count(*) FILTER (polarity_field <> 'positif') AS down
+              FROM segment WHERE substr(avis_id, 1, 1) NOT IN ('0', '1', '2')) AS sides""",
+    "word_score": """
+        SELECT avis_id, segment_id, CAST(sum(weight) AS BIGINT) AS total
+        FROM said JOIN word_weight USING (word) GROUP BY avis_id, segment_id""",
     "modelled": f"""
-        SELECT *, list_filter([{_THEME_LIST}], lambda t: t IS NOT NULL) AS themes,
+        SELECT s.*, list_filter([{_THEME_LIST}], lambda t: t IS NOT NULL) AS themes,
                CASE WHEN polarity_field = 'positif' THEN 1e0 ELSE -1e0 END AS prior,
-               CASE WHEN length(text) % 5 <> 0
-                    THEN (length(text) % 23) / 11.5e0 - 1e0 END AS model_score
-        FROM segment""",
+               total / (abs(total) + 1000e0) AS model_score
+        FROM segment AS s LEFT JOIN word_score AS w
+          ON w.avis_id = s.avis_id AND w.segment_id = s.segment_id""",
     "tone": """
         SELECT *, CASE WHEN model_score IS NULL THEN prior * 0.6e0
                        ELSE greatest(-1, least(1, prior * 0.35e0 + model_score * 0.65e0)) END
@@ -892,6 +909,33 @@ ORACLE |= {
         SELECT avis_id, segment_id,
                CASE WHEN polarity_field = 'positif' THEN 0.6e0 ELSE -0.6e0 END AS sentiment,
                CAST(NULL AS BOOLEAN) AS concordant FROM segment""",
+    "segment_sentiment_batch": f"""
+        SELECT avis_id, code_commune, segment_id, polarity_field, concordant,
+               {rounded("model_score", "sentiment")} FROM tone""",
+    "segment_stars": """
+        SELECT avis_id, segment_id, round(model_score, 6) AS score,
+               round(greatest(0, 1 - abs(2 * model_score + 2)), 6) AS p1,
+               round(greatest(0, 1 - abs(2 * model_score + 1)), 6) AS p2,
+               round(greatest(0, 1 - abs(2 * model_score)), 6) AS p3,
+               round(greatest(0, 1 - abs(2 * model_score - 1)), 6) AS p4,
+               round(greatest(0, 1 - abs(2 * model_score - 2)), 6) AS p5
+        FROM tone WHERE model_score IS NOT NULL""",
+    "sentiment_holdout": f"""
+        SELECT (SELECT count(*) FROM tone
+                WHERE substr(avis_id, 1, 1) IN ('0', '1', '2') AND model_score IS NOT NULL) AS n_segments,
+               (SELECT round(avg(CAST((model_score >= 0) = (polarity_field = 'positif') AS INTEGER)), 6)
+                FROM tone WHERE substr(avis_id, 1, 1) IN ('0', '1', '2')
+                  AND model_score IS NOT NULL) AS agreement,
+               count(*) AS n, {half_up("corr(x, y)", 4)} AS pearson,
+               {half_up("corr(rx, ry)", 4)} AS spearman
+        FROM (SELECT x, y,
+                     rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2e0 AS rx,
+                     rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2e0 AS ry
+              FROM (SELECT avg(model_score) AS x, any_value((note_moyenne - 5) / 5) AS y
+                    FROM tone JOIN review USING (avis_id)
+                    WHERE substr(avis_id, 1, 1) IN ('0', '1', '2') AND model_score IS NOT NULL
+                      AND note_moyenne IS NOT NULL
+                    GROUP BY avis_id) AS held) AS ranked""",
     "calibration": f"""
         SELECT count(*) AS n, {half_up("corr(x, y)", 4)} AS pearson,
                {half_up("corr(rx, ry)", 4)} AS spearman
@@ -904,7 +948,7 @@ ORACLE |= {
                CAST(date_avis AS VARCHAR) AS date_avis, note_moyenne, note_environnement,
                {half_up("vote")} AS sentiment_avis,
                CAST(coalesce(n, 0) AS INTEGER) AS n_segments, n_chars,
-               'length' AS model_name, '1' AS nlp_version
+               'words' AS model_name, '1' AS nlp_version
         FROM review AS r LEFT JOIN voted AS v ON v.avis_id = r.avis_id""",
     "review_meta": """
         SELECT * REPLACE (CAST(date_min AS VARCHAR) AS date_min,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType
 
-from parcella.functions import geo
+from parcella.functions import geo, text
 from parcella.functions.lexicon import THEMES
 from parcella.functions.regions import region_mapping
 from parcella.operators import (
@@ -18,6 +18,7 @@ from parcella.operators import (
     reviews,
     sales,
     scores,
+    sentiment,
     spatial,
     stats,
     territories,
@@ -571,12 +572,6 @@ VOCABULARY = {theme: (*words, *EXTRA_WORDS[theme]) for theme, words in THEMES.it
 SOURCE = "habitants"
 
 
-def length_score() -> Column:
-    """Stand-in model: a score from the length of a text, none for every fifth."""
-    n = F.length("text")
-    return F.when(n % 5 != 0, (n % 23) / F.lit(11.5) - 1.0)
-
-
 def _reviews(spark: SparkSession, d: str) -> DataFrame:
     return reviews.clean_reviews(v.view(spark, d, "review_raw"), "doc_id")
 
@@ -586,8 +581,9 @@ def _segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    tagged = reviews.tag_themes(_segments(spark, d), VOCABULARY)
-    return reviews.score_segments(tagged, length_score())
+    segments = staged(_segments(spark, d), "segments")
+    tagged = reviews.tag_themes(segments, VOCABULARY)
+    return reviews.score_segments(tagged, sentiment.learnt_weights(segments))
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -636,6 +632,29 @@ def segment_sentiment_prior(spark, d):
     return tidy(scored.select("avis_id", "segment_id", "sentiment", "concordant"))
 
 
+@query
+def segment_sentiment_batch(spark, d):
+    """The learnt scorer as a function of text batches."""
+    segments = staged(_segments(spark, d), "segments")
+    scorer = sentiment.batch_scorer(sentiment.learnt_weights(segments))
+    return tidy(reviews.score_segments(segments, scorer).drop("text", "date_avis"))
+
+
+@query
+def segment_stars(spark, d):
+    """Scores as five star probabilities, and folded back from them."""
+    found = _scored(spark, d).where("model_score IS NOT NULL").select(
+        "avis_id", "segment_id", sentiment.star_probabilities(F.col("model_score")).alias("p")
+    )
+    stars = [F.col("p")[k].alias(f"p{k + 1}") for k in range(5)]
+    return tidy(found.select("avis_id", "segment_id", *stars, text.stars_to_score("p").alias("score")))
+
+
+@query
+def sentiment_holdout(spark, d):
+    return tidy(sentiment.holdout_report(_reviews(spark, d), staged(_scored(spark, d), "scored")))
+
+
 @query
 def calibration(spark, d):
     rated = staged(reviews.review_sentiment(_reviews(spark, d), _scored(spark, d)), "rated")
@@ -644,7 +663,7 @@ def calibration(spark, d):
 
 @query
 def review_sentiment(spark, d):
-    return tidy(reviews.review_sentiment(_reviews(spark, d), _scored(spark, d), "length"))
+    return tidy(reviews.review_sentiment(_reviews(spark, d), _scored(spark, d), "words"))
 
 
 @query
