@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from parcella.operators.quantiles import group_quantiles
 from parcella.operators.stats import rank_stability, top_ranked
+from parcella.sources.staging import staged
 
 CODE = "code_commune"
 
@@ -69,6 +71,7 @@ def is_one_of(column: str, values: Sequence[str], critical: bool = True) -> Rule
 _COMMUNE = has_length(CODE, 5)
 _ZONE = has_length("code_iris", 9)
 
+# Rules and bounds of each table.
 RULES: dict[str, list[Rule]] = {
     "ventes": [
         is_between("prix_m2", 100, 50_000),
@@ -392,17 +395,62 @@ def _stop_on(failures: list[str]) -> None:
         raise CriticalRuleViolation("; ".join(failures))
 
 
-def check_silver(tables: Mapping[str, DataFrame], report_path: str | None = None) -> DataFrame:
-    """Run every rule; store the report first, then stop on a critical violation.
+SILVER_REPORT = (
+    "section string, table string, regle string, nombre long, pct double, critique boolean, statut string"
+)
+
+
+def stored_with_counts(df: DataFrame, name: str, rules: Sequence[Rule]) -> tuple[DataFrame, dict]:
+    """``df`` as a stored table, and its rows and violations, counted while it is written."""
+    counts = Observation(name)
+    observed = df.observe(
+        counts,
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.expr(rule.violation)).alias(f"r{i}") for i, rule in enumerate(rules)],
+    )
+    return staged(observed, name), counts.get
+
 
-    Runs a job and collects the report, which has one line per rule.
+def silver_report(
+    tables: Mapping[str, DataFrame],
+    *,
+    reference: str = "commune_geom",
+    sales: str = "ventes",
+    zones: str = "iris_geom",
+) -> list[tuple]:
+    """Rows of ``SILVER_REPORT`` over every gated table, stored on the way.
+
+    Rules are counted while a table is written, without a scan of their own; coverage and
+    the match of sales with zones read the stored keys only. A gated table that is not at
+    hand is reported as absent, and without ``reference`` (or zones) there is no coverage
+    (or match).
     """
-    spark = next(iter(tables.values())).sparkSession
-    lines = dq_report(tables)
-    rows = lines.collect()
-    report = spark.createDataFrame(rows, lines.schema)
+    stored, rows = {}, []
+    for name in GATED:
+        if name not in tables:
+            rows.append(("rules", name, None, None, None, False, "absente"))
+            continue
+        stored[name], counts = stored_with_counts(tables[name], name, RULES[name])
+        for i, rule in enumerate(RULES[name]):
+            bad, total = counts[f"r{i}"], counts["total"]
+            pct = round(Decimal(100 * bad) / total, 3) if total else 0
+            rows.append(("rules", name, rule.name, bad, float(pct), rule.critical, "KO" if bad else "OK"))
+    if reference in tables:
+        found = coverage({n: f.select(CODE) for n, f in stored.items()}, tables[reference])
+        for r in found.collect():  # one row a table
+            rows.append(("coverage", r["source"], None, r["communes"], r["taux_pct"], False, r["alerte"] or "OK"))
+    if sales in stored and zones in stored:
+        r = match_rate(stored[sales], stored[zones]).first()
+        rows.append(("match", sales, zones, r["orphelines"], r["taux"], False, "OK"))
+    return rows
+
+
+def check_silver(tables: Mapping[str, DataFrame], report_path: str | None = None) -> DataFrame:
+    """The silver report, stored before a critical violation stops the run."""
+    rows = silver_report(tables)
+    report = next(iter(tables.values())).sparkSession.createDataFrame(rows, SILVER_REPORT)
     _store(report, report_path)
-    _stop_on([f"{r.table}: {r.regle}" for r in rows if r.critique and r.statut == "KO"])
+    _stop_on([f"{r[1]}: {r[2]}" for r in rows if r[5] and r[6] == "KO"])
     return report
 
 

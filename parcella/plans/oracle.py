@@ -6,6 +6,7 @@ from parcella.functions.geo import AUTHALIC_KM
 from parcella.functions.lexicon import GENERIC_WORDS, STOP_WORDS
 from parcella.functions.text import theme_pattern
 from parcella.operators.quality import RULES
+from parcella.operators.sales import RELIABLE_FROM
 from parcella.operators.scores import DIMENSIONS, WEIGHTS
 from parcella.plans.registry import SOURCE, VOCABULARY
 from parcella.plans.views import VIEWS, with_clause
@@ -1047,6 +1048,27 @@ def _violations(table: str, rules, label: str = "") -> str:
     )
 
 
+#: Rule pack of the gate -> step that holds its table (outlines are boxes here).
+_SILVER = {
+    "ventes": "sale",
+    "iris_geom": "(SELECT *, min_x AS geom FROM zone) AS shaped",
+    "iris_prix": "zone_price",
+    "commune_transport": "density",
+    "revenus": "income",
+    "risques": "risk",
+    "equipements": "facility",
+    "securite": "rate",
+    "emploi": "job",
+    "climat": "climate",
+    "tourisme": "housing",
+    "proximite_metropole": "city",
+    "dpe": "label",
+    "avis": "review",
+    "avis_segments": "tone",
+}
+_OUTLINE = f"(SELECT code_commune, min_x AS geom, {_AREA} AS surface_km2 FROM box) AS shaped"
+
+
 def _profiled(position: int, name: str, kind: str, numeric: bool) -> str:
     spread = (
         f"CAST(min({name}) AS DOUBLE) AS min, {half_up(f'CAST(median({name}) AS DOUBLE)')} AS "
@@ -1136,12 +1158,30 @@ ORACLE |= {
                                 ELSE code_commune END AS code
                     FROM line) AS recoded) AS keys""",
     "dq_report": " UNION ALL ".join(
+        _violations(step, RULES[name], name) for name, step in _SILVER.items()
+    ),
+    "geometry_rules": _violations(_OUTLINE, RULES["commune_geom"]),
+    "silver_gate": " UNION ALL ".join(
         [
-            _violations("sale", RULES["ventes"], "ventes"),
-            _violations("income", RULES["revenus"], "revenus"),
-            _violations("risk", RULES["risques"], "risques"),
-            _violations("label", RULES["dpe"], "dpe"),
-            _violations("review", RULES["avis"], "avis"),
+            *(
+                f"""SELECT 'rules' AS section, "table", regle, violations AS nombre, pct, critique, statut
+                    FROM ({_violations(step, RULES[name], name)}) AS rules"""
+                for name, step in _SILVER.items()
+                if name != "avis_segments"
+            ),
+            "SELECT 'rules', 'avis_segments', NULL, NULL, NULL, false, 'absente'",
+            *(
+                f"""SELECT 'coverage', '{name}', NULL, n, {half_up("100e0 * n / total", 1)}, false, 'OK'
+                    FROM (SELECT (SELECT count(DISTINCT code_commune) FROM {step}) AS n,
+                                 (SELECT count(DISTINCT code_commune) FROM ref) AS total) AS counted"""
+                for name, step in _SILVER.items()
+                if name != "avis_segments"
+            ),
+            f"""SELECT 'match', 'ventes', 'iris_geom', l - m, {half_up("100e0 * m / l", 2)}, false, 'OK'
+                FROM (SELECT count(DISTINCT code_commune) AS l,
+                             count(DISTINCT code_commune)
+                                 FILTER (code_commune IN (SELECT code_commune FROM zone)) AS m
+                      FROM sale) AS keys""",
         ]
     ),
     "gold_checks": """
@@ -1287,8 +1327,55 @@ ORACLE |= {
                (SELECT count(*) FROM base_commune
                 WHERE code_commune IN (SELECT code_commune FROM score_view))
                    AS nb_communes_scorees,
-               CAST(0 AS BIGINT) AS nb_communes_avis""",
+               (SELECT count(*) FROM meta) AS nb_communes_avis,
+               (SELECT count(*) FROM published_zone) AS nb_iris,
+               (SELECT count(gap_iris) FROM published_zone) AS nb_iris_scores""",
+}
+
+STEPS["published_zone"] = ORACLE["choropleth_zone"]
+
+#: Artefact -> (query whose rows are its items, their key, column that splits it into documents).
+_PUBLISHED = {
+    "regions-low": ("choropleth_region", "code_region", None),
+    "regions": ("choropleth_region", "code_region", None),
+    "departements-low": ("choropleth_dept", "code_departement", None),
+    "departements-mid": ("choropleth_dept", "code_departement", None),
+    "communes-mid": ("choropleth_commune", "code_commune", None),
+    "communes-high": ("choropleth_commune", "code_commune", "code_departement"),
+    "iris-high": ("choropleth_zone", "code_iris", "code_departement"),
+    "communes": ("territory_document", "code_commune", "code_departement"),
+    "avis": ("review_export", "code_commune", "code_departement"),
+    "avis-index": ("review_index", "c", None),
+    "search": ("search_index", "c", None),
+    "classement": ("ranking_top_n", "code_commune", None),
+    "points": ("points_sample", "prix", None),
+    "stats": ("territory_stats", "code_commune", None),
+    "distribution": ("price_histogram", "bin", None),
+    "series": ("price_series", "code_commune", None),
+    "national": ("national_weighted_median", "annee", None),
+    "score": ("score_flat", "code_commune", None),
 }
+ORACLE["published_artefacts"] = " UNION ALL ".join(
+    f"""
+        SELECT '{name}' AS artefact,
+               {f"count(DISTINCT {split})" if split else "CAST(1 AS BIGINT)"} AS documents,
+               count({"DISTINCT " + key if name == "series" else "*"}) AS items,
+               CAST(min(CAST({key} AS VARCHAR)) AS VARCHAR) AS first,
+               CAST(max(CAST({key} AS VARCHAR)) AS VARCHAR) AS last
+        FROM ({ORACLE[rows]}) AS items"""
+    for name, (rows, key, split) in _PUBLISHED.items()
+).replace(
+    f"({ORACLE['national_weighted_median']}) AS items",  # the run's own year comes on top
+    f"(SELECT annee FROM ({ORACLE['national_weighted_median']}) UNION ALL SELECT 2024) AS items",
+).replace(
+    f"({ORACLE['price_series']}) AS items",
+    f"(SELECT code_commune FROM ({ORACLE['price_series']}) "
+    f"UNION ALL SELECT code_commune FROM price WHERE nb_transactions >= {RELIABLE_FROM}) AS items",
+)
+ORACLE["published_documents"] = f"""
+        SELECT code_commune, nom_commune, code_departement AS departement, prix_median, n_avis,
+               CAST(greatest(annees, 0) + CAST(NOT sans_prix AS INTEGER) AS INTEGER) AS annees
+        FROM ({ORACLE["territory_document"]}) AS documents"""
 
 
 for _name in ("clip_sales", "commune_agg", "dept_agg", "zone_prices", "price_histogram"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from parcella.operators import (
 from parcella.plans import exports, publish
 from parcella.plans import views as v
 from parcella.plans.sales_profile import profile_sales
-from parcella.sources import layout, readers, staging, writers
+from parcella.sources import layout, readers, snapshots, staging, writers
 from parcella.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -861,16 +862,50 @@ def match_rate(spark, d):
     return tidy(quality.match_rate(lines, _zones(spark, d)))
 
 
-@query
-def dq_report(spark, d):
-    tables = {
+def _silver(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Every table that a rule pack is for."""
+    return {
         "ventes": sales.dedup_sales(sales.clean_sale_lines(_raw(spark, d))),
+        "commune_geom": _outlines(spark, d),
+        "iris_geom": _zones(spark, d),
+        "iris_prix": _zone_prices(spark, d),
+        "commune_transport": _density(spark, d),
         "revenus": _incomes(spark, d),
         "risques": _risks(spark, d),
+        "equipements": _facilities(spark, d),
+        "securite": _crime(spark, d),
+        "emploi": _employment(spark, d),
+        "climat": _sunshine(spark, d),
+        "tourisme": _second_homes(spark, d),
+        "proximite_metropole": _cities(spark, d),
         "dpe": _labels(spark, d),
         "avis": _reviews(spark, d),
+        "avis_segments": _scored(spark, d),
     }
-    return tidy(quality.dq_report(tables))
+
+
+@query
+def dq_report(spark, d):
+    """All rule packs of the silver gate."""
+    return tidy(quality.dq_report(_silver(spark, d)))
+
+
+@query
+def geometry_rules(spark, d):
+    """The one pack that the gate leaves to callers."""
+    return tidy(quality.validate_rules(_outlines(spark, d), quality.RULES["commune_geom"]))
+
+
+@query
+def silver_gate(spark, d):
+    """The stored report of the gate: rules, an absent table, coverage and zone match."""
+    tables = {n: f for n, f in _silver(spark, d).items() if n != "avis_segments"}
+    path = staging.scratch_path(spark, "silver-report")
+    try:
+        quality.check_silver(tables, path)
+    except quality.CriticalRuleViolation:
+        pass  # the report stands all the same
+    return tidy(spark.read.schema(quality.SILVER_REPORT).json(path))
 
 
 @query
@@ -1070,12 +1105,11 @@ def publish_latest(spark, d):
     paths = layout.Layout(staging.scratch_path(spark, "publish"))
     writers.parquet(_scores(spark, d), paths.gold("score_territoire", "2024-01-01"))
     publish.publish_latest(paths, "score_territoire", "2024-01-01", spark)
-    return tidy(readers.parquet(spark, paths.latest("score_territoire")))
+    return tidy(snapshots.table(spark, paths.latest("score_territoire")))
 
 
-@query
-def publish_web(spark, d):
-    """All artefacts of a run; the result is its manifest."""
+def _published(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
+    """Manifest of a run with all its artefacts, and the folder that it names."""
     clean = staged(_clean(spark, d), "sales")
     tables = {
         "communes": staged(_outlines(spark, d), "communes"),
@@ -1086,6 +1120,9 @@ def publish_web(spark, d):
         "prices_by_type": staged(sales.price_by_commune_and_type(clean), "types"),
         "prices_by_department": staged(sales.price_by_department(clean), "depts"),
         "scores": staged(_scores(spark, d), "scores"),
+        "zones": _zones(spark, d),
+        "zone_scores": staged(_zone_scores(spark, d), "zone-scores"),
+        "reviews": staged(_rollup(spark, d), "rollup"),
         **{name: staged(frame, name) for name, frame in _score_tables(spark, d).items()},
     }
     paths = layout.Layout(staging.scratch_path(spark, "web"))
@@ -1094,6 +1131,55 @@ def publish_web(spark, d):
         year: vintages.where(F.col("annee") == year).drop("annee") for year in _years(vintages)
     }
     manifest = publish.publish_web(
-        tables, paths, year=2024, run_date="2024-01-01", vintages=by_year, sample=500
+        tables, paths, year=2024, run_date="2024-01-01", vintages=by_year, sample=500, review_source=SOURCE
+    )
+    return manifest, publish.published_base(spark, paths)
+
+
+@query
+def publish_web(spark, d):
+    """All artefacts of a run; the result is its manifest."""
+    return _published(spark, d)[0].drop("generated_at")
+
+
+@query
+def published_artefacts(spark, d):
+    """Every artefact of a run read back as JSON: its documents and items, and whose they are."""
+    base = _published(spark, d)[1]
+    keys = {
+        "code_region": ("regions-low", "regions"),
+        "code_departement": ("departements-low", "departements-mid"),
+        "code_commune": ("communes-mid", "communes-high", "communes", "avis", "classement", "stats", "series", "score"),
+        "code_iris": ("iris-high",),
+        "c": ("avis-index", "search"),
+    }
+    numbers = {"points": "prix", "distribution": "bin", "national": "annee"}
+    parts = []
+    for key, names in (*keys.items(), *((c, (n,)) for n, c in numbers.items())):
+        for name in names:
+            kind = "string" if name not in numbers else "int"
+            items = publish.read_artefact(spark, base, name, f"{key} {kind}")
+            parts.append(
+                items.agg(
+                    F.lit(name).alias("artefact"),
+                    F.count_distinct("file").alias("documents"),
+                    F.count(F.lit(1)).alias("items"),
+                    F.min(F.col(key).cast("string")).alias("first"),
+                    F.max(F.col(key).cast("string")).alias("last"),
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def published_documents(spark, d):
+    """Commune documents as a reader of the published files gets them."""
+    item = (
+        "code_commune string, nom_commune string, "
+        "prix struct<median:double,nb_transactions:long>, evolution array<struct<annee:int>>, avis struct<n_avis:long>"
+    )
+    found = publish.read_artefact(spark, _published(spark, d)[1], "communes", item)
+    return found.select(
+        "code_commune", "nom_commune", F.regexp_replace("file", r"\.json$", "").alias("departement"),
+        F.round("prix.median", 4).alias("prix_median"), F.coalesce(F.size("evolution"), F.lit(0)).alias("annees"), "avis.n_avis",
     )
-    return manifest.drop("generated_at")

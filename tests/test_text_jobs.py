@@ -271,7 +271,9 @@ def test_silver_gate_reports_before_stopping(spark, tmp_path):
         quality.check_silver({"revenus": bad}, path)
     assert spark.read.json(path).where("statut = 'KO'").count() == 1
     good = bad.withColumn("revenu_median", F.lit(30000.0))
-    assert {r.statut for r in quality.check_silver({"revenus": good}).collect()} == {"OK"}
+    rows = quality.check_silver({"revenus": good}).collect()
+    assert {r.statut for r in rows if r.table == "revenus"} == {"OK"}
+    assert {r.table for r in rows if r.statut == "absente"} == set(quality.GATED) - {"revenus"}
 
 
 def test_gold_gate(spark):
