@@ -8,8 +8,10 @@ sample: at most ``per_lang`` documents of each language, smallest hash first. A
 the sample is held back to calibrate the temperature of the softmax.
 
 Prediction needs only the text. Defined cases: a null text, one without letters, or a
-model without labels gives ``und`` with score 0; repeated rows stay; an empty table gives
-an empty result; other columns never enter a prediction.
+model without labels gives ``und`` with score 0; of equally likely languages the first by
+name is taken; texts are read whole, and a task holds no more than one at a time beside its
+batch; repeated rows stay; an empty table gives an empty result; other columns, whatever
+their names, never enter a prediction.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcella.sources.staging import staged
+
 BITS = 14
 #: Labelled documents of a language that the fit may see.
 PER_LANG = 300
@@ -90,9 +94,19 @@ def document_frequencies(docs: DataFrame, text: str) -> np.ndarray:
 def sample_features(docs: DataFrame, text: str, lang: str, per_lang: int) -> list[tuple]:
     """(language, buckets, counts) of the sampled documents, in the order of their hash."""
     order = F.xxhash64(F.col(text))
+    hashes = staged(docs.select(F.col(lang).alias("lang"), order.alias("h")).distinct(), "hashes")
+    # cut at the bin of hashes that holds the last of the sample, so few rows meet to be ranked
+    bins = hashes.groupBy("lang", F.shiftright("h", 48).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("bin")) - F.col("n")
+    last = (
+        bins.select("lang", "bin", before.alias("before"))
+        .where(F.col("before") < per_lang)
+        .groupBy("lang")
+        .agg(F.max("bin").alias("last"))
+    )
     ranked = (
-        docs.select(F.col(lang).alias("lang"), order.alias("h"))
-        .distinct()
+        hashes.join(F.broadcast(last), "lang")  # one row a language
+        .where(F.shiftright("h", 48) <= F.col("last"))
         .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
         .where(F.col("k") <= per_lang)
     )
@@ -209,7 +223,7 @@ def predict(
         m = shared.value
         for batch in batches:
             langs, scores = [], []
-            for value in batch.column(batch.num_columns - 1):
+            for value in batch.column(0).field(place) if pack else batch.column(1):
                 value = value.as_py()
                 used, counts = counted(value) if value else ((), ())
                 if len(used) and m["langs"]:
@@ -222,17 +236,24 @@ def predict(
                     langs.append(UNKNOWN)
                     scores.append(0.0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=["row", "lang_pred", "score"],
             )
 
     first = F.struct(*(F.col(f"`{c}`") for c in (docs.columns if pack else keep)))
-    chosen = docs.select(first.alias("row"), F.col(f"`{text}`").alias("text"))
+    body = () if pack else (F.col(f"`{text}`").alias("text"),)  # packed rows hold their text
+    place = docs.columns.index(text)
+    chosen = docs.select(first.alias("row"), *body)
     kind = chosen.schema["row"].dataType.simpleString()
     out = chosen.mapInArrow(run, f"row {kind}, lang_pred string, score double")
     return out if pack else out.select(*(F.col("row")[c].alias(c) for c in keep), "lang_pred", "score")
 
 
+def training(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Documents to learn from: those with an id that is not held out."""
+    return docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+
+
 def held_out(id_col):
     """The part that training never sees: a quarter of the ids, by CRC-32."""
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))

@@ -118,7 +118,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
-    model = language.fit(docs.where(~language.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
+    model = language.fit(language.training(docs))
     return language.predict(docs, model, keep=("doc_id",)).select(
         "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )

@@ -54,3 +54,20 @@ def test_document_frequencies_cover_all_rows(docs_of):
         want[used] += 1
     want[-1] = len(texts)
     assert (found == want).all()
+
+
+def test_sample_holds_the_smallest_hashes_of_each_language(docs_of):
+    from pyspark.sql import functions as F
+
+    rows = [(i, prose(k, i, 8), k) for i in range(300) for k in [sorted(ALPHABETS)[i % 7 % 3]]]
+    rows += [(1000 + i, rows[i % 9][1], rows[i % 9][2]) for i in range(200)]  # copies count once
+    docs = docs_of(rows)
+    hashed = docs.select("lang", "text", F.xxhash64("text").alias("h")).distinct().orderBy("h").collect()
+    want = []
+    for k in sorted(ALPHABETS):
+        want += [(r.h, k, r.text) for r in hashed if r.lang == k][:20]
+    got = language.sample_features(docs, "text", "lang", 20)
+    assert [x[0] for x in got] == [k for _, k, _ in sorted(want)]
+    for (_, used, counts), (_, _, text) in zip(got, sorted(want)):
+        u, n = language.counted(text)
+        assert (used == u).all() and (counts == n).all()
