@@ -22,9 +22,8 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known with enough certainty."""
-    training = docs.where(~language.held_out(F.col("doc_id")))
     columns = docs.columns
-    judged = language.predict(docs, language.fit(training), pack=True)
+    judged = language.predict(docs, language.fit(language.training(docs)), pack=True)
     return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(
         *(F.col("row")[c].alias(c) for c in columns)
     )
