@@ -3,11 +3,14 @@
 A record's key is hashed into one of thousands of virtual slots that never change. Rows
 and bytes are summed by slot (map-side combined, one row per slot whatever the input),
 and a small versioned table maps slots to shards. Version 0 is dealt by bytes; later
-versions come from editing the map before it: ``rebalance`` moves slots from full to
-empty shards, ``grow`` moves slots into one more shard. Records are never rehashed.
-
-Defined cases: null text has no bytes; a null key hashes like any other value; rows that
-share a key share a slot; an empty table gives an empty result; extra columns are ignored.
+versions come from editing the stored map before it: ``rebalance`` moves slots from full to
+empty shards, ``grow`` moves slots into one more shard. Records are never rehashed. Every
+version stays in its own folder; a pointer beside them names the newest (``snapshots``).
+
+Defined cases: null text has no bytes; rows without a key are spread by their text; rows
+that share a key share a slot, and equal ones are numbered in any order; a text of any length
+counts by its bytes; an empty table gives an empty result; extra columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcella.sources import snapshots
 from parcella.sources.staging import staged
 
 N_SLOTS = 4096
@@ -115,6 +119,62 @@ def map_table(spark, versions: list[dict[int, int]], loads) -> DataFrame:
     return spark.createDataFrame(rows, MAP_SCHEMA)
 
 
+def load_map(spark, path: str) -> tuple[int, dict[int, int], int] | None:
+    """(version, shard of each slot, number of shards) of the newest stored map; None if none is."""
+    found = snapshots.current(spark, path)
+    if found is None:
+        return None
+    rows = snapshots.table(spark, path).select("virtual_slot", "shard").collect()  # n_slots at most
+    return int(found["version"]), {r["virtual_slot"]: r["shard"] for r in rows}, found["n_shards"]
+
+
+def append_version(spark, path: str, version: int, shard_of: dict[int, int], n_shards: int, loads) -> None:
+    """Store a version of the map beside those before it and make it the newest."""
+    rows = map_table(spark, [shard_of], loads).withColumn("version", F.lit(version))
+
+    def write(folder: str) -> dict:
+        rows.write.parquet(folder)
+        return {"n_shards": n_shards}
+
+    snapshots.commit(spark, path, write, str(version))
+
+
+def edited(shard_of: dict[int, int], before: int, loads, n_shards: int) -> dict[int, int]:
+    """The map after today's loads: rebalanced, or grown to more shards, one at a time."""
+    if n_shards < before:
+        raise ValueError(f"the stored map has {before} shards; they only grow")
+    if n_shards == before:
+        return rebalance(shard_of, loads, n_shards)
+    shard_of = dict(shard_of)
+    weight = [0] * before
+    for slot, _, b in loads:
+        if slot in shard_of:
+            weight[shard_of[slot]] += b
+    for slot, _, b in loads:  # slots that had no rows so far
+        if slot not in shard_of:
+            shard_of[slot] = min(range(before), key=lambda s: (weight[s], s))
+            weight[shard_of[slot]] += b
+    for n in range(before, n_shards):
+        shard_of = grow(shard_of, loads, n)
+    return shard_of
+
+
+def current_map(spark, loads, n_shards: int, path: str | None) -> tuple[int, dict[int, int]]:
+    """(version, map) for today's loads: the stored map, edited and appended where it changes."""
+    known = load_map(spark, path) if path else None
+    if known is None:
+        version, shard_of = 0, deal(loads, n_shards)
+    else:
+        version, before, n_before = known
+        shard_of = edited(before, n_before, loads, n_shards)
+        if shard_of == before and n_shards == n_before:
+            return version, shard_of
+        version += 1
+    if path:
+        append_version(spark, path, version, shard_of, n_shards, loads)
+    return version, shard_of
+
+
 def shard_records(
     docs: DataFrame,
     n_shards: int = 8,
@@ -127,7 +187,8 @@ def shard_records(
 
     ``slot`` numbers the rows of a shard from 0 without gaps: rows are numbered inside
     their virtual slot and shifted by the rows of the shard's slots before it, so no
-    shard is ever sorted as a whole. The map is written to ``map_path`` if given.
+    shard is ever sorted as a whole. With ``map_path`` the newest map stored there is taken,
+    edited for today's loads and number of shards, and appended where that changes it.
     """
     spark = docs.sparkSession
     body = F.col(f"`{text}`")
@@ -136,24 +197,24 @@ def shard_records(
             F.col(f"`{id_col}`").alias("doc_id"),
             (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(body).alias("text_crc32"),
-            slot_of(F.col(f"`{id_col}`"), n_slots).alias("virtual_slot"),
+            F.when(F.col(f"`{id_col}`").isNull(), slot_of(body, n_slots))
+            .otherwise(slot_of(F.col(f"`{id_col}`"), n_slots))
+            .alias("virtual_slot"),
         ),
         "records",
     )
     loads = slot_loads(records)
-    dealt = deal(loads, n_shards)
-    mapped = staged(map_table(spark, [dealt], loads), "slot-map")
-    if map_path:
-        mapped.write.mode("overwrite").parquet(map_path)
+    version, shard_of = current_map(spark, loads, n_shards, map_path)
+    mapped = map_table(spark, [shard_of], loads)
     ahead = (
         Window.partitionBy("shard")
         .orderBy("virtual_slot")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    places = mapped.where("version = 0").select(
+    places = mapped.select(
         F.col("virtual_slot").alias("_slot"),
         "shard",
-        F.col("version").alias("map_version"),
+        F.lit(version).alias("map_version"),
         F.coalesce(F.sum("n_rows").over(ahead), F.lit(0)).alias("_ahead"),
     )
     inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "size", "text_crc32")

@@ -60,3 +60,40 @@ def test_map_versions_are_stored(spark):
     assert [(r.version, r.virtual_slot, r.shard) for r in table.orderBy("version", "virtual_slot").collect()] == [
         (0, 0, 0), (0, 1, 1), (1, 0, 0), (1, 1, 0),
     ]
+
+
+def test_a_stored_map_is_edited_over_three_runs(docs_of, words, spark, tmp_path):
+    """Dealt, rebalanced after new loads, grown by one shard: rows move with few slots."""
+    import pytest
+
+    path = f"{tmp_path}/map"
+    rows = [(i, words(i, 5 + i % 9)) for i in range(600)]
+
+    def run(rows, shards):
+        return {r.doc_id: r for r in sharding.shard_records(docs_of(rows), shards, 256, map_path=path).collect()}
+
+    first = run(rows, 4)
+    assert {r.map_version for r in first.values()} == {0}
+    assert {r.map_version for r in run(rows, 4).values()} == {0}  # nothing to edit
+    full = [i for i, r in first.items() if r.shard == 0][:40]
+    more = rows + [(i + 10_000, words(i, 30)) for i in range(40)]
+    more = [(i, words(i, 60) if i in full else t) for i, t in more]
+    second = run(more, 4)
+    assert {r.map_version for r in second.values()} == {1}
+    load = Counter()
+    for r in second.values():
+        load[r.shard] += r.size
+    assert max(load.values()) - min(load.values()) <= 0.02 * sum(load.values()) / 4
+    assert len({second[i].virtual_slot for i in first if second[i].shard != first[i].shard}) < 80
+    third = run(more, 5)
+    assert {r.map_version for r in third.values()} == {2}
+    moved = [i for i in second if third[i].shard != second[i].shard]
+    assert moved and {third[i].shard for i in moved} == {4}
+    version, shard_of, n_shards = sharding.load_map(spark, path)
+    assert (version, n_shards) == (2, 5)
+    assert all(shard_of[r.virtual_slot] == r.shard for r in third.values())
+    with pytest.raises(ValueError, match="grow"):
+        run(more, 3)
+    import os
+
+    assert len(os.listdir(f"{path}/versions")) == 3  # every version is kept
