@@ -648,7 +648,7 @@ def _territory_map(shape: str, key: str, prices: str, medians: str, extra: str =
 ORACLE |= {
     "choropleth_flat": f"""
         SELECT b.code_commune, b.nom_commune, b.code_departement, s.type_local, s.fiable,
-               s.nb_transactions, k <> 1 AS has_low, k <> 2 AS has_mid, k <> 3 AS has_high,
+               s.nb_transactions, true AS has_low, true AS has_mid, true AS has_high,
                s.prix_m2_median, s.prix_m2_p25, s.prix_m2_p75
         FROM box AS b JOIN ({_spread("single", "code_commune, type_local")}) AS s
           ON s.code_commune = b.code_commune""",

@@ -443,20 +443,15 @@ def points_sample(spark, d):
 # --- maps, documents, indexes ------------------------------------------------
 
 
-def _by_type(spark: SparkSession, d: str) -> DataFrame:
-    return sales.price_by_commune_and_type(_clean(spark, d))
-
-
 @query
 def choropleth_flat(spark, d):
-    box = _box(spark, d)
-    levels = {
-        "low": v.with_box(box.where(F.col("k") != 1)),
-        "mid": v.with_box(box.where(F.col("k") != 2)),
-        "high": v.with_box(box.where(F.col("k") != 3)),
-    }
+    box = v.with_box(_box(spark, d))
+    levels = {}
+    for level in ("low", "mid", "high"):  # each level has all places, and some that others lack
+        alone = box.withColumn("code_commune", F.concat(F.lit(level), "code_commune"))
+        levels[level] = box.unionByName(alone)
     merged = territories.merge_levels(levels, "code_commune", ["nom_commune", "code_departement"])
-    spread = sales.spread_by_commune(_single(spark, d), method="ranked")
+    spread = sales.spread_by_commune(staged(_single(spark, d), "single"), method="bracketed")
     flat = exports.choropleth_flat(merged, spread, "code_commune")
     for level in levels:
         flat = flat.withColumn(f"has_{level}", F.col(f"geom_{level}").isNotNull())
@@ -464,10 +459,11 @@ def choropleth_flat(spark, d):
 
 
 def _commune_map(spark: SparkSession, d: str) -> DataFrame:
+    clean = _clean(spark, d)
     return exports.choropleth_communes(
         _outlines(spark, d),
-        _commune_prices(spark, d),
-        _by_type(spark, d),
+        sales.price_by_commune(clean),
+        sales.price_by_commune_and_type(clean),
         _scores(spark, d),
     )
 
@@ -500,10 +496,11 @@ def choropleth_zone(spark, d):
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
+    clean = _clean(spark, d)
     return exports.territory_documents(
         _outlines(spark, d),
-        _commune_prices(spark, d),
-        _by_type(spark, d),
+        sales.price_by_commune(clean),
+        sales.price_by_commune_and_type(clean),
         _scores(spark, d),
         exports.price_evolution(_yearly(spark, d)),
         _score_tables(spark, d),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql.types import StringType
 
 from parcella.operators.quality import missing_share
 from parcella.operators.sales import DWELLING_TYPES, RELIABLE_FROM
+from parcella.sources.staging import staged
 
 CARDINALITIES = (
     "id_mutation",
@@ -38,43 +41,7 @@ def profile_sales(
     error: float = 1e-4,
 ) -> DataFrame:
     """Completeness, cardinalities, sale structure, outliers, single-dwelling prices
-    and geography as one tall table."""
-    completeness = lines.agg(
-        *[
-            F.round(missing_share(f.name, isinstance(f.dataType, StringType)), 4).alias(f.name)
-            for f in lines.schema.fields
-        ]
-    )
-    # One count per distinct value and column instead of several distinct aggregates.
-    values = lines.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                    for c in CARDINALITIES
-                ]
-            )
-        )
-    ).distinct()
-    cardinalities = values.groupBy(F.col("c").alias("mesure")).agg(
-        F.count("v").cast("double").alias("valeur")
-    ).select(F.lit("cardinalites").alias("section"), "mesure", "valeur")
-
-    per_sale = lines.groupBy("id_mutation").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("valeur_fonciere").alias("v0"),
-        F.max("valeur_fonciere").alias("v1"),
-        F.min("numero_disposition").alias("d0"),
-        F.max("numero_disposition").alias("d1"),
-    )
-    structure = per_sale.agg(
-        F.avg("n").alias("lignes_moyenne"),
-        F.percentile_approx("n", 0.5, int(1 / error)).alias("lignes_mediane"),
-        F.max("n").alias("lignes_max"),
-        F.count_if(F.col("v0") != F.col("v1")).alias("valeur_non_constante"),
-        F.count_if(F.col("d0") != F.col("d1")).alias("multi_disposition"),
-    )
-
+    and geography as one tall table, from two reads of ``lines``."""
     built = F.col("type_local").isin(*types)
     surface = F.when(built, F.col("surface_reelle_bati"))
 
@@ -84,31 +51,70 @@ def profile_sales(
             for label, p in (("p1", 0.01), ("p50", 0.5), ("p99", 0.99))
         ]
 
-    outliers = lines.agg(
-        F.count(F.lit(1)).alias("lignes"),
-        F.count_if(F.col("valeur_fonciere").isNull()).alias("valeur_nulle"),
-        F.count_if(F.col("valeur_fonciere") <= 0).alias("valeur_zero_ou_negative"),
-        *marks("valeur_fonciere", "valeur"),
-        F.count_if(built & F.coalesce(F.col("surface_reelle_bati") <= 0, F.lit(True))).alias(
-            "surface_nulle_ou_zero"
-        ),
-        *marks(surface, "surface"),
-        F.count_if(F.col("longitude").isNull() | F.col("latitude").isNull()).alias(
-            "sans_coordonnees"
+    # first read: all figures of the whole table in one row
+    missing = [
+        F.round(missing_share(f.name, isinstance(f.dataType, StringType)), 4).alias(f"_{f.name}")
+        for f in lines.schema.fields
+    ]
+    whole = staged(
+        lines.agg(
+            *missing,
+            F.count(F.lit(1)).alias("lignes"),
+            F.count_if(F.col("valeur_fonciere").isNull()).alias("valeur_nulle"),
+            F.count_if(F.col("valeur_fonciere") <= 0).alias("valeur_zero_ou_negative"),
+            *marks("valeur_fonciere", "valeur"),
+            F.count_if(built & F.coalesce(F.col("surface_reelle_bati") <= 0, F.lit(True))).alias(
+                "surface_nulle_ou_zero"
+            ),
+            *marks(surface, "surface"),
+            F.count_if(F.col("longitude").isNull() | F.col("latitude").isNull()).alias(
+                "sans_coordonnees"
+            ),
         ),
+        "whole",
     )
+    completeness = whole.select(*[F.col(f"_{f}").alias(f) for f in lines.columns])
+    outliers = whole.drop(*[f"_{f}" for f in lines.columns])
 
-    single = (
-        lines.where(built)
-        .groupBy("id_mutation")
+    # second read: one expansion to all grains (sale, commune, distinct values), one
+    # map-side combined count by (grain, key) with states that every grain can use
+    grains = [("sale", "id_mutation"), ("commune", "code_commune"), *((f"={c}", c) for c in CARDINALITIES)]
+    keys = [
+        F.struct(F.lit(g).alias("grain"), F.col(c).cast("string").alias("key")) for g, c in grains
+    ]
+    states = staged(
+        lines.select("*", F.inline(F.array(*keys)))
+        .groupBy("grain", "key")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.min("type_local").alias("type_local"),
-            F.min("valeur_fonciere").alias("v"),
-            F.min("surface_reelle_bati").alias("s"),
-        )
-        .where((F.col("n") == 1) & (F.col("s") > 0) & (F.col("v") > 0))
-        .select("type_local", (F.col("v") / F.col("s")).alias("prix_m2"))
+            F.min("valeur_fonciere").alias("v0"),
+            F.max("valeur_fonciere").alias("v1"),
+            F.min("numero_disposition").alias("d0"),
+            F.max("numero_disposition").alias("d1"),
+            F.count_if(built).alias("n_built"),
+            F.min(F.when(built, F.col("type_local"))).alias("type_local"),
+            F.min(F.when(built, F.col("valeur_fonciere"))).alias("v"),
+            F.min(surface).alias("s"),
+            *[F.max((F.col("type_local") == t).cast("int")).alias(f"has{i}") for i, t in enumerate(types)],
+        ),
+        "grains",
+    )
+    cardinalities = (
+        states.where(F.col("grain").startswith("="))
+        .groupBy(F.substring("grain", 2, 100).alias("mesure"))
+        .agg(F.count("key").cast("double").alias("valeur"))
+        .select(F.lit("cardinalites").alias("section"), "mesure", "valeur")
+    )
+    per_sale = states.where("grain = 'sale'")
+    structure = per_sale.agg(
+        F.avg("n").alias("lignes_moyenne"),
+        F.percentile_approx("n", 0.5, int(1 / error)).alias("lignes_mediane"),
+        F.max("n").alias("lignes_max"),
+        F.count_if(F.col("v0") != F.col("v1")).alias("valeur_non_constante"),
+        F.count_if(F.col("d0") != F.col("d1")).alias("multi_disposition"),
+    )
+    single = per_sale.where((F.col("n_built") == 1) & (F.col("s") > 0) & (F.col("v") > 0)).select(
+        "type_local", (F.col("v") / F.col("s")).alias("prix_m2")
     )
     prices = single.groupBy("type_local").agg(
         F.count(F.lit(1)).alias("n"),
@@ -130,12 +136,10 @@ def profile_sales(
         F.lit("prix_m2").alias("section"), "mesure", "valeur"
     )
 
-    per_commune = lines.groupBy("code_commune").agg(
-        F.count(F.lit(1)).alias("n"), F.collect_set(F.when(built, F.col("type_local"))).alias("t")
-    )
-    geography = per_commune.agg(
+    kinds = reduce(add, (F.coalesce(f"has{i}", F.lit(0)) for i in range(len(types))))
+    geography = states.where("grain = 'commune'").agg(
         F.count(F.lit(1)).alias("communes_actives"),
-        F.sum(F.size("t")).alias("communes_x_types"),
+        F.sum(kinds).alias("communes_x_types"),
         F.count_if(F.col("n") < threshold).alias("communes_peu_actives"),
     )
     return (
