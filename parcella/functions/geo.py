@@ -7,12 +7,18 @@ closed. All functions are native expressions, so geometry never leaves the JVM.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 GEOMETRY = "array<array<array<array<double>>>>"
 EARTH_KM = 6371.0
 AUTHALIC_KM = 6371.0072
+ECCENTRICITY = 0.0818191908426215  # of the WGS 84 ellipsoid
+_Q_POLE = 1 - (1 - ECCENTRICITY**2) / (2 * ECCENTRICITY) * math.log(
+    (1 - ECCENTRICITY) / (1 + ECCENTRICITY)
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -111,11 +117,31 @@ def centroid(geom: str) -> Column:
     return F.expr(weighted)
 
 
-def area_km2(geom: str) -> Column:
-    """Area on the authalic sphere (Chamberlain and Duquette, JPL 2007), holes removed."""
+def authalic_sine(lat: str, double: str = "D") -> str:
+    """SQL: sine of the authalic latitude of degrees ``lat`` on the WGS 84 ellipsoid.
+
+    On the sphere of equal area a band between two authalic latitudes has the area that the
+    ellipsoid has between the geographic ones (Snyder, Map Projections, 1987, eq. 3-11, 3-12).
+    ``double`` marks literals as floating in the SQL at hand.
+    """
+    e, sine = ECCENTRICITY, f"sin(radians({lat}))"
+    q = (
+        f"({1 - e * e!r}{double} * ({sine} / (1 - {e * e!r}{double} * {sine} * {sine}) "
+        f"- {1 / (2 * e)!r}{double} * ln((1 - {e!r}{double} * {sine}) / (1 + {e!r}{double} * {sine}))))"
+    )
+    return f"({q} / {_Q_POLE!r}{double})"
+
+
+def area_km2(geom: str, ellipsoid: bool = True) -> Column:
+    """Area on the ellipsoid, or on the sphere of equal area, holes removed.
+
+    Edges are straight in longitude and (authalic) sine of latitude, as in Chamberlain and
+    Duquette (JPL 2007): exact for boxes along meridians and parallels.
+    """
+    sines = [authalic_sine(f"e.y{n}") if ellipsoid else f"sin(radians(e.y{n}))" for n in (1, 2)]
     ring = (
         f"abs(aggregate({_PAIRS.format(r='r')}, 0D, (acc, e) -> acc + radians(e.x2 - e.x1) "
-        f"* (2D + sin(radians(e.y1)) + sin(radians(e.y2))))) * {_SIGN}"
+        f"* (2D + {sines[0]} + {sines[1]}))) * {_SIGN}"
     )
     rings = f"flatten(transform({geom}, polygon -> transform(polygon, (r, i) -> {ring})))"
     return F.expr(f"aggregate({rings}, 0D, (acc, v) -> acc + v) * {AUTHALIC_KM**2 / 2.0!r}D")

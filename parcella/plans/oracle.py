@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parcella.functions.geo import AUTHALIC_KM
+from parcella.functions.geo import AUTHALIC_KM, authalic_sine
 from parcella.functions.lexicon import GENERIC_WORDS, STOP_WORDS
 from parcella.functions.text import theme_pattern
 from parcella.operators.quality import RULES
@@ -196,7 +196,8 @@ ORACLE |= {
 # --- territories and indicators ----------------------------------------------
 
 _AREA = (
-    f"{AUTHALIC_KM**2!r} * radians(max_x - min_x) * (sin(radians(max_y)) - sin(radians(min_y)))"
+    f"{AUTHALIC_KM**2!r} * radians(max_x - min_x) "
+    f"* ({authalic_sine('max_y', 'e0')} - {authalic_sine('min_y', 'e0')})"
 )
 
 
