@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcella.functions.numbers import real_comma
 from parcella.functions.text import title_case
+from parcella.sources import readers, snapshots
 
 # Layout of a station sheet.
 COORDINATE_LINE = 3
@@ -224,8 +226,8 @@ def new_files(
     """Files whose landing key does not hold the same content yet.
 
     ``listing`` needs ``source``, ``dataset``, ``name``, ``content``; the result
-    adds the content hash, the size and the key, which is partitioned by source,
-    dataset and ingestion date.
+    adds the content hash, the size, the key, which is partitioned by source,
+    dataset and ingestion date, and the key's ``bucket`` in the ledger.
     """
     key = F.concat(
         F.lit("source="),
@@ -242,22 +244,62 @@ def new_files(
             "landing_key": key,
             "ingestion_date": F.lit(ingestion_date),
         }
-    )
+    ).withColumn("bucket", F.substring(F.sha2("landing_key", 256), 1, 2))
     if landed is None:
         return hashed
-    return hashed.join(
-        landed.select("landing_key", "sha256"), ["landing_key", "sha256"], "left_anti"
-    )
+    known = landed.select("landing_key", "sha256")
+    return hashed.join(known, ["landing_key", "sha256"], "left_anti")
 
 
-def land_files(
-    listing: DataFrame, landed: DataFrame | None, path: str, ingestion_date: str
-) -> None:
-    """Append the new files under their partitioned key, with lineage columns."""
-    (
-        new_files(listing, landed, ingestion_date)
-        .withColumn("ingested_at", F.current_timestamp())
-        .write.mode("append")
-        .partitionBy("source", "dataset", "ingestion_date")
-        .parquet(path)
-    )
+LEDGER = "landing string, landing_key string, sha256 string, size_bytes long, bucket string"
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """What was landed under ``path``: keys and hashes of every landing that was completed."""
+    found = readers.optional_parquet(spark, f"{path}/ledger", LEDGER)
+    return found.select("landing", "landing_key", "sha256", "size_bytes", "bucket")
+
+
+def last_contents(entries: DataFrame) -> DataFrame:
+    """The newest entry of each key; landings are named so that later ones sort last."""
+    newest = F.max_by(F.struct("sha256", "size_bytes", "bucket"), "landing")
+    return entries.groupBy("landing_key").agg(
+        F.max("landing").alias("landing"), newest.alias("_last")
+    ).select("landing_key", "landing", "_last.*")
+
+
+def land_files(listing: DataFrame, path: str, ingestion_date: str) -> tuple[str, int]:
+    """Append the files that are new under their key; the landing's name and their number.
+
+    Contents go to ``data/landing=...``, then their keys and hashes to the ledger, as a
+    folder that is renamed into it: a landing that dies before that left nothing that
+    counts, and is simply done again. Hashes are held against the newest content of each
+    key. The ledger is narrow and its own table, so contents are never read again.
+    """
+    spark = listing.sparkSession
+    known = last_contents(ledger(spark, path))
+    landing = f"{snapshots.ordinal(spark, f'{path}/ledger'):08d}-{uuid.uuid4().hex[:8]}"
+    # stored before it is counted, so the ledger says what was written
+    data = f"{path}/data/landing={landing}"
+    new_files(listing, known, ingestion_date).withColumn(
+        "ingested_at", F.current_timestamp()
+    ).drop("bucket").write.partitionBy("source", "dataset", "ingestion_date").parquet(data)
+    if not _has_rows(spark, data):
+        return landing, 0
+    written = spark.read.parquet(data).select("landing_key", "sha256", "size_bytes")
+    entries = written.withColumn("bucket", F.substring(F.sha2("landing_key", 256), 1, 2))
+    beside = f"{path}/entries-{landing}"
+    entries.repartition("bucket").sortWithinPartitions("bucket", "landing_key").write.parquet(beside)
+    snapshots.move(spark, beside, f"{path}/ledger/landing={landing}")
+    return landing, entries.count()
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a partitioned write left any partition."""
+    return snapshots.glob_count(spark, f"{path}/source=*") > 0
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """Newest content of every key, of completed landings only."""
+    newest = last_contents(ledger(spark, path)).select("landing", "landing_key")
+    return spark.read.parquet(f"{path}/data").join(newest, ["landing", "landing_key"])

@@ -1031,6 +1031,12 @@ ORACLE |= {
                    || CAST(doc_id AS VARCHAR) || '.txt' AS landing_key,
                sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS size_bytes
         FROM documents WHERE doc_id % 3 <> 0""",
+    "land_three_times": """
+        SELECT lang AS dataset, count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
+               (SELECT count(*) FROM documents WHERE doc_id % 3 < 2) AS landing_1,
+               (SELECT count(*) FROM documents WHERE doc_id % 3 = 2 OR text <> upper(text)) AS landing_2,
+               CAST(0 AS BIGINT) AS landing_3
+        FROM documents GROUP BY lang""",
 }
 
 # --- quality -----------------------------------------------------------------

@@ -819,11 +819,34 @@ def land_new_files(spark, d):
             F.col("content")
         ),
     )
-    landed = raw.new_files(before, None, "2024-01-01")
+    path = staging.scratch_path(spark, "landing")
+    raw.land_files(before, path, "2024-01-01")
+    landed = raw.last_contents(raw.ledger(spark, path))
     fresh = raw.new_files(listing, landed, "2024-01-01")
     return fresh.select("landing_key", "sha256", "size_bytes")
 
 
+@query
+def land_three_times(spark, d):
+    """A first landing, one with changed and new files, and one that finds nothing new."""
+    listing = v.table(spark, d, "documents").select(
+        F.lit("docs").alias("source"),
+        F.col("lang").alias("dataset"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"),
+        F.col("text").alias("content"),
+        "doc_id",
+    )
+    old = listing.where(F.col("doc_id") % 3 < 2).withColumn("content", F.upper("content"))
+    path = staging.scratch_path(spark, "landing")
+    counts = [raw.land_files(f, path, "2024-01-01")[1] for f in (old, listing, listing)]
+    return (
+        raw.landed_files(spark, path)
+        .groupBy("dataset")
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("bytes"))
+        .select("dataset", "files", "bytes", *[F.lit(n).cast("long").alias(f"landing_{i + 1}") for i, n in enumerate(counts)])
+    )
+
+
 # --- quality -----------------------------------------------------------------
 
 

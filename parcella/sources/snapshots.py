@@ -99,3 +99,22 @@ def forget(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     for name in gone:
         fs.delete(at(f"{root}/{VERSIONS}/{name}"), True)
     return gone
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder, its new parent made if need be; the target must be free."""
+    fs, at = _fs(spark, target)
+    fs.mkdirs(at(target).getParent())
+    if fs.exists(at(target)) or not fs.rename(at(source), at(target)):
+        raise RuntimeError(f"{source} could not become {target}")
+
+
+def glob_count(spark: SparkSession, pattern: str) -> int:
+    """Number of paths that match."""
+    fs, at = _fs(spark, pattern)
+    return len(fs.globStatus(at(pattern)) or [])
+
+
+def ordinal(spark: SparkSession, folder: str) -> int:
+    """Number of folders in ``folder`` so far: a name for the next that sorts after them."""
+    return glob_count(spark, f"{folder}/*=*")
