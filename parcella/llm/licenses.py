@@ -3,13 +3,15 @@
 A text is reduced to a canonical form (copyright lines dropped, lower case, equivalent
 spellings united, punctuation and white space folded to one space) and its MD5 digest
 is hash-joined to the digests of known licences. The same is done for every single
-line, so a licence statement inside other prose is found too. Everything is one pass
+line, so a licence statement inside other prose is found too: a line's digest is looked up
+in the plan's list of the known statements' digests. Everything is one pass
 of built-in functions; the known licences are a fixed table: the texts in
 ``license_texts`` and the usual one-line statements, which the README lists.
 
 Defined cases: a null text has a null digest and no licence; a text without letters or
-digits has the digest of the empty text; repeated rows stay; extra columns are ignored
-unless asked for with ``keep``.
+digits has the digest of the empty text; a text of any length is folded whole, within its
+row; a digest of two licences has the first by name; repeated rows stay; an empty table gives
+an empty result; extra columns are ignored unless asked for with ``keep``.
 """
 
 from __future__ import annotations

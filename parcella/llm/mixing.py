@@ -8,8 +8,9 @@ cut at an exact word: whole epochs first, then the documents before the cut.
 
 Only built-in functions. Defined cases: null text has size 0; null sources are one
 source, last in order; repeated rows count as often as they stand; a source without
-words has target 0 and gives nothing; an empty table gives an empty result; further
-columns pass through, whatever their names.
+words has target 0 and gives nothing; equal keys go by id, then size; a text of any length is
+only counted; an empty table gives an empty result; further columns pass through, whatever
+their names.
 """
 
 from __future__ import annotations

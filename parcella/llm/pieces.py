@@ -10,7 +10,8 @@ Long texts are cut where a run of spaces begins. No piece reaches across such a
 (checked when the model is read), so the parts' ids joined are the ids of the whole.
 
 Defined cases: a null text has null ids and null decoded text and counts as right; an
-empty text has no ids; repeated rows stay; an empty table gives an empty result.
+empty text has no ids; repeated rows stay; an empty table gives an empty result; columns
+outside ``keep`` are ignored, and kept ones should not bear the names of the results.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ the rules on its stack whose path is a prefix of its own, the longest.
 Only built-in functions; a hot host is spread over ranges, as the range order goes on
 with a hash of the row. Defined cases: a null URL, or one without ``://``, has empty host
 and path and fits no rule; a rule stated twice blocks if either says so; without rules
-every page gets the default; extra columns are ignored unless asked for with ``keep``.
+every page gets the default; a URL of any length is read whole; repeated rows are each
+judged; an empty table gives an empty result; extra columns are ignored unless asked for with
+``keep``.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ all vectors is many tasks.
 Defined cases: vectors that are null, zero, of another length than most of the sample, or
 hold a null or non-finite component take no part, nor do rows with a null id; a repeated
 query id is one query with its smallest vector, and its rows are no candidates of its own;
-other repeated rows are all candidates; no valid vectors give an empty result.
+other repeated rows are all candidates; equal scores rank by id; no valid vectors give an
+empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
