@@ -9,7 +9,7 @@ from parcella.operators.quality import RULES
 from parcella.operators.sales import RELIABLE_FROM
 from parcella.operators.scores import DIMENSIONS, WEIGHTS
 from parcella.plans.registry import SOURCE, VOCABULARY
-from parcella.plans.views import VIEWS, with_clause
+from parcella.plans.views import SHAPE, VIEWS, with_clause
 
 # Shared intermediate results, on top of the input views.
 STEPS = dict(VIEWS)
@@ -1339,6 +1339,86 @@ ORACLE |= {
                (SELECT count(gap_iris) FROM published_zone) AS nb_iris_scores""",
 }
 
+
+
+def _corners(digits: int | None = None, polygons=SHAPE) -> str:
+    """Points of the shape in every box: code, polygon, ring, place, x, y."""
+    shares = ", ".join(
+        f"({p}, {r}, {i}, {x}e0, {y}e0)"
+        for p, polygon in enumerate(polygons)
+        for r, ring in enumerate(polygon)
+        for i, (x, y) in enumerate(ring)
+    )
+    x, y = (f"min_{a} + f{a} * (max_{a} - min_{a})" for a in "xy")
+    if digits is not None:
+        x, y = half_up(f"({x})", digits), half_up(f"({y})", digits)
+    return f"""SELECT code_commune, nom_commune, p, r, i, {x} AS x, {y} AS y
+               FROM box, (VALUES {shares}) AS c(p, r, i, fx, fy)"""
+
+
+def _sides(corners: str) -> str:
+    return f"""SELECT * FROM (
+                   SELECT *, lead(x) OVER ring AS x2, lead(y) OVER ring AS y2,
+                          first_value(x) OVER ring AS x0, first_value(y) OVER ring AS y0
+                   FROM ({corners}) AS corners
+                   WINDOW ring AS (PARTITION BY code_commune, p, r ORDER BY i)) AS linked
+               WHERE x2 IS NOT NULL"""
+
+
+_CROSS = "((x - x0) * (y2 - y0) - (x2 - x0) * (y - y0))"
+_BAND = (
+    f"radians(x2 - x) * (2 + {authalic_sine('y', 'e0')} + {authalic_sine('y2', 'e0')}) "
+    f"* {AUTHALIC_KM**2 / 2!r}"
+)
+STEPS["shape_side"] = _sides(_corners())
+STEPS["rounded_side"] = _sides(_corners(3, SHAPE[:2]))  # the last part collapses
+
+
+def _held(point: str, border: bool) -> str:
+    """Even-odd test of point p by the sides s of a shape, its border apart."""
+    px, py = f"{point}x", f"{point}y"
+    inside = f"count(*) FILTER ((y > {py}) <> (y2 > {py}) AND {px} < x + ({py} - y) * (x2 - x) / (y2 - y)) % 2 = 1"
+    touching = (
+        f"bool_or((x2 - x) * ({py} - y) = (y2 - y) * ({px} - x) AND {px} BETWEEN least(x, x2) AND greatest(x, x2) "
+        f"AND {py} BETWEEN least(y, y2) AND greatest(y, y2))"
+    )
+    return f"({touching} OR {inside})" if border else f"(NOT {touching} AND {inside})"
+
+
+ORACLE |= {
+    "shape_measures": f"""
+        SELECT code_commune, {half_up("sum(CASE WHEN r = 0 THEN area ELSE -area END)", 5)} AS surface_km2,
+               {half_up("sum(w * (x0 + mx / (a * 3))) / sum(w)", 5)} AS lon,
+               {half_up("sum(w * (y0 + my / (a * 3))) / sum(w)", 5)} AS lat
+        FROM (SELECT code_commune, r, min(x0) AS x0, min(y0) AS y0, abs(sum({_BAND})) AS area,
+                     sum({_CROSS}) AS a, abs(sum({_CROSS})) * CASE WHEN r = 0 THEN 1 ELSE -1 END AS w,
+                     sum((x + x2 - 2 * x0) * {_CROSS}) AS mx, sum((y + y2 - 2 * y0) * {_CROSS}) AS my
+              FROM shape_side GROUP BY code_commune, p, r) AS rings
+        GROUP BY code_commune""",
+    "stops_in_shapes": f"""
+        SELECT b.code_commune, count(h.code_commune) AS nb_arrets
+        FROM box AS b LEFT JOIN (
+            SELECT s.code_commune, px, py
+            FROM (SELECT lon AS px, lat AS py FROM stop) AS q
+            JOIN box AS o ON px BETWEEN min_x AND max_x AND py BETWEEN min_y AND max_y
+            JOIN shape_side AS s ON s.code_commune = o.code_commune
+            GROUP BY s.code_commune, px, py HAVING {_held("p", False)}) AS h
+          ON h.code_commune = b.code_commune
+        GROUP BY b.code_commune""",
+    "sales_in_shapes": f"""
+        SELECT id_mutation, s.code_commune
+        FROM (SELECT id_mutation, code_commune, longitude AS px, latitude AS py FROM clipped) AS q
+        JOIN shape_side AS s ON s.code_commune = q.code_commune
+        GROUP BY id_mutation, s.code_commune HAVING {_held("p", True)}""",
+    "shape_collections": f"""
+        SELECT code_commune, nom_commune, CAST(2 AS INTEGER) AS parts, CAST(3 AS INTEGER) AS rings,
+               CAST({sum(len(r) for p in SHAPE[:2] for r in p)} AS INTEGER) AS points,
+               {half_up("sum(CASE WHEN r = 0 THEN area ELSE -area END)", 5)} AS surface_km2
+        FROM (SELECT code_commune, nom_commune, r, abs(sum({_BAND})) AS area
+              FROM rounded_side GROUP BY code_commune, nom_commune, p, r) AS rings
+        GROUP BY code_commune, nom_commune""",
+}
+
 STEPS["published_zone"] = ORACLE["choropleth_zone"]
 
 #: Artefact -> (query whose rows are its items, their key, column that splits it into documents).

@@ -1029,18 +1029,68 @@ def json_lines_scan(spark, d):
 def geojson_scan(spark, d):
     """A FeatureCollection per department, read back into one row per feature."""
     path = staging.scratch_path(spark, "geojson")
-    line = writers.feature(["code_commune", "nom_commune"], "geom", 6)
-    shapes = _outlines(spark, d).withColumn("dept", F.substring("code_commune", 1, 2))
-    body = F.concat_ws(",", F.collect_list(line))
-    collection = F.concat(
-        F.lit('{"type":"FeatureCollection",\n"features":['), body, F.lit("]}")
-    )
-    # One file per department: outlines of a department are few by nature.
-    shapes.groupBy("dept").agg(collection.alias("value")).write.partitionBy("dept").text(path)
+    shapes = _outlines(spark, d).drop("surface_km2").withColumn("dept", F.substring("code_commune", 1, 2))
+    writers.feature_collections(shapes, path, digits=6, order=["code_commune"], split_by="dept")
     back = readers.feature_collection(spark, path, "code_commune string, nom_commune string")
     return tidy(back.withColumn("surface_km2", geo.area_km2("geom")).drop("geom", "dept"), 2)
 
 
+def _shapes(spark: SparkSession, d: str) -> DataFrame:
+    """Concave outlines with a hole, an island and a tiny part."""
+    return v.with_shape(_box(spark, d)).select("code_commune", "nom_commune", "code_departement", "geom")
+
+
+@query
+def shape_measures(spark, d):
+    """Area and centroid of outlines that are no boxes."""
+    centre = geo.centroid("geom")
+    return tidy(
+        _shapes(spark, d).select(
+            "code_commune", geo.area_km2("geom").alias("surface_km2"), centre["lon"].alias("lon"), centre["lat"].alias("lat")
+        ),
+        5,
+    )
+
+
+@query
+def stops_in_shapes(spark, d):
+    """Stops strictly inside of concave outlines, outside of their holes."""
+    stops = indicators.transport_stops(v.view(spark, d, "stop_raw"))
+    counted = spatial.count_points_in_polygons(
+        stops, _shapes(spark, d), x="lon", y="lat", code="code_commune", name="nb_arrets"
+    )
+    return counted.select("code_commune", "nb_arrets")
+
+
+@query
+def sales_in_shapes(spark, d):
+    """Sales with the concave outline of their own commune that holds them, border included."""
+    found = spatial.points_in_polygons(
+        _clean(spark, d).select("id_mutation", "code_commune", "longitude", "latitude"),
+        _shapes(spark, d), x="longitude", y="latitude", keep=["code_commune"], key="code_commune", border=True,
+    )
+    return found.select("id_mutation", "code_commune")
+
+
+@query
+def shape_collections(spark, d):
+    """Outlines rounded and repaired, written as one FeatureCollection a department, read back:
+    the part that collapsed is gone, hole and island are not."""
+    path = staging.scratch_path(spark, "shapes")
+    writers.feature_collections(
+        _shapes(spark, d), path, digits=3, order=["code_commune"], split_by="code_departement"
+    )
+    back = readers.feature_collection(spark, path, "code_commune string, nom_commune string")
+    rings = F.flatten("geom")
+    return tidy(
+        back.select(
+            "code_commune", "nom_commune", F.size("geom").alias("parts"), F.size(rings).alias("rings"),
+            F.size(F.flatten(rings)).alias("points"), geo.area_km2("geom").alias("surface_km2"),
+        ),
+        5,
+    )
+
+
 @query
 def feature_split_sink(spark, d):
     """Features in one folder per department, by one partitioned write."""
