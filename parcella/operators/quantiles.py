@@ -137,9 +137,19 @@ def _position(p: float) -> str:
     return f"((_total - 1) * {float(p)!r}D)"
 
 
-def _ranked(df, keys, value, probabilities, facts) -> DataFrame:
+def _nearest(p: float) -> str:
+    """Zero-based rank of the first value that reaches share ``p``; in decimals, so that
+    a whole product is not lifted over the next rank."""
+    return f"CAST(greatest(1, ceil(_total * {float(p)!r}BD)) - 1 AS DOUBLE)"
+
+
+def _ranked(df, keys, value, probabilities, facts, discrete: bool = False) -> DataFrame:
     targets, wanted = {}, []
     for name, p in probabilities.items():
+        if discrete:
+            targets[f"_at_{name}"] = f"{_nearest(p)} + 1"
+            wanted.append(f"_at_{name} AS {name}")
+            continue
         targets[f"_lo_{name}"] = f"floor({_position(p)}) + 1"
         targets[f"_hi_{name}"] = f"ceil({_position(p)}) + 1"
         wanted.append(_interpolated(f"_lo_{name}", f"_hi_{name}", _position(p), name))
@@ -147,7 +157,9 @@ def _ranked(df, keys, value, probabilities, facts) -> DataFrame:
     return found.selectExpr(*keys, *facts, *wanted)
 
 
-def _bracketed(df, keys, value, probabilities, facts, small: int, large: int) -> DataFrame:
+def _bracketed(
+    df, keys, value, probabilities, facts, small: int, large: int, discrete: bool = False
+) -> DataFrame:
     small = max(small, math.ceil(1 / (MARGIN - 1 / ACCURACY)))  # a bracket reaches over one rank
     v = usable(F.col(value))
     shares = [s for p in probabilities.values() for s in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
@@ -173,12 +185,13 @@ def _bracketed(df, keys, value, probabilities, facts, small: int, large: int) ->
         parts.append(F.collect_list(F.when(~few & F.col("_v").between(lo, hi), F.col("_v"))).alias(f"_in{j}"))
         # ranks from 1: of the small group's values, or of the bracket's after those below it;
         # one outside would be an error, as no element is at 0 or past the end
+        at = _nearest(p) if discrete else _position(p)
         picks = [
             f"element_at(IF(_total <= {small}, _all, _in{j}), "
-            f"greatest(0, int({f}({_position(p)}) + 1 - IF(_total <= {small}, 0, _below{j}))))"
+            f"greatest(0, int({f}({at}) + 1 - IF(_total <= {small}, 0, _below{j}))))"
             for f in ("floor", "ceil")
         ]
-        wanted.append(_interpolated(*picks, _position(p), name))
+        wanted.append(f"{picks[0]} AS {name}" if discrete else _interpolated(*picks, at, name))
     lists = ["_all", *(f"_in{j}" for j in range(len(probabilities)))]
     counted = (
         rows.join(located.where(F.col("_total") <= large), same_group)
@@ -195,7 +208,7 @@ def _bracketed(df, keys, value, probabilities, facts, small: int, large: int) ->
         return found
     crowded = located.where(F.col("_total") > large).drop("_total", "_cuts", *facts)
     rest = df.join(crowded, same_group, "left_semi")
-    return found.unionByName(_ranked(rest, keys, value, probabilities, facts))
+    return found.unionByName(_ranked(rest, keys, value, probabilities, facts, discrete))
 
 
 def group_quantiles(
@@ -209,7 +222,7 @@ def group_quantiles(
     small: int = SMALL,
     large: int = LARGE,
 ) -> DataFrame:
-    """Linearly interpolated quantiles per group, one column per probability.
+    """Quantiles per group, one column per probability, interpolated if not said otherwise.
 
     ``method``:
 
@@ -218,7 +231,10 @@ def group_quantiles(
     * ``ranked`` - the same result by a histogram; taken if there are no ``keys``;
     * ``state`` - exact, Spark's ``percentile``; the caller chooses it for frames
       whose groups are bounded, such as one row per administrative code;
-    * ``approx`` - ``percentile_approx``, bounded state, not interpolated.
+    * ``discrete`` - the smallest value whose share of the rows reaches the probability
+      (``percentile_disc``): exact, found like ``bracketed``, not interpolated;
+    * ``approx`` - ``percentile_approx``: the same rule, but a rank may be off by a
+      10,000th of the group, and by where the rows lie.
     """
     facts = facts or {}
     keys = list(keys)
@@ -230,11 +246,12 @@ def group_quantiles(
         return df.groupBy(*keys).agg(
             *[fact[0].alias(name) for name, fact in facts.items()], *quantiles
         )
-    if method not in ("bracketed", "ranked"):
+    if method not in ("bracketed", "ranked", "discrete"):
         raise ValueError(f"unknown quantile method {method!r}")
+    discrete = method == "discrete"
     if method == "ranked" or not keys:
-        return _ranked(df, keys, value, probabilities, facts)
-    return _bracketed(df, keys, value, probabilities, facts, small, large)
+        return _ranked(df, keys, value, probabilities, facts, discrete)
+    return _bracketed(df, keys, value, probabilities, facts, small, large, discrete)
 
 
 def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:

@@ -334,7 +334,8 @@ def single_dwelling_price(
     method: str = "approx",
 ) -> DataFrame:
     """Price per m2 of sales with exactly ``dwellings`` dwellings, clipped per
-    department and type. ``method='approx'`` keeps a bounded sketch per group;
+    department and type. ``method='approx'`` keeps a bounded sketch per group,
+    ``'discrete'`` takes the exact prices at those ranks;
     ``'ranked'`` makes the bounds exact and interpolated."""
     priced = sales.where(
         (F.col("nb_locaux_batis") == dwellings) & (F.col("surface_bati_totale") > 0)

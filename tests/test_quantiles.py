@@ -185,3 +185,16 @@ def test_rows_are_not_shuffled_to_meet_what_was_found(skewed):
     for method, most in (("bracketed", 1), ("ranked", 4)):
         plan = quantiles.group_quantiles(df, ["g"], "x", {"m": 0.5}, method=method)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") <= most, plan
+
+
+@pytest.mark.parametrize("way", [{}, {"small": 0}, {"small": 0, "large": 1000}])
+def test_discrete_quantiles_are_exact_in_large_groups(spark, way):
+    """Nearest rank over 120,000 rows in several orders; a sketch is off by some ranks."""
+    n = 120_000
+    rows = spark.range(n).select(
+        F.lit("g").alias("g"), ((F.col("id") * 7919 + 13) % n).cast("double").alias("x")
+    )
+    wanted = {"a": 0.01, "b": 0.07, "c": 0.25, "d": 0.5, "e": 0.99, "f": 1.0, "z": 0.0}
+    for parts in (1, 7):
+        got = quantiles.group_quantiles(rows.repartition(parts), ["g"], "x", wanted, method="discrete", **way).first()
+        assert [got[k] for k in wanted] == [1199.0, 8399.0, 29999.0, 59999.0, 118799.0, 119999.0, 0.0]
