@@ -84,3 +84,45 @@ def test_star_probabilities_fold_back(spark):
     p = sentiment.star_probabilities(F.col("s"))
     for r in scores.select("s", p.alias("p"), text.stars_to_score(p).alias("b")).collect():
         assert sum(r.p) == pytest.approx(1) and r.b == pytest.approx(r.s) and min(r.p) >= 0
+
+
+def test_scorer_takes_any_number_of_words(spark, monkeypatch):
+    rows, frame = segments_of(spark)
+    weights = sentiment.learnt_weights(frame)
+
+    def scores():
+        scored = reviews.score_segments(frame, sentiment.scorer(weights))
+        return {(r.avis_id, r.segment_id): (r.model_score, r.sentiment, r.concordant) for r in scored.collect()}
+
+    in_batches = scores()
+    assert callable(sentiment.scorer(weights))
+    monkeypatch.setattr(sentiment, "WORDS_IN_MEMORY", 3)
+    assert scores() == in_batches and len(in_batches) == len(rows)
+
+
+def test_batch_query_scores_large_vocabularies(spark, monkeypatch):
+    """The query failed once more words were learnt than a task may hold."""
+    from parcella.plans import registry
+
+    query, d = registry.QUERIES["segment_sentiment_batch"], "/root/testdata/sf0.001"
+    expected = sorted(map(tuple, query(spark, d).collect()), key=str)
+    monkeypatch.setattr(sentiment, "WORDS_IN_MEMORY", 3)
+    assert sorted(map(tuple, query(spark, d).collect()), key=str) == expected
+
+
+def test_rare_words_are_joined_to_the_rest_of_the_weights(spark):
+    """Whatever number of words travels with the tasks, scores stay; numbers such as ² end words."""
+    rows, frame = segments_of(spark)
+    odd = spark.createDataFrame([("x", 0, "positif", "calmeⅧparc bruit² Straße"), ("z", 0, "positif", None)], SCHEMA)
+    weights, every = sentiment.learnt_weights(frame), frame.unionByName(odd)
+
+    def scores(scored):
+        return {(r.avis_id, r.segment_id): r.model_score for r in scored.collect()}
+
+    expected = scores(sentiment.score_by_words(every, weights))
+    for most in (0, 1, 3, 10):
+        assert scores(sentiment.score_by_words(every, weights, most)) == expected
+    assert scores(reviews.score_segments(every, sentiment.batch_scorer(weights))) == expected
+    known = brute_weights(rows)
+    total = known["calme"] + known["parc"] + known["bruit"]
+    assert expected["x", 0] == pytest.approx(total / (abs(total) + 1000), abs=1e-12)
