@@ -409,3 +409,43 @@ def test_staged_lives_in_the_shared_folder(spark):
 def test_theme_pattern_needs_no_lookaround():
     assert "(?=" not in text.theme_pattern(("espace vert",))
     assert "(?<" not in text.theme_pattern(("espace vert",))
+
+
+@pytest.fixture(scope="module")
+def wordy(spark):
+    """Segments of two communes with ties, repeated words, numbers in words and no words."""
+    import random
+
+    r = random.Random(5)
+    words = [a + b for a in ("mar", "jard", "éco", "gar", "plag") for b in ("in", "ot", "ette", "x²", "es")] + ["les", "de", "ville"]
+    rows = []
+    for i in range(160):
+        code = "01001" if i % 3 else "01002"
+        for k in range(1 + i % 4):
+            body = " ".join(r.choices(words, weights=range(1, len(words) + 1), k=12))
+            rows.append((f"r{i}", code, DAY, k, "positif", body, r.sample(["calme", "bruit"], 1), 0.1, r.choice([0.5, -0.25]), True))
+    rows.append(("r1", "01001", DAY, 9, "positif", None, [], None, 0.6, None))
+    return spark.createDataFrame(rows, SEGMENT)
+
+
+def test_token_counts_are_those_of_the_token_rows(wordy):
+    expected = (
+        reviews.extract_tokens(wordy)
+        .groupBy("code_commune", "kind", "token")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("avis_id").alias("n_avis"))
+    )
+    got = reviews.token_counts(wordy.repartition(7))
+    assert got.columns == expected.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+@pytest.mark.parametrize("size", [1, 3, 10, 40, 1000])
+def test_leading_tokens_hold_the_whole_cloud(wordy, size):
+    every, leading = reviews.extract_tokens(wordy), reviews.leading_tokens(wordy, size)
+    assert leading.columns == every.columns and leading.dtypes == every.dtypes
+    rows = {tuple(map(str, r)) for r in every.collect()}
+    kept = [tuple(map(str, r)) for r in leading.collect()]
+    assert set(kept) <= rows and len(set(kept)) == len(kept)
+    assert size > 3 or len(kept) < len(rows) / 2
+    cloud, expected = (sorted(map(str, reviews.cloud_words(t, size).collect())) for t in (leading, every))
+    assert cloud == expected
