@@ -45,11 +45,14 @@ def profile_sales(
     built = F.col("type_local").isin(*types)
     surface = F.when(built, F.col("surface_reelle_bati"))
 
-    def marks(column, name: str) -> list:
-        return [
-            F.percentile_approx(column, p, int(1 / error)).alias(f"{name}_{label}")
-            for label, p in (("p1", 0.01), ("p50", 0.5), ("p99", 0.99))
-        ]
+    tails, quarters = {"p1": 0.01, "p50": 0.5, "p99": 0.99}, {"p25": 0.25, "mediane": 0.5, "p75": 0.75}
+
+    def sketch(column, shares: dict):
+        """All quantiles of a column from one sketch."""
+        return F.percentile_approx(column, list(shares.values()), int(1 / error))
+
+    def marks(name: str) -> list:
+        return [F.col(f"_marks_{name}")[i].alias(f"{name}_{label}") for i, label in enumerate(tails)]
 
     # first read: all figures of the whole table in one row
     missing = [
@@ -62,11 +65,11 @@ def profile_sales(
             F.count(F.lit(1)).alias("lignes"),
             F.count_if(F.col("valeur_fonciere").isNull()).alias("valeur_nulle"),
             F.count_if(F.col("valeur_fonciere") <= 0).alias("valeur_zero_ou_negative"),
-            *marks("valeur_fonciere", "valeur"),
+            sketch("valeur_fonciere", tails).alias("_marks_valeur"),
             F.count_if(built & F.coalesce(F.col("surface_reelle_bati") <= 0, F.lit(True))).alias(
                 "surface_nulle_ou_zero"
             ),
-            *marks(surface, "surface"),
+            sketch(surface, tails).alias("_marks_surface"),
             F.count_if(F.col("longitude").isNull() | F.col("latitude").isNull()).alias(
                 "sans_coordonnees"
             ),
@@ -74,14 +77,15 @@ def profile_sales(
         "whole",
     )
     completeness = whole.select(*[F.col(f"_{f}").alias(f) for f in lines.columns])
-    outliers = whole.drop(*[f"_{f}" for f in lines.columns])
+    outliers = whole.select(
+        "lignes", "valeur_nulle", "valeur_zero_ou_negative", *marks("valeur"),
+        "surface_nulle_ou_zero", *marks("surface"), "sans_coordonnees",
+    )
 
     # second read: one expansion to all grains (sale, commune, distinct values), one
     # map-side combined count by (grain, key) with states that every grain can use
-    grains = [("sale", "id_mutation"), ("commune", "code_commune"), *((f"={c}", c) for c in CARDINALITIES)]
-    keys = [
-        F.struct(F.lit(g).alias("grain"), F.col(c).cast("string").alias("key")) for g, c in grains
-    ]
+    # (sales and communes are also the distinct values of their columns)
+    keys = [F.struct(F.lit(c).alias("grain"), F.col(c).cast("string").alias("key")) for c in CARDINALITIES]
     states = staged(
         lines.select("*", F.inline(F.array(*keys)))
         .groupBy("grain", "key")
@@ -100,12 +104,11 @@ def profile_sales(
         "grains",
     )
     cardinalities = (
-        states.where(F.col("grain").startswith("="))
-        .groupBy(F.substring("grain", 2, 100).alias("mesure"))
+        states.groupBy(F.col("grain").alias("mesure"))
         .agg(F.count("key").cast("double").alias("valeur"))
         .select(F.lit("cardinalites").alias("section"), "mesure", "valeur")
     )
-    per_sale = states.where("grain = 'sale'")
+    per_sale = states.where("grain = 'id_mutation'")
     structure = per_sale.agg(
         F.avg("n").alias("lignes_moyenne"),
         F.percentile_approx("n", 0.5, int(1 / error)).alias("lignes_mediane"),
@@ -117,12 +120,8 @@ def profile_sales(
         "type_local", (F.col("v") / F.col("s")).alias("prix_m2")
     )
     prices = single.groupBy("type_local").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[
-            F.percentile_approx("prix_m2", p, int(1 / error)).alias(label)
-            for label, p in (("p25", 0.25), ("mediane", 0.5), ("p75", 0.75))
-        ],
-    )
+        F.count(F.lit(1)).alias("n"), sketch("prix_m2", quarters).alias("_marks")
+    ).select("type_local", "n", *[F.col("_marks")[i].alias(label) for i, label in enumerate(quarters)])
     figures = F.array(
         *[
             F.struct(
@@ -137,7 +136,7 @@ def profile_sales(
     )
 
     kinds = reduce(add, (F.coalesce(f"has{i}", F.lit(0)) for i in range(len(types))))
-    geography = states.where("grain = 'commune'").agg(
+    geography = states.where("grain = 'code_commune'").agg(
         F.count(F.lit(1)).alias("communes_actives"),
         F.sum(kinds).alias("communes_x_types"),
         F.count_if(F.col("n") < threshold).alias("communes_peu_actives"),

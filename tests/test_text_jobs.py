@@ -449,3 +449,21 @@ def test_leading_tokens_hold_the_whole_cloud(wordy, size):
     assert size > 3 or len(kept) < len(rows) / 2
     cloud, expected = (sorted(map(str, reviews.cloud_words(t, size).collect())) for t in (leading, every))
     assert cloud == expected
+
+
+def test_sales_profile_groups_every_column_once(spark, monkeypatch):
+    """Sales and communes served their cardinalities too, but were grouped a second time."""
+    from parcella.plans import sales_profile, views
+
+    stored = {}
+
+    def keep(df, name="staged"):
+        stored[name] = df
+        return staged(df, name)
+
+    monkeypatch.setattr(sales_profile, "staged", keep)
+    lines = views.view(spark, "/root/testdata/sf0.001", "sale_raw").drop("annee").limit(500).localCheckpoint()
+    found = {(r.section, r.mesure): r.valeur for r in sales_profile.profile_sales(lines, error=1e-6).collect()}
+    distinct = {c: lines.select(c).distinct().count() for c in sales_profile.CARDINALITIES}
+    assert stored["grains"].count() == sum(distinct.values())
+    assert {c: found["cardinalites", c] for c in distinct} == distinct
