@@ -78,3 +78,21 @@ def test_rollup_shuffles_no_text(spark, monkeypatch):
     for df in stored.values():
         assert "text" not in df.columns
     assert "text#" not in stored["scored"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_gate_scores_no_segments_and_stores_keys(spark, monkeypatch):
+    """The gate, which reports the scored segments as absent, had them scored, and stored whole tables."""
+    from parcella.operators import quality
+
+    stored = {}
+
+    def keep(df, name="staged"):
+        stored[name] = df.columns
+        return plain(df, name)
+
+    plain = quality.staged
+    monkeypatch.setattr(quality, "staged", keep)
+    monkeypatch.setattr(registry, "_scored", None)
+    rows = registry.QUERIES["silver_gate"](spark, "/root/testdata/sf0.001").collect()
+    assert ("avis_segments", "absente") in {(r.table, r.statut) for r in rows}
+    assert len(stored) > 10 and {tuple(c) for c in stored.values()} == {("code_commune",)}
