@@ -96,3 +96,21 @@ def test_silver_gate_scores_no_segments_and_stores_keys(spark, monkeypatch):
     rows = registry.QUERIES["silver_gate"](spark, "/root/testdata/sf0.001").collect()
     assert ("avis_segments", "absente") in {(r.table, r.statut) for r in rows}
     assert len(stored) > 10 and {tuple(c) for c in stored.values()} == {("code_commune",)}
+
+
+def test_dq_report_joins_no_text(spark, monkeypatch):
+    """Beyond the words that travel with the tasks, all texts were joined to their scores."""
+    from parcella.operators import quality
+
+    def report(tables):
+        frames.update(tables)
+        return plain(tables)
+
+    d, frames, plain = "/root/testdata/sf0.001", {}, quality.dq_report
+    monkeypatch.setattr(registry, "_silver", lambda spark, d: {})
+    expected = sorted(map(str, registry.QUERIES["dq_report"](spark, d).collect()))
+    monkeypatch.setattr(quality, "dq_report", report)
+    monkeypatch.setattr(sentiment, "COMMON_WORDS", 3)
+    assert sorted(map(str, registry.QUERIES["dq_report"](spark, d).collect())) == expected and len(expected) == 4
+    texts = {r[0] for r in frames["avis_segments"].select("text").collect()}
+    assert all(set(t) <= {"x"} and len(t) >= 15 for t in texts)
