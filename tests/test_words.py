@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from parcella.functions import text
@@ -114,3 +116,53 @@ def test_dq_report_joins_no_text(spark, monkeypatch):
     assert sorted(map(str, registry.QUERIES["dq_report"](spark, d).collect())) == expected and len(expected) == 4
     texts = {r[0] for r in frames["avis_segments"].select("text").collect()}
     assert all(set(t) <= {"x"} and len(t) >= 15 for t in texts)
+
+
+def test_weights_are_found_by_whole_words(monkeypatch):
+    """Whatever fingerprints words share, only the known ones get a weight."""
+    r = random.Random(5)
+    some = sorted({"".join(r.choices("abéßп", k=r.randrange(0, 9))) for _ in range(900)})
+    names, known = pa.array(some, pa.string()), pa.array(some[::3][::-1], pa.string())
+    values = np.arange(1, len(known) + 1, dtype=np.int64)
+    expected = dict(zip(known.to_pylist(), values.tolist()))
+    plain = words.fingerprints
+    assert len(set(plain(names).tolist())) == len(some)
+    assert plain(names.slice(7, 50)).tolist() == plain(names).tolist()[7:57]
+    for prints in (plain, lambda w: plain(w) % np.uint64(40), lambda w: plain(w) * np.uint64(0)):
+        monkeypatch.setattr(words, "fingerprints", prints)
+        has, weight = words.Weights(known, values).of(names)
+        assert {w: x for w, h, x in zip(some, has, weight) if h} == expected and not weight[~has].any()
+    assert not words.Weights(known[:0], values[:0]).of(names)[0].any()
+
+
+def test_only_segments_with_rare_words_meet_the_weights(spark, monkeypatch):
+    """Beyond the words that travel with the tasks, all segments and their tokens were shuffled twice."""
+    rows = [(f"{i % 40:x}", i % 3, "positif" if i % 2 else "negatif", f"calme parc rue{'x' if i % 6 == 0 else ''}") for i in range(120)]
+    df = spark.createDataFrame(rows, "avis_id string, segment_id int, polarity_field string, text string").coalesce(2)
+    weights = sentiment.learnt_weights(df)
+    expected = sorted(map(str, sentiment.score_by_words(df, weights).collect()))
+    stored = {}
+
+    def keep(df, name="staged"):
+        stored[name] = plain(df, name)
+        return stored[name]
+
+    plain = sentiment.staged
+    monkeypatch.setattr(sentiment, "staged", keep)
+    scored = sentiment.score_by_words(df, weights, 3)
+    assert sorted(map(str, scored.collect())) == expected
+    sums = stored["sums"]
+    assert sums.count() == 120 and sums.where("size(_sum.rest) > 0").count() == 20
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "Aggregate [avis_id" not in plan
+
+
+def test_a_large_vocabulary_travels_with_the_tasks(spark, monkeypatch):
+    """Past 100,000 learnt words, all tables met their weights by two shuffles of all segments."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = F.concat(F.lit("w"), F.translate(F.lpad(F.col("id").cast("string"), 6, "0"), "0123456789", letters[:10]))
+    weights = spark.range(150_000).select(word.alias("word"), F.col("id").alias("weight"), (F.col("id") % 50 + 5).alias("n_segments"))
+    df = spark.createDataFrame([("a", 0, "waaaaaf wbejjjj autre"), ("b", 0, "autre")], "avis_id string, segment_id int, text string")
+    scored = sentiment.score_by_words(df, weights)
+    assert {r.avis_id: r.model_score for r in scored.collect()} == {"a": 150004 / 151004, "b": None}
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
