@@ -74,11 +74,20 @@ def dedup_sales(lines: DataFrame, keys: Sequence[str] = ("id_mutation",)) -> Dat
     aggregate and no row expansion is needed. All attributes ride in one struct:
     every consumer of the result then asks for the same aggregate, which lets
     Spark reuse its shuffle when the sales are read more than once.
+
+    Lines are dealt by sale once. Those of one type and place are first summed by
+    hash, as numbers are all their state; texts as state make Spark sort, so only
+    what is left of a sale is sorted, not its lines.
     """
     place = ("code_commune", "nom_commune", "code_departement", "longitude", "latitude")
-    grouped = lines.groupBy(*keys).agg(
+    alike = lines.repartition(*keys).groupBy(*keys, "type_local", *place).agg(
         F.min("valeur_fonciere").alias("_v0"),
         F.max("valeur_fonciere").alias("_v1"),
+        F.sum("surface_bati").alias("surface_bati"),
+    )
+    grouped = alike.groupBy(*keys).agg(
+        F.min("_v0").alias("_v0"),
+        F.max("_v1").alias("_v1"),
         F.min("type_local").alias("_t0"),
         F.max("type_local").alias("_t1"),
         F.sum("surface_bati").alias("surface_bati"),

@@ -55,6 +55,20 @@ def test_dedup_rules(spark):
     ]
 
 
+def test_lines_of_a_sale_are_summed_without_sorting_them(spark):
+    """Lines alike in type and place are added up by hash, dealt once; only what is left is sorted."""
+    rows = [sale(i % 7, surface=str(10 + i), lon=(None, "2.35", "2.31", "abc")[i % 4]) for i in range(60)]
+    lines = sales.clean_sale_lines(spark.createDataFrame(rows, RAW))
+    found = sales.dedup_sales(lines)
+    got = {r.id_mutation: (r.surface_bati, r.longitude) for r in found.collect()}
+    assert got == {str(k): (sum(10.0 + i for i in range(60) if i % 7 == k), 2.35) for k in range(7)}
+    steps = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+    first = next(s for s in reversed(steps) if "Aggregate" in s)
+    assert "HashAggregate" in first
+    planned = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert planned.count("Exchange ") == 1
+
+
 def test_grouping_sets_conserve_counts(spark):
     df = spark.createDataFrame(
         [("01", "Maison", 1.0), ("01", "Maison", 3.0), ("01", None, 5.0), ("02", "Maison", 7.0)],
