@@ -7,7 +7,9 @@ Arrow batches in slices of bounded size, with the library's own threads, and hol
 text against its round trip and, unless switched off, against SentencePiece itself.
 
 Long texts are cut where a run of spaces begins. No piece reaches across such a place
-(checked when the model is read), so the parts' ids joined are the ids of the whole.
+(checked when the model is read), so the parts' ids joined are the ids of the whole. For the
+same reason different words of a batch are encoded once each by a BPE model, and their ids
+joined by array; decoding and SentencePiece get whole documents.
 
 Defined cases: a null text has null ids and null decoded text and counts as right; an
 empty text has no ids; repeated rows stay; an empty table gives an empty result; columns
@@ -21,6 +23,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes of text that are encoded in one call, and the length at which a text is cut.
 SLICE_BYTES, PART_CHARS = 1 << 18, 1 << 18
+#: Characters whose words are taken together, words that are encoded as one line.
+CHARS_AT_ONCE, WORDS_A_LINE = 1 << 22, 256
 
 # Piece types and model types of the protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -140,12 +145,16 @@ def build(data: bytes):
         out.normalizer = normalizers.Sequence(steps)
     words = [t for t, _, kind in pieces if kind in (NORMAL, USER_DEFINED, UNUSED)]
     apart = not any(a != MARK and b == MARK for t in words for a, b in zip(t, t[1:]))
-    if fallback and not any("\n" in t for t in words):  # a line break is a byte piece of its own
+    lines = fallback and not any("\n" in t for t in words)
+    if lines:  # a line break is a byte piece of its own
         out.pre_tokenizer = pre_tokenizers.Split("\n", "isolated")
     out.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
     return out, {
         "plain": plain,
         "cut": plain and apart and model["escape"],  # no piece goes on from a word into the spaces after it
+        # the ids of each word can be told apart: a piece with the mark or a line break begins it
+        "words": plain and apart and lines and model["escape"] and model["dummy_prefix"]
+        and model["model_type"] == BPE and MARK in words,
         "prefix": model["dummy_prefix"] and plain,
         "mark": model["escape"] and plain,
         "strip": model["dummy_prefix"],
@@ -174,14 +183,14 @@ def prepared(text: str, settings: dict) -> list[str]:
     return [*parts, text[start:]]
 
 
-def encode_texts(tokenizer, settings: dict, texts: list[str]) -> list[list[int]]:
+def encode_parts(tokenizer, settings: dict, texts: list[str]) -> list[np.ndarray]:
     """Ids of each text, by calls of bounded size."""
-    ids: list[list[int]] = [[] for _ in texts]
+    ids: list[list[np.ndarray]] = [[] for _ in texts]
     parts, owners, size = [], [], 0
 
     def flush():
         for owner, got in zip(owners, tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            ids[owner] += got.ids
+            ids[owner].append(np.array(got.ids, np.int32))
 
     for i, text in enumerate(texts):
         for part in prepared(text, settings):
@@ -193,7 +202,73 @@ def encode_texts(tokenizer, settings: dict, texts: list[str]) -> list[list[int]]
                 parts, owners, size = [], [], 0
     if parts:
         flush()
-    return ids
+    return [np.concatenate([np.zeros(0, np.int32), *x]) for x in ids]
+
+
+def encode_words(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of different words end to end, and how many each has. A word begins with a line
+    break or gets the mark in front."""
+    forms = [w if w[:1] == "\n" else MARK + w for w in words]
+    # a mark alone would run into the next word's
+    lone = [i for i, form in enumerate(forms) if form == MARK]
+    many = [form for form in forms if form != MARK]
+    lines = ["".join(many[at : at + WORDS_A_LINE]) for at in range(0, len(many), WORDS_A_LINE)]
+    got = [np.array(x.ids, np.int32) for x in tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+    ids = np.concatenate([np.zeros(0, np.int32), *got])
+    seen, place = np.unique(ids, return_inverse=True)
+    line_break = tokenizer.encode("\n", add_special_tokens=False).ids[0]
+    begins = np.array([tokenizer.id_to_token(i).startswith(MARK) or i == line_break for i in seen.tolist()], bool)
+    starts = np.flatnonzero(begins[place])
+    if len(starts) != len(many):
+        raise ValueError("words run into each other")
+    sizes = np.diff(np.append(starts, len(ids)))
+    for i in lone:
+        at, alone = int(sizes[:i].sum()), tokenizer.encode(MARK, add_special_tokens=False).ids
+        ids, sizes = np.insert(ids, at, alone), np.insert(sizes, i, len(alone))
+    return ids, sizes
+
+
+def encode_by_words(tokenizer, texts: list[str]) -> list[np.ndarray]:
+    """Ids of texts without marks of their own and runs of spaces, different words encoded once."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n"), " ")
+    found = lists.flatten().dictionary_encode()
+    ids, sizes = encode_words(tokenizer, found.dictionary.to_pylist())
+    begin, codes = np.cumsum(sizes) - sizes, found.indices.to_numpy()
+    up_to = np.concatenate(([0], np.cumsum(sizes[codes])))
+    joined = ids[np.repeat(begin[codes] - up_to[:-1], sizes[codes]) + np.arange(up_to[-1])]
+    return np.split(joined, up_to[lists.offsets.to_numpy()[1:-1]])
+
+
+def encode_arrays(tokenizer, settings: dict, texts: list[str]) -> list[np.ndarray]:
+    """Ids of each text. Words are taken of usual texts; empty ones, runs of spaces, marks and
+    texts beyond ``PART_CHARS`` are encoded as they are."""
+    usual = [
+        settings["words"] and 0 < len(t) <= PART_CHARS and t[0] != " " and "  " not in t and MARK not in t for t in texts
+    ]
+    some = encode_by_words(tokenizer, [t for t, u in zip(texts, usual) if u]) if any(usual) else []
+    rest = encode_parts(tokenizer, settings, [t for t, u in zip(texts, usual) if not u])
+    some, rest = iter(some), iter(rest)
+    return [next(some if u else rest) for u in usual]
+
+
+def encode_texts(tokenizer, settings: dict, texts: list[str]) -> list[list[int]]:
+    return [x.tolist() for x in encode_arrays(tokenizer, settings, texts)]
+
+
+def bounded_slices(batch, chars: int) -> Iterator:
+    """Slices of a batch whose last column has about so many bytes, or one row more."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // chars
+    ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part))
+    start = 0
+    for end in ends.tolist():
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def decode_ids(tokenizer, settings: dict, ids: list[list[int]]) -> list[str]:
@@ -228,7 +303,6 @@ def encode(
     shared = spark.sparkContext.broadcast(data)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
@@ -240,11 +314,11 @@ def encode(
 
             judge = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                rows = batch.slice(start, 256)
+            for rows in bounded_slices(batch, CHARS_AT_ONCE) if batch.num_rows else ():
                 given = rows.column(rows.num_columns - 1).to_pylist()
                 texts = [t or "" for t in given]
-                ids = encode_texts(tok, settings, texts)
+                arrays = encode_arrays(tok, settings, texts)
+                ids = [x.tolist() for x in arrays]
                 back = decode_ids(tok, settings, ids)
                 null = [t is None for t in given]
                 if judge is None:
@@ -256,7 +330,7 @@ def encode(
                     for d, t in zip(back, texts)
                 ]
                 lengths = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-                flat = np.concatenate([np.zeros(0, np.int32), *(np.array(x, np.int32) for x in ids)])
+                flat = np.concatenate([np.zeros(0, np.int32), *arrays])
                 ends = np.concatenate([[0], np.cumsum(lengths)])
                 listed = pa.ListArray.from_arrays(
                     pa.array(ends.astype(np.int32)), pa.array(flat), mask=pa.array(null)

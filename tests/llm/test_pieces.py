@@ -38,6 +38,42 @@ def test_long_texts_are_cut_without_a_trace(monkeypatch, words):
     assert pieces.encode_texts(tokenizer, settings, texts) == judge.encode(texts)
 
 
+@pytest.mark.parametrize("line", [1, 3, 256])
+def test_different_words_are_encoded_once(monkeypatch, words, line):
+    import sentencepiece
+
+    data = open(pieces.MODEL, "rb").read()
+    tokenizer, settings = pieces.build(data)
+    judge = sentencepiece.SentencePieceProcessor(model_proto=data)
+    odd = ["a \n\nb\n c\nd \n", "\n", "\nx\n", " \n", "▁▁\n▁ x", "b ", "é\u00a0ö \t 漢字\r\n🙂"]
+    texts = [*TEXTS, *odd, words(1, 300), words(1, 300), *odd[:4], *TEXTS]
+    asked = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, parts, **options):
+            asked.extend(parts)
+            return tokenizer.encode_batch_fast(parts, **options)
+
+    monkeypatch.setattr(pieces, "WORDS_A_LINE", line)
+    assert settings["words"]
+    assert pieces.encode_texts(Counting(), settings, texts) == judge.encode(texts)
+    asked.clear()
+    assert pieces.encode_texts(Counting(), settings, ["some words come again"] * 1000)[999] == judge.encode("some words come again")
+    assert sum(map(len, asked)) == len("▁some▁words▁come▁again")
+
+
+def test_batches_are_cut_by_their_text():
+    import pyarrow as pa
+
+    batch = pa.record_batch({"k": range(6), "t": ["abc", None, "", "x" * 50, "ab", "c"]})
+    cut = list(pieces.bounded_slices(batch, 4))
+    assert pa.Table.from_batches(cut).to_pydict() == batch.to_pydict()
+    assert [c.num_rows for c in cut] == [4, 2]
+
+
 def unigram(normalizer: bytes) -> bytes:
     """A small unigram model in wire format: every printable ASCII character, some words."""
     import struct
